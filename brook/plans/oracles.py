@@ -337,3 +337,38 @@ firsts AS (
     row_number() OVER (PARTITION BY id, {_field} ORDER BY arrival, event_id) AS nth FROM sensors)
 SELECT b.id, b.arrival, b.event_id, f.event_id AS best_event_id, f.ts AS best_ts, f.vc AS best_vc
 FROM best b JOIN firsts f ON f.id = b.id AND f.top = b.top AND f.nth = 1"""
+
+# Streams end in the answer of the bounded query, for what the last watermark closes.
+CLOSED = "(SELECT max(ts) - INTERVAL '2 hours' FROM sensors)"
+
+ORACLES |= {
+    "src_file_stream": ORACLES["src_text_lines"],
+    "src_replay": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    "stream_word_count": ORACLES["word_count"],
+    "restartable_word_count": ORACLES["word_count"],
+    "stream_uv": ORACLES["uv_total"],
+    "stateful_count": f"WITH {TOKENS} SELECT word AS key, count(*) AS n FROM tokens GROUP BY word",
+    "state_lookup": ORACLES["key_partition_stats"],
+    "stream_dynamic_threshold": ORACLES["dynamic_threshold_alert"],
+    "stream_jump_alert": ORACLES["jump_alert"],
+    "sink_custom": ORACLES["sink_jdbc_rows"],
+    "stream_tumbling_count": f"""WITH {SENSORS}, w AS ({windows('sensors', 'id', 5, 'count(*) AS n')})
+SELECT * FROM w WHERE window_end <= {CLOSED}""",
+    "stream_sliding_count": f"""WITH {SENSORS}, spread AS (
+  SELECT id, {bucket(5)} - to_hours(CAST(5 * i AS BIGINT)) AS window_start
+  FROM sensors, range(10) r(i) WHERE event_type = 'view'),
+w AS (SELECT id, window_start, window_start + INTERVAL '50 hours' AS window_end, count(*) AS n FROM spread GROUP BY ALL)
+SELECT * FROM w WHERE window_end <= (SELECT max(ts) - INTERVAL '2 hours' FROM sensors WHERE event_type = 'view')""",
+    "stream_session_count": f"""WITH {SENSORS}, flagged AS (
+  SELECT id, ts, event_id, CASE WHEN ts > lag(ts) OVER o + INTERVAL '5 hours' THEN 1 ELSE 0 END AS anew
+  FROM sensors WHERE event_type = 'view' WINDOW o AS (PARTITION BY id ORDER BY ts, event_id)),
+numbered AS (
+  SELECT *, sum(anew) OVER (PARTITION BY id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM flagged),
+sessions AS (
+  SELECT id, count(*) AS n, min(ts) AS session_start, max(ts) + INTERVAL '5 hours' AS session_end
+  FROM numbered GROUP BY id, s)
+SELECT * FROM sessions
+WHERE session_end <= (SELECT max(ts) - INTERVAL '2 hours' FROM sensors WHERE event_type = 'view')""",
+    "stream_timer_per_event": f"""WITH {SENSORS} SELECT DISTINCT id, ts + INTERVAL '5 hours' AS fire_time
+FROM sensors WHERE ts + INTERVAL '5 hours' <= {CLOSED}""",
+}
