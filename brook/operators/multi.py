@@ -67,6 +67,11 @@ def dynamic_threshold_alert(readings: DataFrame, rules: DataFrame) -> DataFrame:
         rules.withColumns({"rank": F.lit(0), "vc": nothing}).select(columns),
         readings.withColumns({"rank": F.lit(1), "threshold_vc": nothing}).select(columns),
     )
+    return threshold_alerts(tagged)
+
+
+def threshold_alerts(tagged: DataFrame) -> DataFrame:
+    """The same on rules (rank 0) and readings (rank 1) in one frame."""
     rows = S.scan(tagged, ["id"], ["arrival", "rank", "event_id"]).add(
         _rule=S.latest(F.col("threshold_vc")), _prev=S.latest(F.col("vc"), before=True)).rows()
     diff = F.abs(F.col("vc") - F.coalesce("_prev", F.lit(0)))

@@ -350,7 +350,11 @@ ORACLES |= {
     "stateful_count": f"WITH {TOKENS} SELECT word AS key, count(*) AS n FROM tokens GROUP BY word",
     "state_lookup": ORACLES["key_partition_stats"],
     "stream_dynamic_threshold": ORACLES["dynamic_threshold_alert"],
+    "stateful_threshold": ORACLES["dynamic_threshold_alert"],
     "stream_jump_alert": ORACLES["jump_alert"],
+    "stream_last_value": ORACLES["last_value_keyed"],
+    "stream_rolling_sum": f"""WITH {SENSORS} SELECT event_id, event_type AS id, arrival, CAST(1 AS BIGINT) AS value,
+  row_number() OVER (PARTITION BY event_type ORDER BY arrival, event_id) AS running FROM sensors""",
     "sink_custom": ORACLES["sink_jdbc_rows"],
     "stream_tumbling_count": f"""WITH {SENSORS}, w AS ({windows('sensors', 'id', 5, 'count(*) AS n')})
 SELECT * FROM w WHERE window_end <= {CLOSED}""",

@@ -18,7 +18,7 @@ from brook.sources import replay, text
 from brook.sources import views as V
 from brook.streaming import aggregates as A
 from brook.streaming import processors as S
-from brook.streaming import run, state
+from brook.streaming import carry, run, state
 
 
 def _places(spark: SparkSession, name: str) -> tuple[str, str]:
@@ -103,35 +103,61 @@ def stream_uv(spark, sf_dir):
 def stateful_count(spark, sf_dir):
     _stateful(spark)
     words = tokenize(text.stream_lines(spark, written_lines(spark, sf_dir)))
-    return _updated(spark, S.process(words, "word", S.RunningCount(), "update"), "stateful", ["key"])
+    return _updated(spark, S.process(S.partial_counts(words, "word"), "word", S.RunningCount(), "update"), "stateful", ["key"])
 
 
 def state_lookup(spark, sf_dir):
     """The keyed state of a finished run, read from its checkpoint by state name."""
     _stateful(spark)
     out, checkpoint = _places(spark, "lookup")
-    feed = _sensor_feed(spark, sf_dir)
+    feed = S.partial_counts(_sensor_feed(spark, sf_dir), "id")
     run.drain_batches(S.process(feed, "id", S.RunningCount(), "update"), run.batch_table(out), checkpoint)
     held = state.read_state(spark, checkpoint, "count")
     return held.select(F.col("key.id").alias("id"), F.col("value.n").alias("n"))
 
 
-def stream_dynamic_threshold(spark, sf_dir):
-    _stateful(spark)
-    feed = _sensor_feed(spark, sf_dir)
+def _tagged_feed(spark, sf_dir) -> DataFrame:
+    """Rules (rank 0) and readings (rank 1) as one stream."""
     nothing = F.lit(None).cast("int")
-    rules = feed.where(F.col("event_type") == "signup").select(
+    rules = _sensor_feed(spark, sf_dir).where(F.col("event_type") == "signup").select(
         "event_id", "id", nothing.alias("vc"), "arrival", F.lit(0).alias("rank"),
         (F.col("vc") % 40).alias("threshold_vc"))
     readings = _sensor_feed(spark, sf_dir).select(
         "event_id", "id", "vc", "arrival", F.lit(1).alias("rank"), nothing.alias("threshold_vc"))
-    tagged = readings.unionByName(rules)
-    return _appended(spark, S.process(tagged, "id", S.DynamicThreshold()), "stream-rules")
+    return readings.unionByName(rules)
+
+
+def _carried(spark, stream: DataFrame, name: str, writer, *options) -> DataFrame:
+    root = session.shared_dir(spark, name)
+    run.drain_batches(stream, writer(root, *options), f"{root}/checkpoint", "append")
+    return run.zoneless(spark.read.parquet(f"{root}/out")).drop("batch_id")
+
+
+def stream_dynamic_threshold(spark, sf_dir):
+    return _carried(spark, _tagged_feed(spark, sf_dir), "stream-rules", carry.threshold_alerts)
 
 
 def stream_jump_alert(spark, sf_dir):
+    feed = _sensor_feed(spark, sf_dir).select("event_id", "id", "vc", "arrival")
+    return _carried(spark, feed, "stream-jump", carry.jump_alerts, 1.7)
+
+
+def stream_last_value(spark, sf_dir):
+    feed = _sensor_feed(spark, sf_dir).select("event_id", "id", "vc", "arrival")
+    return _carried(spark, feed, "stream-last", carry.last_values)
+
+
+def stream_rolling_sum(spark, sf_dir):
+    feed = _sensor_feed(spark, sf_dir).select(
+        "event_id", F.col("event_type").alias("id"), "arrival", F.lit(1).cast("bigint").alias("value"))
+    return _carried(spark, feed, "stream-sum", carry.running_sums)
+
+
+def stateful_threshold(spark, sf_dir):
+    """The dynamic-threshold alert with its state in a keyed processor."""
     _stateful(spark)
-    return _appended(spark, S.process(_sensor_feed(spark, sf_dir), "id", S.JumpAlert(1.7)), "stream-jump")
+    return _appended(
+        spark, S.process(_tagged_feed(spark, sf_dir), "id", S.DynamicThreshold()), "stateful-rules")
 
 
 def stream_timer_per_event(spark, sf_dir):
@@ -160,7 +186,8 @@ STREAMS = {
     for f in (
         src_file_stream, src_replay, stream_word_count, restartable_word_count,
         stream_tumbling_count, stream_sliding_count, stream_session_count, stream_uv,
-        stateful_count, state_lookup, stream_dynamic_threshold, stream_jump_alert,
+        stateful_count, state_lookup, stream_dynamic_threshold, stateful_threshold,
+        stream_jump_alert, stream_last_value, stream_rolling_sum,
         stream_timer_per_event, sink_custom,
     )
 }

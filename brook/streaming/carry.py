@@ -1,0 +1,90 @@
+"""Per-record results on a stream without holding a key's rows in one task.
+
+A stateful processor sees all rows of a key of a micro-batch in one task. Where
+an operator needs no timers, only the last known values of a key, each
+micro-batch can instead go through the bounded operator - which spreads hot keys
+over many tasks - together with one state row per key that the batch touches.
+The state is a table in the shared folder, one version per batch. A retried
+batch reads the version before it and overwrites its own output.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from brook.operators import keyed as K
+from brook.operators import multi as C
+from brook.operators import rolling as R
+
+
+def carried(
+    root: str,
+    keys: Sequence[str],
+    operate: Callable[[DataFrame], DataFrame],
+    remember: Callable[[DataFrame], DataFrame],
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer to ``root/out`` with its state in ``root/state``.
+
+    ``operate`` and ``remember`` take batch rows plus state rows; a state row has
+    null in every column that is not part of the state and sorts before all rows.
+    """
+    keys = list(keys)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            rows, rest = batch, None
+            if batch_id > 0:
+                state = spark.read.parquet(f"{root}/state/batch_id={batch_id - 1}")
+                touched = batch.select(*keys).distinct()
+                rows = batch.unionByName(state.join(touched, keys, "left_semi"), allowMissingColumns=True)
+                rest = state.join(touched, keys, "left_anti")
+            operate(rows).write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+            after = remember(rows)
+            after = after if rest is None else after.unionByName(rest)
+            after.write.mode("overwrite").parquet(f"{root}/state/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def _last(value: str, *place: str):
+    return F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*place))).alias(value)
+
+
+def jump_alerts(root: str, threshold: float = 1.7) -> Callable[[DataFrame, int], None]:
+    """Jump alerts of readings (event_id, id, vc, arrival)."""
+    return carried(
+        root, ["id"],
+        lambda rows: K.jump_alert(rows, threshold).where("event_id is not null"),
+        lambda rows: rows.groupBy("id").agg(_last("vc", "arrival", "event_id")))
+
+
+def last_values(root: str) -> Callable[[DataFrame, int], None]:
+    """The previous value of the key with every reading (event_id, id, vc, arrival)."""
+    return carried(
+        root, ["id"],
+        lambda rows: K.last_value(rows, "id", "vc").where("event_id is not null"),
+        lambda rows: rows.groupBy("id").agg(_last("vc", "arrival", "event_id")))
+
+
+def running_sums(root: str, value: str = "value") -> Callable[[DataFrame, int], None]:
+    """A running sum with every row (event_id, id, value, arrival)."""
+    return carried(
+        root, ["id"],
+        lambda rows: R.rolling_sum(rows, ["id"], K.ARRIVAL, value).where("event_id is not null"),
+        lambda rows: rows.groupBy("id").agg(F.sum(value).alias(value)))
+
+
+def threshold_alerts(root: str) -> Callable[[DataFrame, int], None]:
+    """Dynamic-threshold alerts of tagged rows (event_id, id, vc, threshold_vc, arrival, rank)."""
+    place = ("arrival", "rank", "event_id")
+    return carried(
+        root, ["id"],
+        lambda rows: C.threshold_alerts(rows).where("event_id is not null"),
+        lambda rows: rows.groupBy("id").agg(_last("vc", *place), _last("threshold_vc", *place)))

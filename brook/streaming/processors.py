@@ -49,15 +49,25 @@ class Processor(StatefulProcessor):
         raise NotImplementedError
 
 
+def partial_counts(rows: DataFrame, key: str) -> DataFrame:
+    """Rows as (key, n), counted per Arrow batch, so that a hot key travels as counts."""
+    def count(batches):
+        for pdf in batches:
+            yield pdf.groupby(key, dropna=False).size().rename("n").reset_index()
+
+    kind = rows.schema[key].dataType.simpleString()
+    return rows.select(key).mapInPandas(count, f"`{key}` {kind}, n bigint")
+
+
 class RunningCount(StatefulProcessor):
-    """Count per key in explicit keyed state; one row per key and batch."""
+    """Count per key in explicit keyed state, fed with partial counts; one row per key and batch."""
 
     def init(self, handle):
         self.count = handle.getValueState("count", "n bigint")
 
     def handleInputRows(self, key, rows, timerValues):
         seen = self.count.get()
-        n = (seen[0] if seen else 0) + sum(1 for _ in rows)
+        n = (seen[0] if seen else 0) + sum(row.n for row in rows)
         self.count.update((n,))
         yield Row(key=key[0], n=n)
 

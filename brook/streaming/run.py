@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,26 +40,49 @@ def zoneless(df: DataFrame) -> DataFrame:
     })
 
 
-def drain(stream: DataFrame, out: str, checkpoint: str, label: str | None = None):
-    """Append everything available to a parquet table; returns the finished query."""
+IDLE = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+@contextmanager
+def _idle_batches(spark: SparkSession, wanted: bool):
+    """Whether the engine may run batches without data.
+
+    A processor on processing time always asks for one more, so a run that is
+    to end with its input must do without; its timers then fire with new data.
+    """
+    before = spark.conf.get(IDLE)
+    spark.conf.set(IDLE, str(wanted).lower())
+    try:
+        yield
+    finally:
+        spark.conf.set(IDLE, before)
+
+
+def drain(stream: DataFrame, out: str, checkpoint: str, label: str | None = None, idle: bool = True):
+    """Append everything available to a parquet table; returns the finished query.
+
+    Pass ``idle=False`` for processors on processing time.
+    """
     writer = stream.writeStream.format("parquet").outputMode("append")
     if label:
         writer = writer.queryName(label)
-    query = (
-        writer.option("path", out).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    with _idle_batches(stream.sparkSession, idle):
+        query = (
+            writer.option("path", out).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
     query.awaitTermination()
     return query
 
 
 def drain_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
-                  mode: str = "update"):
+                  mode: str = "update", idle: bool = True):
     """Hand every micro-batch to ``write``; returns the finished query."""
-    query = (
-        stream.writeStream.foreachBatch(write).outputMode(mode)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    with _idle_batches(stream.sparkSession, idle):
+        query = (
+            stream.writeStream.foreachBatch(write).outputMode(mode)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
     query.awaitTermination()
     return query
 
