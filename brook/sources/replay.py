@@ -1,9 +1,9 @@
-"""A custom stream source: stored parquet replayed by offset.
+"""A custom stream source: a stored parquet table replayed by offset.
 
-One offset is one row group of the table, in file order. A micro-batch covers
-up to ``groups_per_batch`` row groups, read as that many parallel partitions; a
-row group is named by file and number, so a restarted query or a retried task
-reads the same rows again.
+One offset is one file of the table, in name order. A micro-batch reads all files
+past its start offset, each as one parallel partition, row group by row group. A
+partition is named by its file, so a restarted query or a retried task reads the
+same rows again. Files added later must sort after those already there.
 """
 
 from __future__ import annotations
@@ -16,43 +16,45 @@ from pyspark.sql.types import StructType
 
 
 @dataclass
-class RowGroup(InputPartition):
+class StoredFile(InputPartition):
     path: str
-    number: int
 
 
-def row_groups(path: str) -> list[tuple[str, int]]:
-    """(file, row group) of every row group, by file name; only footers are read."""
-    import pyarrow.dataset as ds
+def stored_files(path: str) -> list[str]:
+    """The table's files by name; a listing only, nothing is opened."""
+    from pyarrow import fs
 
-    files = sorted(ds.dataset(path, format="parquet").get_fragments(), key=lambda f: f.path)
-    return [(f.path, g.id) for f in files for g in f.row_groups]
+    store, root = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    info = store.get_file_info(root)
+    if info.type == fs.FileType.File:
+        return [path]
+    found = store.get_file_info(fs.FileSelector(root, recursive=True))
+    prefix = path.split("://")[0] + "://" if "://" in path else ""
+    return sorted(prefix + f.path for f in found if f.type == fs.FileType.File and f.path.endswith(".parquet"))
 
 
 class ReplayReader(DataSourceStreamReader):
     def __init__(self, schema: StructType, options: dict):
         self.columns = schema.fieldNames()
         self.path = options["path"]
-        self.step = int(options.get("groups_per_batch", "64"))
-        self.last = 0
 
     def initialOffset(self) -> dict:
-        return {"group": 0}
+        return {"file": 0}
 
     def latestOffset(self) -> dict:
-        self.last = min(self.last + self.step, len(row_groups(self.path)))
-        return {"group": self.last}
+        return {"file": len(stored_files(self.path))}
 
-    def partitions(self, start: dict, end: dict) -> list[RowGroup]:
-        # After a restart the planned range comes from the checkpoint.
-        self.last = max(self.last, end["group"])
-        return [RowGroup(p, n) for p, n in row_groups(self.path)[start["group"]:end["group"]]]
+    def partitions(self, start: dict, end: dict) -> list[StoredFile]:
+        return [StoredFile(p) for p in stored_files(self.path)[start["file"]:end["file"]]]
 
-    def read(self, partition: RowGroup) -> Iterator:
+    def read(self, partition: StoredFile) -> Iterator:
         import pyarrow.parquet as pq
+        from pyarrow import fs
 
-        table = pq.ParquetFile(partition.path).read_row_group(partition.number, columns=self.columns)
-        yield from table.to_batches()
+        path = partition.path
+        store, path = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+        with store.open_input_file(path) as source:
+            yield from pq.ParquetFile(source).iter_batches(columns=self.columns)
 
     def commit(self, end: dict) -> None:
         pass
