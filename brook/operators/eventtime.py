@@ -112,18 +112,17 @@ def late_refire(df: DataFrame, key: str, order: Sequence[str], ts: str = "ts", s
                 bound: str = "2 seconds", lateness: str = "2 seconds", flush: bool = False) -> DataFrame:
     """Every firing: the first one of a window, then one per row within the lateness."""
     kept = classify(df, order, ts, size, bound, lateness).where(F.col("row_class") != "late")
-    cols = [key, "window_start", "window_end"]
-    first = (
-        kept.where(F.col("row_class") == "on_time").groupBy(*cols).agg(F.count("*").alias("n"))
-        .where(_fired(df, ts, bound, flush)).select(*cols, F.lit("first").alias("firing"), "n")
-    )
+    # One ordered pass per window: its last row in time is the first firing.
     placed = S.scan(
         kept, [key, "window_start"], order,
         profile=df.select(key, *order, F.window(ts, size)["start"].alias("window_start")),
-    ).add(n=S.position()).rows()
-    again = placed.where(F.col("row_class") == "refire").select(
-        *cols, F.lit("refire").alias("firing"), "n")
-    return first.unionByName(again)
+    ).add(n=S.position(), _next=S.following(F.col("row_class"))).rows()
+    is_first = (
+        (F.col("row_class") == "on_time")
+        & (F.col("_next").isNull() | (F.col("_next") == "refire")) & _fired(df, ts, bound, flush))
+    return placed.where(is_first | (F.col("row_class") == "refire")).select(
+        key, "window_start", "window_end",
+        F.when(F.col("row_class") == "on_time", "first").otherwise("refire").alias("firing"), "n")
 
 
 def late_rows(df: DataFrame, order: Sequence[str], ts: str = "ts", size: str = "5 seconds",

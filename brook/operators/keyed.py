@@ -85,12 +85,15 @@ def timer_per_event(df: DataFrame, delay: str = "5 seconds", bound: str = "2 sec
     rows = with_watermark(df.select("id", "ts", *order), order, "ts", bound, keep_after=True)
     timer = F.col("ts") + interval(delay)
     due = F.greatest(timer, F.col("wm_before") + interval(TICK))
-    timers = rows.select("id", timer.alias("fire_time"), due.alias("at"), F.lit(0).alias("rank")).distinct()
-    marks = rows.groupBy("watermark").agg(F.lit(1).alias("rank")).select(
-        F.lit(None).cast("string").alias("id"), F.lit(None).cast("timestamp_ntz").alias("fire_time"),
-        F.col("watermark").alias("at"), "rank")
+    # Timers and watermarks come from one pass over the rows, each taken once.
+    both = rows.select(F.inline(F.array(
+        F.struct("id", timer.alias("fire_time"), due.alias("at"), F.lit(0).alias("rank")),
+        F.struct(
+            F.lit(None).cast("string").alias("id"), F.lit(None).cast("timestamp_ntz").alias("fire_time"),
+            F.col("watermark").alias("at"), F.lit(1).alias("rank")),
+    ))).distinct()
     # Timers lie `delay` after event times: those serve as the profile to cut on.
-    found = S.scan(timers.unionByName(marks), [], ["at", "rank", "id", "fire_time"],
+    found = S.scan(both, [], ["at", "rank", "id", "fire_time"],
                    profile=df.select(timer.alias("at"))).add(
         watermark=S.next_known(F.when(F.col("rank") == 1, F.col("at")))).rows()
     return found.where((F.col("rank") == 0) & F.col("watermark").isNotNull()).select(

@@ -13,7 +13,7 @@ from brook.operators import scan as S
 
 def tokenize(lines: DataFrame, line: str = "line", keep: Sequence[str] = ()) -> DataFrame:
     """One (word, 1) pair per word of every line."""
-    return lines.select(*keep, F.explode(words(line)).alias("word")).withColumn(
+    return lines.select(*keep, F.explode(words(line)).alias("word")).where("word <> ''").withColumn(
         "one", F.lit(1).cast("bigint"))
 
 
