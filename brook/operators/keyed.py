@@ -158,9 +158,13 @@ def fold_timers(df: DataFrame, step: Callable, inputs: Sequence[str], end: int |
 
 
 def _event_clock(df: DataFrame, bound: str, order: Sequence[str]) -> DataFrame:
-    rows = with_watermark(df, order, "ts", bound)
-    clock = F.coalesce(to_micros("wm_before"), F.lit(M.LONG_AGO))
-    return rows.withColumns({"clock": clock, "base": to_micros("ts")})
+    """Rows with the watermark they meet as a number, and their place ``pos`` in the feed.
+
+    A place that is one number keeps the first-and-last aggregates hash-based.
+    """
+    rows = S.scan(df, [], order).add(_top=S.highest(F.col("ts"), before=True), pos=S.position()).rows()
+    clock = F.coalesce(to_micros("_top") - F.lit(micros(bound)), F.lit(M.LONG_AGO))
+    return rows.withColumns({"clock": clock, "base": to_micros("ts")}).drop("_top")
 
 
 def _end(df: DataFrame, clock: str, bound: str = "0 seconds") -> int | None:
@@ -173,7 +177,7 @@ def timer_one_per_key(df: DataFrame, delay: str = "5 seconds", bound: str = "2 s
     """At most one pending event-time timer per key; the next row after it fired sets anew."""
     wait = micros(delay)
     rows = _event_clock(df.select("id", "ts", *order), bound, order)
-    first = rows.groupBy("id", "clock").agg(F.min(F.struct(*order, "base"))["base"].alias("base"))
+    first = rows.groupBy("id", "clock").agg(F.min_by("base", "pos").alias("base"))
     return fold_timers(
         first, lambda timer, clock, base: M.one_timer(timer, clock, base, wait), ["base"],
         _end(df, "ts", bound), keep_open)
@@ -195,10 +199,9 @@ def rising_alert_event(df: DataFrame, hold: str = "5 seconds", bound: str = "2 s
     wait = micros(hold)
     rows = _event_clock(df.select("id", "ts", "vc", *order), bound, order)
     rows = S.scan(rows, ["id"], order, profile=df).add(_prev=S.previous(F.col("vc"))).rows()
-    place = F.struct(*order, "base")
+    not_risen = F.when(F.col("vc") <= F.col("_prev"), F.col("pos"))
     ticks = rows.groupBy("id", "clock").agg(
-        F.min(place)["base"].alias("base"),
-        F.max(F.when(F.col("vc") <= F.col("_prev"), place))["base"].alias("reset"))
+        F.min_by("base", "pos").alias("base"), F.max_by("base", not_risen).alias("reset"))
     return fold_timers(
         ticks, lambda timer, clock, base, reset: M.rising_event(timer, clock, base, reset, wait),
         ["base", "reset"], _end(df, "ts", bound), keep_open)
@@ -211,11 +214,11 @@ def rising_alert_processing(df: DataFrame, hold: str = "10 seconds", order: Sequ
     A previous value of 0 stands for "no reading yet" and is passed over.
     """
     wait = micros(hold)
-    rows = last_value(df.select("id", "vc", *order), "id", "vc", order)
-    counts = F.col("last") != 0
-    place = F.struct(*order)
-    rose = F.when(counts & (F.col("vc") > F.col("last")), place)
-    fell = F.when(counts & (F.col("vc") < F.col("last")), place)
+    rows = S.scan(df.select("id", "vc", *order), ["id"], order).add(
+        _last=S.previous(F.col("vc")), pos=S.position()).rows()
+    last = F.coalesce("_last", F.lit(0))
+    rose = F.when((last != 0) & (F.col("vc") > last), F.col("pos"))
+    fell = F.when((last != 0) & (F.col("vc") < last), F.col("pos"))
     ticks = rows.groupBy("id", to_micros("arrival").alias("clock")).agg(
         F.max(rose).alias("_rose"), F.max(fell).alias("_fell"))
     ticks = ticks.where("_rose is not null or _fell is not null").select(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brook.functions.durations import interval
 from brook.operators import scan as S
@@ -79,11 +81,54 @@ def window_minmax(df: DataFrame, key: str, value: str, ts: str = "ts", size: str
         F.min(value).cast("double").alias("min"), F.max(value).cast("double").alias("max")])
 
 
-def per_window(df: DataFrame, keys: Sequence[str], ts: str, size: str, fn, schema: str) -> DataFrame:
-    """A Python function over all rows of a (key, window), as a pandas frame.
-
-    For functions that no aggregate expresses. All rows of one window of one
-    key meet in one task, so prefer :func:`windowed` for keys that may be hot.
+def user_aggregate(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    size: str,
+    zero: Callable[[], tuple],
+    add: Callable[[tuple, object], tuple],
+    merge: Callable[[tuple, tuple], tuple],
+    result: Callable[[tuple], tuple],
+    accumulator: str,
+    output: str,
+) -> DataFrame:
+    """An aggregate function of four methods over (key, window), in Python.
+
+    For functions that no built-in aggregate expresses. Accumulators are built
+    per Arrow batch before the exchange and merged one at a time after it, so a
+    hot key travels as accumulators and no task ever holds a window's rows.
+    ``accumulator`` and ``output`` are column lists such as ``"s double, n bigint"``.
     """
+    group = [*keys, "window_start"]
     rows = df.withColumn("window_start", F.window(ts, size)["start"])
-    return rows.groupBy(*keys, "window_start").applyInPandas(fn, schema)
+    named = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in group)
+    fields = T.StructType.fromDDL(accumulator).fieldNames()
+    outputs = T.StructType.fromDDL(output).fieldNames()
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            held: dict[tuple, tuple] = {}
+            places = pdf[group].itertuples(index=False, name=None)
+            for place, row in zip(places, pdf.itertuples(index=False, name="Record")):
+                held[place] = add(held.get(place) or zero(), row)
+            yield pd.DataFrame([(*k, *a) for k, a in held.items()], columns=[*group, *fields])
+
+    def final(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, acc = None, None
+        for pdf in batches:
+            done = []
+            for place in pdf.itertuples(index=False, name=None):
+                key, part = tuple(place[: len(group)]), tuple(place[len(group):])
+                if key == current:
+                    acc = merge(acc, part)
+                else:
+                    if acc is not None:
+                        done.append((*current, *result(acc)))
+                    current, acc = key, part
+            yield pd.DataFrame(done, columns=[*group, *outputs])
+        if acc is not None:
+            yield pd.DataFrame([(*current, *result(acc))], columns=[*group, *outputs])
+
+    parts = rows.mapInPandas(partial, f"{named}, {accumulator}")
+    return parts.repartition(*group).sortWithinPartitions(*group).mapInPandas(final, f"{named}, {output}")

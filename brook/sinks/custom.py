@@ -8,7 +8,6 @@ lost or repeated tasks are never read back.
 from __future__ import annotations
 
 import json
-import os
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,6 +19,8 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import Row, StructType
 
+from brook.sources.files import filesystem
+
 ROWS = "user_id int, item_id string, behavior string"
 
 
@@ -36,22 +37,22 @@ class RowsWriter:
         self.folder = options["path"]
 
     def write(self, rows: Iterator[Row]) -> Written:
-        os.makedirs(f"{self.folder}/data", exist_ok=True)
+        store, folder = filesystem(self.folder)
+        store.create_dir(f"{folder}/data", recursive=True)
         name, n = f"{uuid.uuid4().hex}.jsonl", 0
-        with open(f"{self.folder}/data/{name}", "w") as out:
+        with store.open_output_stream(f"{folder}/data/{name}") as out:
             for row in rows:
-                out.write(json.dumps(row.asDict()) + "\n")
+                out.write((json.dumps(row.asDict()) + "\n").encode())
                 n += 1
         return Written(name, n)
 
     def record(self, messages, batch: str) -> None:
-        os.makedirs(f"{self.folder}/commits", exist_ok=True)
-        draft = f"{self.folder}/commits/.{batch}-{uuid.uuid4().hex}"
-        with open(draft, "w") as out:
-            for m in messages:
-                if m is not None and m.rows:
-                    out.write(json.dumps({"file": m.file, "rows": m.rows}) + "\n")
-        os.replace(draft, f"{self.folder}/commits/{batch}.jsonl")
+        """One small file per batch; a repeated commit replaces it by the same list."""
+        store, folder = filesystem(self.folder)
+        store.create_dir(f"{folder}/commits", recursive=True)
+        listed = [{"file": m.file, "rows": m.rows} for m in messages if m is not None and m.rows]
+        with store.open_output_stream(f"{folder}/commits/{batch}.jsonl") as out:
+            out.write("".join(json.dumps(x) + "\n" for x in listed).encode())
 
 
 class BatchRowsWriter(RowsWriter, DataSourceWriter):

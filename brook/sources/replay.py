@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
+from brook.sources.files import filesystem
+
 
 @dataclass
 class StoredFile(InputPartition):
@@ -24,13 +26,13 @@ def stored_files(path: str) -> list[str]:
     """The table's files by name; a listing only, nothing is opened."""
     from pyarrow import fs
 
-    store, root = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-    info = store.get_file_info(root)
-    if info.type == fs.FileType.File:
+    store, root = filesystem(path)
+    if store.get_file_info(root).type == fs.FileType.File:
         return [path]
     found = store.get_file_info(fs.FileSelector(root, recursive=True))
-    prefix = path.split("://")[0] + "://" if "://" in path else ""
-    return sorted(prefix + f.path for f in found if f.type == fs.FileType.File and f.path.endswith(".parquet"))
+    scheme = path.split("://")[0] + "://" if "://" in path else ""
+    return sorted(
+        scheme + f.path for f in found if f.type == fs.FileType.File and f.path.endswith(".parquet"))
 
 
 class ReplayReader(DataSourceStreamReader):
@@ -49,10 +51,8 @@ class ReplayReader(DataSourceStreamReader):
 
     def read(self, partition: StoredFile) -> Iterator:
         import pyarrow.parquet as pq
-        from pyarrow import fs
 
-        path = partition.path
-        store, path = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+        store, path = filesystem(partition.path)
         with store.open_input_file(path) as source:
             yield from pq.ParquetFile(source).iter_batches(columns=self.columns)
 

@@ -95,6 +95,37 @@ def batch_table(out: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def two_outputs(root: str, split: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
+                names: tuple[str, str] = ("main", "side")) -> Callable[[DataFrame, int], None]:
+    """A batch writer for an operator with a side output; the batch is read once."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            for name, part in zip(names, split(batch)):
+                part.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def latest_metric(query, group: str, name: str):
+    """The current value of an observed metric: what a gauge shows on demand."""
+    for progress in reversed(query.recentProgress):
+        metrics = progress["observedMetrics"].get(group)
+        if metrics is not None:
+            return metrics[name]
+    return None
+
+
+def watermark_gauge(query) -> str | None:
+    """The watermark of the last batch that had one."""
+    for progress in reversed(query.recentProgress):
+        if progress["eventTime"].get("watermark"):
+            return progress["eventTime"]["watermark"]
+    return None
+
+
 def latest_per_key(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
     """The last written row of every key of an update-mode table."""
     rows = spark.read.parquet(out)

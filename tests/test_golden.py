@@ -122,14 +122,11 @@ def test_word_count(spark):
     assert got == Counter("to be or not to be that is".split())
 
 
-def test_per_window_function(readings):
-    def spread(pdf):
-        import pandas as pd
-
-        return pd.DataFrame({
-            "id": [pdf.id.iloc[0]], "window_start": [pdf.window_start.iloc[0]],
-            "spread": [int(pdf.vc.max() - pdf.vc.min())]})
-
-    got = W.per_window(
-        readings, ["id"], "ts", "5 seconds", spread, "id string, window_start timestamp_ntz, spread int")
-    assert sorted(r.spread for r in got.collect()) == [0, 0, 0, 20, 20, 20]
+def test_aggregate_of_four_methods(spark, readings):
+    got = W.user_aggregate(
+        readings, ["id"], "ts", "5 seconds",
+        zero=lambda: (0.0, 0), add=lambda a, r: (a[0] + r.vc, a[1] + 1),
+        merge=lambda a, b: (a[0] + b[0], a[1] + b[1]), result=lambda a: (a[0] / a[1],),
+        accumulator="s double, n bigint", output="avg double")
+    want = W.window_average(readings, "id", "vc", size="5 seconds").select("id", "window_start", "avg")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
