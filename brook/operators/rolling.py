@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +46,58 @@ def rolling_reduce(df: DataFrame, keys: Sequence[str], order: Sequence[str], val
     return S.scan(df, keys, order).add(**{name: made}).rows()
 
 
+def rolling_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
+                 combine: Callable[[object, object], object], name: str = "running") -> DataFrame:
+    """Running reduce with any associative Python combiner.
+
+    Folded along sorted partitions, one value held at a time. A hot key is
+    folded slice by slice; the results of its earlier slices, one value per hot
+    slice, are combined in front.
+    """
+    laid = S.scan(df, keys, order)
+    part = [*keys, S.SLICE] if laid.sliced else list(keys)
+    kind = df.schema[value].dataType.simpleString()
+    named = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in laid.df.schema)
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, held = None, None
+        for pdf in batches:
+            out = []
+            for place, v in zip(pdf[part].itertuples(index=False, name=None), pdf[value].tolist()):
+                held = combine(held, v) if place == current else v
+                current = place
+                out.append(held)
+            yield pdf.assign(**{name: out})
+
+    def put_before(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = zip(pdf["_late"].tolist(), pdf["_before"].tolist(), pdf[name].tolist())
+            pdf[name] = [combine(a, b) if late else b for late, a, b in rows]
+            yield pdf.drop(columns=["_late", "_before"])
+
+    folded = laid.df.repartition(*part).sortWithinPartitions(*part, *order).mapInPandas(
+        fold, f"{named}, `{name}` {kind}")
+    if not laid.sliced:
+        return folded
+    # One row per hot slice, at most a few ten thousand in all.
+    ends = (
+        folded.where(F.col(S.SLICE) >= 0).groupBy(S.HOT, S.SLICE)
+        .agg(F.max_by(name, F.struct(*order)).alias("_end")).orderBy(S.HOT, S.SLICE).collect()
+    )
+    before, last = [], (None, None)
+    for r in ends:
+        if r[S.HOT] == last[0]:
+            before.append((r[S.HOT], r[S.SLICE], last[1]))
+            last = (r[S.HOT], combine(last[1], r["_end"]))
+        else:
+            last = (r[S.HOT], r["_end"])
+    carried = df.sparkSession.createDataFrame(before, f"`{S.HOT}` int, `{S.SLICE}` int, `_before` {kind}")
+    joined = folded.join(F.broadcast(carried), [S.HOT, S.SLICE], "left").select(
+        *folded.columns, F.col("_before").isNotNull().alias("_late"),
+        F.coalesce("_before", name).alias("_before"))
+    return joined.mapInPandas(put_before, folded.schema).drop(S.HOT, S.SLICE)
+
+
 def rolling_extreme(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
                     kind: str, record: Sequence[str] = ()) -> DataFrame:
     """Running ``min`` / ``max`` of one field, or of the whole record holding it.

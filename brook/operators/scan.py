@@ -6,11 +6,12 @@ a third of the data, or when there is no key at all. Here such keys are cut
 along the order column into slices of equal depth:
 
 1. count rows per key; keys above ``rows_per_slice`` are hot (at most 10,000);
-2. read slice boundaries off the order values of the hot rows;
+2. read slice boundaries off the (key, order) positions of the hot rows, the way
+   a range exchange does;
 3. window over (key, slice) - every row moves once, hot keys to many tasks;
 4. one summary row per hot (key, slice), folded over the earlier slices of the
-   key, is joined back. The summary is at most ``2 x hot rows / rows_per_slice``
-   rows plus one per hot key, hence broadcast.
+   key, is joined back. There are at most 20,000 slices and each further hot key
+   adds one pair, so the summary is below 30,000 rows: small enough to broadcast.
 
 Slice numbers are a fixed function of the row, so a retried task sees the same
 slices and nothing has to be materialised.
@@ -32,10 +33,11 @@ from brook.functions.durations import to_micros
 ROWS_PER_SLICE_CONF = "spark.brook.rowsPerSlice"
 ROWS_PER_SLICE = 1_000_000
 MAX_HOT_KEYS = 10_000
-MAX_SLICES = 10_000
+MAX_SLICES = 20_000
+SLICES_PER_PARTITION = 4  # so that hashing spreads them evenly
 BOUNDARY_SAMPLE = 1_000_000
 
-_SLICE, _HOT = "_slice", "_hot"
+SLICE, HOT = "_slice", "_hot"
 
 
 def rows_per_slice(df: DataFrame) -> int:
@@ -50,8 +52,8 @@ def _position(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def _boundaries(df: DataFrame, order: str, n_rows: int, n: int) -> list[float]:
-    """Up to ``n - 1`` inner boundaries of equal depth.
+def _boundaries(positions: DataFrame, n_rows: int, n: int) -> list[float]:
+    """Up to ``n - 1`` inner boundaries of equal depth over one column of numbers.
 
     They are read off a bounded sample, as a range exchange does; they decide
     how even the slices are, never what the result is.
@@ -59,7 +61,7 @@ def _boundaries(df: DataFrame, order: str, n_rows: int, n: int) -> list[float]:
     fractions = [i / n for i in range(1, n)]
     if not fractions:
         return []
-    values = df.select(_position(df, order).alias("x"))
+    values = positions.toDF("x")
     if n_rows > BOUNDARY_SAMPLE:
         values = values.sample(BOUNDARY_SAMPLE / n_rows, seed=7)
     found = values.agg(F.percentile_approx("x", fractions, 10 * n)).first()[0]
@@ -162,18 +164,18 @@ class Scan:
 
     def window(self, reverse: bool = False):
         order = [F.col(c).desc() if reverse else F.col(c).asc() for c in self.order]
-        part = [*self.keys, _SLICE] if self.sliced else list(self.keys)
+        part = [*self.keys, SLICE] if self.sliced else list(self.keys)
         return Window.partitionBy(*part).orderBy(*order)
 
     def _carry(self, specs: dict[str, Running], later: bool) -> DataFrame:
         """Per hot (key, slice): what its earlier (or later) slices add up to."""
-        summary = self.df.where(F.col(_SLICE) >= 0).groupBy(_HOT, _SLICE).agg(
+        summary = self.df.where(F.col(SLICE) >= 0).groupBy(HOT, SLICE).agg(
             *[r.fold(r.value(self)).alias(f"_c_{n}") for n, r in specs.items()])
-        over = Window.partitionBy(_HOT).orderBy(_SLICE)
+        over = Window.partitionBy(HOT).orderBy(SLICE)
         over = over.rowsBetween(1, Window.unboundedFollowing) if later else over.rowsBetween(
             Window.unboundedPreceding, -1)
         return summary.select(
-            _HOT, _SLICE, *[r.fold(F.col(f"_c_{n}")).over(over).alias(f"_c_{n}") for n, r in specs.items()])
+            HOT, SLICE, *[r.fold(F.col(f"_c_{n}")).over(over).alias(f"_c_{n}") for n, r in specs.items()])
 
     def add(self, **specs: Running) -> Scan:
         """Append running values; they may not refer to each other."""
@@ -182,7 +184,7 @@ class Scan:
             for later in (False, True):
                 some = {n: r for n, r in specs.items() if r.later is later}
                 if some:
-                    df = df.join(F.broadcast(self._carry(some, later)), [_HOT, _SLICE], "left")
+                    df = df.join(F.broadcast(self._carry(some, later)), [HOT, SLICE], "left")
         out = {}
         for n, r in specs.items():
             here = r.local(self)
@@ -197,7 +199,7 @@ class Scan:
         return replace(self, df=self.df.withColumn(name, value))
 
     def rows(self) -> DataFrame:
-        return self.df.drop(_SLICE, _HOT)
+        return self.df.drop(SLICE, HOT)
 
 
 def scan(
@@ -220,48 +222,56 @@ def scan(
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if not keys:
         n_rows = profile.count()
-        n = min(MAX_SLICES, max(parts, math.ceil(n_rows / size)))
-        cut = _boundaries(profile, order[0], n_rows, n)
-        laid = _bucket(df.withColumn(_HOT, F.lit(0)), order[0], cut)
+        cut = _boundaries(profile.select(_position(profile, order[0])), n_rows, _slices(n_rows, size, parts))
+        laid = _bucket(df.withColumn(HOT, F.lit(0)), _position(df, order[0]), cut)
         return Scan(laid, keys, order, True)
 
     # Top-k on purpose: a key outside it holds less than 1/10,000 of all rows.
+    x = _position(profile, order[0])
     hot = (
-        profile.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > size)
-        .orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).collect()
+        profile.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+        .where(F.col("_n") > size).orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).collect()
     )
     if not hot:
         return Scan(df, keys, order, False)
 
-    n_rows = sum(r["_n"] for r in hot)
-    n = min(MAX_SLICES, max(parts, math.ceil(n_rows / size)))
     schema = T.StructType(
         [T.StructField(f"_k{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
-        + [T.StructField(_HOT, T.IntegerType()), T.StructField("_parts", T.IntegerType())]
+        + [T.StructField(HOT, T.IntegerType())]
     )
-    # A key gets slices in proportion to its share of the hot rows.
     listed = df.sparkSession.createDataFrame(
-        [(*[r[k] for k in keys], i + 1, max(1, math.ceil(n * r["_n"] / n_rows)))
-         for i, r in enumerate(hot)],
-        schema,
-    )
+        [(*[r[k] for k in keys], i + 1) for i, r in enumerate(hot)], schema)
     same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
 
     def mark(rows: DataFrame, how: str) -> DataFrame:
         return rows.join(F.broadcast(listed), same, how).drop(*[f"_k{i}" for i in range(len(keys))])
 
-    cut = _boundaries(mark(profile, "inner"), order[0], n_rows, n)
-    laid = _bucket(mark(df, "left"), order[0], cut)
-    coarse = F.floor(F.col(_SLICE) * F.col("_parts") / (len(cut) + 1)).cast("int")
-    laid = laid.withColumn(_SLICE, F.when(F.col(_HOT).isNull(), -1).otherwise(coarse)).drop("_parts")
-    return Scan(laid, keys, order, True)
+    # Key and order on one axis: the key's number plus a fraction that grows
+    # with the order column. Rounding can only tie rows, and ties share a slice.
+    lo = min((r["_lo"] for r in hot if r["_lo"] is not None), default=0.0)
+    hi = max((r["_hi"] for r in hot if r["_hi"] is not None), default=0.0)
+    span = (hi - lo) * 1.000001 or 1.0
+
+    def place(rows: DataFrame) -> Column:
+        return F.col(HOT) + (F.coalesce(_position(rows, order[0]), F.lit(lo)) - F.lit(lo)) / F.lit(span)
+
+    n_rows = sum(r["_n"] for r in hot)
+    found = mark(profile, "inner")
+    cut = _boundaries(found.select(place(found)), n_rows, _slices(n_rows, size, parts))
+    marked = mark(df, "left")
+    laid = _bucket(marked, place(marked), cut)
+    return Scan(laid.withColumn(SLICE, F.when(F.col(HOT).isNull(), -1).otherwise(F.col(SLICE))), keys, order, True)
+
+
+def _slices(n_rows: int, size: int, parts: int) -> int:
+    return min(MAX_SLICES, max(SLICES_PER_PARTITION * parts, math.ceil(n_rows / size)))
 
 
-def _bucket(df: DataFrame, order: str, cut: list[float]) -> DataFrame:
-    """Number of the slice each row falls into; null positions come first."""
-    x = F.coalesce(_position(df, order), F.lit(-math.inf))
+def _bucket(df: DataFrame, place: Column, cut: list[float]) -> DataFrame:
+    """Number of the slice each row falls into; rows without a place come first."""
     if not cut:
-        return df.withColumn(_SLICE, F.lit(0))
+        return df.withColumn(SLICE, F.lit(0))
     edges = [-math.inf, *cut, math.inf]
-    placed = Bucketizer(splits=edges, inputCol="_x", outputCol="_b").transform(df.withColumn("_x", x))
-    return placed.withColumn(_SLICE, F.col("_b").cast("int")).drop("_x", "_b")
+    placed = df.withColumn("_x", F.coalesce(place, F.lit(-math.inf)))
+    placed = Bucketizer(splits=edges, inputCol="_x", outputCol="_b").transform(placed)
+    return placed.withColumn(SLICE, F.col("_b").cast("int")).drop("_x", "_b")

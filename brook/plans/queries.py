@@ -18,6 +18,7 @@ from brook.operators import metrics as M
 from brook.operators import multi as C
 from brook.operators import rolling as R
 from brook.operators import windows as W
+from brook.operators.rowwise import map_with_lifecycle as map_rows_with_lifecycle
 from brook.sinks import payloads as P
 from brook.sources import parse, text
 from brook.sources import views as V
@@ -90,15 +91,15 @@ def map_project(spark, sf_dir):
 
 
 def map_with_lifecycle(spark, sf_dir):
-    """Set-up runs once per task, then batches are mapped to text."""
-    def run(batches):
-        pattern = "user={} item={} behavior={}"  # stands for a costly set-up
-        for pdf in batches:
-            made = [pattern.format(*r) for r in zip(pdf.user_id, pdf.item_id, pdf.behavior)]
-            yield pdf[["item_id"]].assign(text=made)
-
-    rows = V.behaviors(spark, sf_dir).select("user_id", "item_id", "behavior")
-    return rows.mapInPandas(run, "item_id bigint, text string")
+    """Records as text; the template stands for something costly to set up."""
+    def apply(template, pdf):
+        made = [template.format(*r) for r in zip(pdf.user_id, pdf.item_id, pdf.behavior)]
+        return pdf[["item_id"]].assign(text=made)
+
+    return map_rows_with_lifecycle(
+        V.behaviors(spark, sf_dir).select("user_id", "item_id", "behavior"),
+        lambda: "user={} item={} behavior={}", apply, lambda template: None,
+        "item_id bigint, text string")
 
 
 def filter_pv(spark, sf_dir):

@@ -87,6 +87,15 @@ def drain_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], ch
     return query
 
 
+def keep_running(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
+                 mode: str = "update", every: str = "1 second"):
+    """Start a query that runs until stopped and resumes from its checkpoint."""
+    return (
+        stream.writeStream.foreachBatch(write).outputMode(mode)
+        .option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+    )
+
+
 def batch_table(out: str) -> Callable[[DataFrame, int], None]:
     """A batch writer whose retry overwrites its own earlier attempt."""
     def write(batch: DataFrame, batch_id: int) -> None:

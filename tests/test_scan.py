@@ -54,11 +54,22 @@ def test_keyed_values_do_not_depend_on_slices(skewed, size):
 
 def test_hot_key_is_spread(skewed):
     cut = S.scan(skewed, ["id"], ARRIVAL, 20)
-    hot = cut.df.where("id = 'sensor_hot'").groupBy("_slice").count().collect()
+    hot = cut.df.where("id = 'sensor_hot'").groupBy(S.SLICE).count().collect()
     assert len(hot) > 5
     assert max(r["count"] for r in hot) < 0.3 * sum(r["count"] for r in hot)
 
 
+def test_slices_are_even_for_a_burst(skewed):
+    """A hot key whose rows all fall into one hour is still cut evenly."""
+    hour = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    burst = skewed.withColumn("arrival", F.when(
+        F.col("id") == "sensor_hot", hour + F.make_dt_interval(secs=F.col("event_id"))).otherwise(F.col("arrival")))
+    cut = S.scan(burst, ["id"], ARRIVAL, 20)
+    hot = [r["count"] for r in cut.df.where("id = 'sensor_hot'").groupBy(S.SLICE).count().collect()]
+    assert len(hot) > 5 and max(hot) < 3 * sum(hot) / len(hot)
+    assert rows_of(all_values(cut)) == rows_of(all_values(S.scan(burst, ["id"], ARRIVAL, 10**9)))
+
+
 def test_global_values_match_plain_python(skewed):
     got = all_values(S.scan(skewed, [], ARRIVAL, 25)).orderBy(*ARRIVAL).collect()
     total, prev, top = 0, None, None
@@ -87,6 +98,23 @@ def test_empty_input(skewed):
     assert all_values(S.scan(nothing, ["id"], ARRIVAL)).count() == 0
 
 
+def test_any_combiner(skewed):
+    """An associative combiner that does not commute: keep the leftmost, add up the rest."""
+    df = skewed.where("id is not null").select("id", "event_id", "arrival", F.col("vc").cast("string").alias("vc"))
+    got = {}
+    for size in (10**9, 25):
+        df.sparkSession.conf.set(S.ROWS_PER_SLICE_CONF, str(size))
+        out = R.rolling_fold(df, ["id"], ARRIVAL, "vc", lambda a, b: a + "," + b)
+        got[size] = sorted((r.event_id, r.running) for r in out.collect())
+    df.sparkSession.conf.unset(S.ROWS_PER_SLICE_CONF)
+    assert got[25] == got[10**9]
+    held, want = {}, []
+    for r in df.orderBy(*ARRIVAL).collect():
+        held[r.id] = held[r.id] + "," + r.vc if r.id in held else r.vc
+        want.append((r.event_id, held[r.id]))
+    assert got[25] == sorted(want)
+
+
 OPERATORS = {
     "rolling_min_by": lambda d: R.rolling_extreme(d, ["id"], ARRIVAL, "vc", "min", ["vc", "event_id"]),
     "rolling_max_by": lambda d: R.rolling_extreme(d, ["id"], ARRIVAL, "vc", "max", ["vc", "event_id"]),
