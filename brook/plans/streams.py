@@ -163,7 +163,7 @@ def stateful_threshold(spark, sf_dir):
 def stream_timer_per_event(spark, sf_dir):
     """Timers fired by the end of the feed."""
     _stateful(spark)
-    feed = _sensor_feed(spark, sf_dir).withWatermark("ts", "2 hours")
+    feed = S.distinct_per_batch(_sensor_feed(spark, sf_dir), "id", "ts").withWatermark("ts", "2 hours")
     fired = _appended(spark, S.process(feed, "id", S.TimerPerEvent(5 * 3_600_000)), "stream-timers")
     return fired.select("id", from_micros(F.col("fire_ms") * 1000).alias("fire_time"))
 

@@ -5,7 +5,9 @@ an operator needs no timers, only the last known values of a key, each
 micro-batch can instead go through the bounded operator - which spreads hot keys
 over many tasks - together with one state row per key that the batch touches.
 The state is a table in the shared folder, one version per batch. A retried
-batch reads the version before it and overwrites its own output.
+batch reads the version before it and overwrites its own output. Every batch
+writes the state of all keys, so triggers should be large next to the number of
+keys; versions older than the last committed batch may be removed.
 """
 
 from __future__ import annotations

@@ -2,7 +2,8 @@
 
 Each processor holds one small value per key. Rows of a key within one
 micro-batch come unordered, so they are put in arrival order first; how many
-they can be is set by the source's rate limit (files or offsets per trigger).
+they can be is set by the source's rate limit (files or offsets per trigger). For
+operators without timers, ``carry`` spreads the rows of a hot key instead.
 
 In a micro-batch the watermark is that of the batches before. A timer that it
 has passed is treated as fired before the key's rows, as a record-by-record
@@ -59,6 +60,19 @@ def partial_counts(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(key).mapInPandas(count, f"`{key}` {kind}, n bigint")
 
 
+def distinct_per_batch(rows: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` with repeats removed per Arrow batch, before rows travel to their key.
+
+    Set the watermark on the result: a Python map does not pass it on.
+    """
+    def distinct(batches):
+        for pdf in batches:
+            yield pdf.drop_duplicates()
+
+    some = rows.select(*columns)
+    return some.mapInPandas(distinct, some.schema)
+
+
 class RunningCount(StatefulProcessor):
     """Count per key in explicit keyed state, fed with partial counts; one row per key and batch."""
 
@@ -176,9 +190,10 @@ class TimerPerEvent(Processor):
     def __init__(self, delay_ms: int):
         self.delay_ms = delay_ms
 
-    def on_rows(self, key, rows, timerValues):
-        for due in {millis(row.ts) + self.delay_ms for row in rows}:
-            self.handle.registerTimer(due)
+    def handleInputRows(self, key, rows, timerValues):
+        # Order does not matter, so rows are taken one by one; setting a timer again is harmless.
+        for row in rows:
+            self.handle.registerTimer(millis(row.ts) + self.delay_ms)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -193,7 +208,7 @@ class ProcessingTimer(Processor):
     def __init__(self, delay_ms: int):
         self.delay_ms = delay_ms
 
-    def on_rows(self, key, rows, timerValues):
+    def handleInputRows(self, key, rows, timerValues):
         self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.delay_ms)
         return iter([])
 

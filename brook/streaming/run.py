@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from brook import schemas
 
 
-def event_feed(spark: SparkSession, path: str, files_per_trigger: int = 1000,
+def event_feed(spark: SparkSession, path: str, files_per_trigger: int = 100,
                schema: T.StructType = schemas.EVENTS) -> DataFrame:
     """Stored rows as a stream; event times become zoned, as watermarks need.
 
