@@ -60,11 +60,11 @@ def carried(df: DataFrame, columns: list[str], more: str) -> StructType:
 
 
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: StructType | str,
-                column: str = "text") -> DataFrame:
+                column: str = "text", most_bytes: int = 16 << 20) -> DataFrame:
     """mapInArrow over slices that are bounded in bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, column):
+        for part in slices(batches, column, most_bytes):
             out = work(part)
             if out is not None:
                 yield out

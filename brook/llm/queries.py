@@ -5,12 +5,18 @@ from __future__ import annotations
 from brook.llm.decontaminate import OP3_SQL, op3_benchmark_decontamination
 from brook.llm.language import op6_language_id
 from brook.llm.licenses import op9_license_scans
+from brook.llm.line_dedup import op8_line_dedup
+from brook.llm.near_dedup import op7_minhash_near_dedup
+from brook.llm.pieces import op5_sentencepiece
 from brook.llm.toxicity import op2_toxicity
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_language_id": op6_language_id,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_line_dedup": op8_line_dedup,
     "op9_license_scans": op9_license_scans,
 }
 ORACLES = {"op3_benchmark_decontamination": OP3_SQL}
