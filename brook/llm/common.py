@@ -34,6 +34,21 @@ def utf8(name: str = "text") -> Column:
     return F.col(name).cast("binary")
 
 
+def stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Writes a table into the shared folder and reads it back: the lineage ends there.
+
+    The shuffle files of this write are of no further use, so the engine removes them at its end.
+    """
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(setting, before) if before is not None else spark.conf.unset(setting)
+    return spark.read.parquet(path)
+
+
 def crc_mod(name: str, m: int) -> Column:
     """crc32 of the id as text, mod m; null ids give null."""
     return F.crc32(F.col(name).cast("string").cast("binary")) % m

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brook.llm.common import table
+from brook.llm.common import stored, table
 from brook.session import shared_dir
 
 ROLL, DIVISOR = 2, 4
@@ -87,15 +87,14 @@ def repeats(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     often = found.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h")
     marked = (found.join(often, "h").groupBy(_ID, _HASH)
               .agg(F.collect_list(F.struct("first", "n")).alias("c")))  # as many as the document has chunks
-    a, b = keyed.select(_ID, _HASH, "text").dropDuplicates([_ID, _HASH]), marked
+    a, b = keyed.select(_ID, _HASH, "text"), marked
     cut = a.join(b, _same(a, b)).select(a[_ID], a[_HASH], _lines(F.col("text")).alias("s"), F.explode("c").alias("c"))
     piece = F.slice("s", F.col("c.first") + 1, F.col("c.n"))
     cut = cut.select(
         _ID, _HASH, F.col("c.first").alias("first"), F.transform(piece, lambda x: x["i"]).alias("lines"),
         F.array_join(F.transform(piece, lambda x: x["x"]), "\n").alias("bytes"))
-    path = shared_dir(spark, "line-chunks")
-    cut.write.parquet(path)
-    cut = spark.read.parquet(path)
+    cut = stored(spark, cut, shared_dir(spark, "line-chunks"))
+    # Rows that are equal in id and text have equal places, so they stay or go together.
     first = cut.groupBy("bytes").agg(F.min(F.struct(_ID, _HASH, "first")).alias("stays"), F.count("*").alias("k"))
     later = cut.join(first.filter("k > 1").select("bytes", "stays"), "bytes").filter(
         F.struct(_ID, _HASH, "first") != F.col("stays"))
