@@ -84,7 +84,11 @@ def _frame(s: Scan, before: bool):
 
 
 def total(value: Column, before: bool = False) -> Running:
-    """Running sum, 0 where there is nothing yet; ``before`` leaves the row itself out."""
+    """Running sum, 0 where there is nothing yet; ``before`` leaves the row itself out.
+
+    Sums of doubles are rounded in the order of slices, so their last digits may depend on the slicing; use whole
+    numbers or decimals where every digit counts.
+    """
     zero = F.lit(0)
     return Running(
         lambda s: value,
@@ -161,6 +165,7 @@ class Scan:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     sliced: bool
+    n_rows: int | None = None  # known where the whole table was counted
 
     def window(self, reverse: bool = False):
         order = [F.col(c).desc() if reverse else F.col(c).asc() for c in self.order]
@@ -224,7 +229,7 @@ def scan(
         n_rows = profile.count()
         cut = _boundaries(profile.select(_position(profile, order[0])), n_rows, _slices(n_rows, size, parts))
         laid = _bucket(df.withColumn(HOT, F.lit(0)), _position(df, order[0]), cut)
-        return Scan(laid, keys, order, True)
+        return Scan(laid, keys, order, True, n_rows)
 
     # Top-k on purpose: a key outside it holds less than 1/10,000 of all rows.
     x = _position(profile, order[0])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brook.functions.durations import interval
+from brook.functions.durations import interval, micros
 from brook.operators import scan as S
 
 
@@ -34,7 +34,17 @@ def tumbling_count(df: DataFrame, key: str, ts: str = "ts", size: str = "5 secon
 
 def sliding_count(df: DataFrame, key: str, ts: str = "ts", size: str = "50 seconds",
                   slide: str = "5 seconds") -> DataFrame:
-    return windowed(df, [key], ts, size, [F.count("*").alias("n")], slide)
+    """Rows are counted once per pane of one slide; only the counts are spread over the windows that hold the pane."""
+    if micros(size) % micros(slide):
+        return windowed(df, [key], ts, size, [F.count("*").alias("n")], slide)
+    panes = df.groupBy(key, F.window(ts, slide)["start"].alias("_pane")).agg(F.count("*").alias("_n"))
+    back = F.explode(F.sequence(F.lit(0), F.lit(micros(size) // micros(slide) - 1))).alias("_back")
+    return (
+        panes.select(key, "_pane", "_n", back)
+        .groupBy(key, (F.col("_pane") - F.col("_back") * interval(slide)).alias("window_start"))
+        .agg(F.sum("_n").alias("n"))
+        .select(key, "n", "window_start", (F.col("window_start") + interval(size)).alias("window_end"))
+    )
 
 
 def session_count(df: DataFrame, key: str, order: Sequence[str], gap: str = "5 seconds") -> DataFrame:

@@ -339,7 +339,7 @@ SELECT b.id, b.arrival, b.event_id, f.event_id AS best_event_id, f.ts AS best_ts
 FROM best b JOIN firsts f ON f.id = b.id AND f.top = b.top AND f.nth = 1"""
 
 # Streams end in the answer of the bounded query, for what the last watermark closes.
-CLOSED = "(SELECT max(ts) - INTERVAL '2 hours' FROM sensors)"
+CLOSED = "(SELECT max(ts) - INTERVAL '6 hours' FROM sensors)"
 
 ORACLES |= {
     "src_file_stream": ORACLES["src_text_lines"],
@@ -355,6 +355,17 @@ ORACLES |= {
     "stream_last_value": ORACLES["last_value_keyed"],
     "stream_rolling_sum": f"""WITH {SENSORS} SELECT event_id, event_type AS id, arrival, CAST(1 AS BIGINT) AS value,
   row_number() OVER (PARTITION BY event_type ORDER BY arrival, event_id) AS running FROM sensors""",
+    "stream_kv_upsert": f"""WITH {SENSORS} SELECT id AS key, CAST(count(*) AS VARCHAR) AS value
+FROM sensors WHERE event_type = 'view' GROUP BY id""",
+    "metric_gauge": f"WITH {SENSORS} SELECT vc AS last_vc FROM sensors ORDER BY arrival DESC, event_id DESC LIMIT 1",
+    "metric_watermark": f"WITH {SENSORS} SELECT max(ts) - INTERVAL '6 hours' AS watermark FROM sensors",
+    "uv_approx": """WITH least AS (
+  SELECT substr(md5(CAST(user_id AS VARCHAR)), 1, 3) AS b, min(substr(md5(CAST(user_id AS VARCHAR)), 4, 12)) AS h
+  FROM events WHERE event_type = 'view' AND user_id IS NOT NULL GROUP BY 1),
+sums AS (SELECT count(*) AS full_, 4096 - count(*) AS empty_, coalesce(sum(CAST('0x' || h AS BIGINT)), 0) AS minima FROM least)
+SELECT CAST(round(CASE WHEN empty_ * 20 >= 4096 THEN 4096.0::DOUBLE * ln(4096.0::DOUBLE / greatest(empty_, 1))
+  ELSE 4095.0::DOUBLE * full_ * 281474976710656.0::DOUBLE / CAST(minima + empty_ * 281474976710656 AS DOUBLE) END) AS BIGINT) AS uv
+FROM sums""",
     "sink_custom": ORACLES["sink_jdbc_rows"],
     "stream_tumbling_count": f"""WITH {SENSORS}, w AS ({windows('sensors', 'id', 5, 'count(*) AS n')})
 SELECT * FROM w WHERE window_end <= {CLOSED}""",
@@ -362,7 +373,7 @@ SELECT * FROM w WHERE window_end <= {CLOSED}""",
   SELECT id, {bucket(5)} - to_hours(CAST(5 * i AS BIGINT)) AS window_start
   FROM sensors, range(10) r(i) WHERE event_type = 'view'),
 w AS (SELECT id, window_start, window_start + INTERVAL '50 hours' AS window_end, count(*) AS n FROM spread GROUP BY ALL)
-SELECT * FROM w WHERE window_end <= (SELECT max(ts) - INTERVAL '2 hours' FROM sensors WHERE event_type = 'view')""",
+SELECT * FROM w WHERE window_end <= (SELECT max(ts) - INTERVAL '6 hours' FROM sensors WHERE event_type = 'view')""",
     "stream_session_count": f"""WITH {SENSORS}, flagged AS (
   SELECT id, ts, event_id, CASE WHEN ts > lag(ts) OVER o + INTERVAL '5 hours' THEN 1 ELSE 0 END AS anew
   FROM sensors WHERE event_type = 'view' WINDOW o AS (PARTITION BY id ORDER BY ts, event_id)),
@@ -372,7 +383,7 @@ sessions AS (
   SELECT id, count(*) AS n, min(ts) AS session_start, max(ts) + INTERVAL '5 hours' AS session_end
   FROM numbered GROUP BY id, s)
 SELECT * FROM sessions
-WHERE session_end <= (SELECT max(ts) - INTERVAL '2 hours' FROM sensors WHERE event_type = 'view')""",
+WHERE session_end <= (SELECT max(ts) - INTERVAL '6 hours' FROM sensors WHERE event_type = 'view')""",
     "stream_timer_per_event": f"""WITH {SENSORS} SELECT DISTINCT id, ts + INTERVAL '5 hours' AS fire_time
 FROM sensors WHERE ts + INTERVAL '5 hours' <= {CLOSED}""",
 }

@@ -93,12 +93,14 @@ def map_project(spark, sf_dir):
 def map_with_lifecycle(spark, sf_dir):
     """Records as text; the template stands for something costly to set up."""
     def apply(template, pdf):
-        made = [template.format(*r) for r in zip(pdf.user_id, pdf.item_id, pdf.behavior)]
+        made = template[0]
+        for column, rest in zip((pdf.user_id, pdf.item_id, pdf.behavior), template[1:], strict=True):
+            made = made + column.astype(str) + rest
         return pdf[["item_id"]].assign(text=made)
 
     return map_rows_with_lifecycle(
         V.behaviors(spark, sf_dir).select("user_id", "item_id", "behavior"),
-        lambda: "user={} item={} behavior={}", apply, lambda template: None,
+        lambda: ("user=", " item=", " behavior=", ""), apply, lambda template: None,
         "item_id bigint, text string")
 
 
@@ -214,7 +216,7 @@ def uv_running(spark, sf_dir):
 
 
 def uv_approx(spark, sf_dir):
-    return V.page_views(spark, sf_dir).agg(F.approx_count_distinct("user_id", 0.02).alias("uv"))
+    return R.approximate_distinct(V.page_views(spark, sf_dir), "user_id")
 
 
 def channel_behavior_count(spark, sf_dir):

@@ -31,8 +31,14 @@ def _stateful(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", session.ROCKSDB)
 
 
+#: Arrivals are up to six hours behind their event time, so with this bound no row is late.
+DISORDER = "6 hours"
+
+
 def _sensor_feed(spark, sf_dir) -> DataFrame:
-    return run.zoned(V.as_sensors(run.zoneless(run.event_feed(spark, f"{sf_dir}/events.parquet"))))
+    """Sensor rows in order of arrival, over several micro-batches."""
+    rows = V.as_sensors(V.events(spark, sf_dir))
+    return run.ordered_feed(rows, ("arrival", "event_id"), f"{session.shared_dir(spark, 'feed')}/rows")
 
 
 def _appended(spark, stream: DataFrame, name: str) -> DataFrame:
@@ -70,7 +76,7 @@ def restartable_word_count(spark, sf_dir):
     root = session.shared_dir(spark, "restart")
     lines = V.table(spark, sf_dir, "documents").select("lang", F.col("text").alias("line"))
     for english in (True, False):
-        part = lines.where((F.col("lang") == "en") == english).select("line")
+        part = lines.where(F.col("lang").eqNullSafe("en") == english).select("line")
         part.write.mode("append").option("lineSep", "\n").text(f"{root}/lines")
         counts = A.word_count(text.stream_lines(spark, f"{root}/lines"))
         run.drain_batches(counts, run.batch_table(f"{root}/out"), f"{root}/checkpoint")
@@ -79,17 +85,18 @@ def restartable_word_count(spark, sf_dir):
 
 def stream_tumbling_count(spark, sf_dir):
     feed = _sensor_feed(spark, sf_dir)
-    return _appended(spark, A.tumbling_count(feed, "id", "5 hours", "2 hours"), "stream-tumbling")
+    return _appended(spark, A.tumbling_count(feed, "id", "5 hours", DISORDER), "stream-tumbling")
 
 
 def stream_sliding_count(spark, sf_dir):
     feed = _sensor_feed(spark, sf_dir).where(F.col("event_type") == V.PAGE_VIEW)
-    return _appended(spark, A.tumbling_count(feed, "id", "50 hours", "2 hours", "5 hours"), "stream-sliding")
+    return _appended(spark, A.tumbling_count(feed, "id", "50 hours", DISORDER, "5 hours"), "stream-sliding")
 
 
 def stream_session_count(spark, sf_dir):
     feed = _sensor_feed(spark, sf_dir).where(F.col("event_type") == V.PAGE_VIEW)
-    return _appended(spark, A.session_count(feed, "id", "5 hours", "2 hours"), "stream-session")
+    with run.local_sessions(spark):
+        return _appended(spark, A.session_count(feed, "id", "5 hours", DISORDER), "stream-session")
 
 
 def stream_uv(spark, sf_dir):
@@ -117,14 +124,13 @@ def state_lookup(spark, sf_dir):
 
 
 def _tagged_feed(spark, sf_dir) -> DataFrame:
-    """Rules (rank 0) and readings (rank 1) as one stream."""
+    """Rules (rank 0) and readings (rank 1) as one stream: a sign-up is both."""
     nothing = F.lit(None).cast("int")
-    rules = _sensor_feed(spark, sf_dir).where(F.col("event_type") == "signup").select(
-        "event_id", "id", nothing.alias("vc"), "arrival", F.lit(0).alias("rank"),
-        (F.col("vc") % 40).alias("threshold_vc"))
-    readings = _sensor_feed(spark, sf_dir).select(
-        "event_id", "id", "vc", "arrival", F.lit(1).alias("rank"), nothing.alias("threshold_vc"))
-    return readings.unionByName(rules)
+    rule = F.when(F.col("event_type") == "signup", F.struct(
+        nothing.alias("vc"), F.lit(0).alias("rank"), (F.col("vc") % 40).alias("threshold_vc")))
+    reading = F.struct("vc", F.lit(1).alias("rank"), nothing.alias("threshold_vc"))
+    both = _sensor_feed(spark, sf_dir).select("event_id", "id", "arrival", F.explode(F.array(rule, reading)).alias("r"))
+    return both.where("r is not null").select("event_id", "id", "r.vc", "arrival", "r.rank", "r.threshold_vc")
 
 
 def _carried(spark, stream: DataFrame, name: str, writer, *options) -> DataFrame:
@@ -163,11 +169,39 @@ def stateful_threshold(spark, sf_dir):
 def stream_timer_per_event(spark, sf_dir):
     """Timers fired by the end of the feed."""
     _stateful(spark)
-    feed = S.distinct_per_batch(_sensor_feed(spark, sf_dir), "id", "ts").withWatermark("ts", "2 hours")
+    feed = S.distinct_per_batch(_sensor_feed(spark, sf_dir), "id", "ts").withWatermark("ts", DISORDER)
     fired = _appended(spark, S.process(feed, "id", S.TimerPerEvent(5 * 3_600_000)), "stream-timers")
     return fired.select("id", from_micros(F.col("fire_ms") * 1000).alias("fire_time"))
 
 
+def stream_kv_upsert(spark, sf_dir):
+    """The running page views of each user, as a key-value store holds them at the end of the feed."""
+    views = _sensor_feed(spark, sf_dir).where(F.col("event_type") == V.PAGE_VIEW)
+    counts = payloads.kv_running(A.running_count(views, "id"), "id")
+    return _updated(spark, counts, "stream-kv", ["key"])
+
+
+def _observed(spark, sf_dir, name: str):
+    """A finished run that shows the last reading as a metric and keeps a watermark."""
+    out, checkpoint = _places(spark, name)
+    last = F.max_by("vc", F.struct("arrival", "event_id")).alias("last_vc")
+    feed = _sensor_feed(spark, sf_dir).observe("readings", last)
+    return run.drain(A.tumbling_count(feed, "id", "5 hours", DISORDER), out, checkpoint)
+
+
+def metric_gauge(spark, sf_dir):
+    """What a gauge on the last reading shows when the feed has ended."""
+    value = run.latest_metric(_observed(spark, sf_dir, "gauge"), "readings", "last_vc")
+    return spark.createDataFrame([(value,)], "last_vc int")
+
+
+def metric_watermark(spark, sf_dir):
+    """What a gauge on the watermark shows when the feed has ended."""
+    mark = run.watermark_gauge(_observed(spark, sf_dir, "watermark"))
+    return spark.createDataFrame([(mark,)], "at string").select(
+        F.to_timestamp("at").cast("timestamp_ntz").alias("watermark"))
+
+
 def sink_custom(spark, sf_dir):
     """A stream written through the custom sink, and what it committed."""
     spark.dataSource.register(custom.RowsSink)
@@ -188,6 +222,6 @@ STREAMS = {
         stream_tumbling_count, stream_sliding_count, stream_session_count, stream_uv,
         stateful_count, state_lookup, stream_dynamic_threshold, stateful_threshold,
         stream_jump_alert, stream_last_value, stream_rolling_sum,
-        stream_timer_per_event, sink_custom,
+        stream_timer_per_event, stream_kv_upsert, metric_gauge, metric_watermark, sink_custom,
     )
 }

@@ -30,9 +30,13 @@ def queue_writer(stream: DataFrame, brokers: str, topic: str, checkpoint: str):
 
 
 def jdbc_rows(behaviors: DataFrame) -> DataFrame:
-    """The three columns of the relational table: user id narrowed, item id as text."""
+    """The three columns of the relational table: user id narrowed, item id as text.
+
+    An id beyond 32 bits wraps around, as a narrowing conversion does; it never fails the write.
+    """
+    low = F.col("user_id").bitwiseAND(0xFFFFFFFF)
     return behaviors.select(
-        F.col("user_id").cast("int").alias("user_id"),
+        F.when(low >= 2**31, low - 2**32).otherwise(low).cast("int").alias("user_id"),
         F.col("item_id").cast("string").alias("item_id"),
         "behavior",
     )
@@ -53,10 +57,14 @@ def jdbc_writer(url: str, table: str, driver: str, batch_size: int = 1000, **pro
     return write
 
 
+def kv_running(counts: DataFrame, key: str, value: str = "n") -> DataFrame:
+    """Running counts (an update-mode aggregate) as text pairs; the last value of each key wins."""
+    return counts.select(F.col(key).cast("string").alias("key"), F.col(value).cast("string").alias("value"))
+
+
 def kv_latest(views: DataFrame) -> DataFrame:
-    """``user -> page views`` as text pairs: the last value of each key wins."""
-    return views.groupBy("user_id").agg(F.count("*").alias("n")).select(
-        F.col("user_id").cast("string").alias("key"), F.col("n").cast("string").alias("value"))
+    """``user -> page views`` of a bounded table. On a stream count first, then use ``kv_running``."""
+    return kv_running(views.groupBy("user_id").agg(F.count("*").alias("n")), "user_id")
 
 
 def documents(behaviors: DataFrame, order: tuple[str, ...] = ("ts", "item_id")) -> DataFrame:

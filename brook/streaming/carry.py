@@ -4,15 +4,16 @@ A stateful processor sees all rows of a key of a micro-batch in one task. Where
 an operator needs no timers, only the last known values of a key, each
 micro-batch can instead go through the bounded operator - which spreads hot keys
 over many tasks - together with one state row per key that the batch touches.
-The state is a table in the shared folder, one version per batch. A retried
-batch reads the version before it and overwrites its own output. Every batch
-writes the state of all keys, so triggers should be large next to the number of
-keys; versions older than the last committed batch may be removed.
+The state lies in the shared folder as tables of changes. A batch writes the keys it touched and nothing else; whenever
+two neighbouring tables span the same number of batches, they are merged into one that spans both, so a lookup reads
+at most log2(batches) tables and a change is rewritten at most that often. A retried batch reads the same tables and
+overwrites its own; tables that were merged go when the next batch starts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ def carried(
     operate: Callable[[DataFrame], DataFrame],
     remember: Callable[[DataFrame], DataFrame],
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` writer to ``root/out`` with its state in ``root/state``.
+    """A ``foreachBatch`` writer to ``root/out`` with its state below ``root/state``.
 
     ``operate`` and ``remember`` take batch rows plus state rows; a state row has
     null in every column that is not part of the state and sorts before all rows.
@@ -37,24 +38,72 @@ def carried(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        _remove_merged(spark, f"{root}/state", batch_id)
         batch = batch.persist()
         try:
-            rows, rest = batch, None
+            rows = batch
             if batch_id > 0:
-                state = spark.read.parquet(f"{root}/state/batch_id={batch_id - 1}")
                 touched = batch.select(*keys).distinct()
-                rows = batch.unionByName(state.join(touched, keys, "left_semi"), allowMissingColumns=True)
-                rest = state.join(touched, keys, "left_anti")
+                before = _newest(spark, root, spans(batch_id), keys, touched)
+                rows = batch.unionByName(before, allowMissingColumns=True)
             operate(rows).write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
-            after = remember(rows)
-            after = after if rest is None else after.unionByName(rest)
-            after.write.mode("overwrite").parquet(f"{root}/state/batch_id={batch_id}")
+            remember(rows).write.mode("overwrite").parquet(f"{root}/state/{batch_id}-{batch_id}")
+            for low, high in merges(batch_id):
+                halves = [(low, (low + high) // 2), ((low + high) // 2 + 1, high)]
+                _newest(spark, root, halves, keys).write.mode("overwrite").parquet(f"{root}/state/{low}-{high}")
         finally:
             batch.unpersist()
 
     return write
 
 
+def spans(n: int) -> list[tuple[int, int]]:
+    """The tables that together hold batches 0 to n - 1: one for each binary digit of n."""
+    out, low = [], 0
+    for digit in reversed(range(n.bit_length())):
+        if n >> digit & 1:
+            out.append((low, low + (1 << digit) - 1))
+            low += 1 << digit
+    return out
+
+
+def merges(batch_id: int) -> list[tuple[int, int]]:
+    """The tables that a batch completes, the smallest first."""
+    out, width = [], 2
+    while (batch_id + 1) % width == 0:
+        out.append((batch_id + 1 - width, batch_id))
+        width *= 2
+    return out
+
+
+def _newest(spark, root: str, tables: list[tuple[int, int]], keys: list[str],
+            touched: DataFrame | None = None) -> DataFrame:
+    """The last state row of each key over some tables, of touched keys only if given."""
+    parts = []
+    for place, (low, high) in enumerate(tables):
+        part = spark.read.parquet(f"{root}/state/{low}-{high}")
+        # A state row is one a key and table, so the semi join moves keys, not rows of the batch.
+        part = part if touched is None else part.join(touched, keys, "left_semi")
+        parts.append(part.withColumn("_place", F.lit(place)))
+    rows = reduce(DataFrame.unionByName, parts)
+    values = [c for c in rows.columns if c not in (*keys, "_place")]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "_place").alias("_v"))
+    return last.select(*keys, *[F.col("_v")[c].alias(c) for c in values])
+
+
+def _remove_merged(spark, folder: str, batch_id: int) -> None:
+    """Removes tables that neither this batch nor a later one reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return
+    needed = {f"{low}-{high}" for low, high in spans(batch_id)}
+    for found in files.listStatus(path):
+        name = found.getPath().getName()
+        if name not in needed and int(name.split("-")[-1]) < batch_id:
+            files.delete(found.getPath(), True)
+
+
 def _last(value: str, *place: str):
     return F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*place))).alias(value)
 

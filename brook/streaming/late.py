@@ -24,8 +24,7 @@ def _mark_before(spark: SparkSession, marks: str, batch_id: int) -> int | None:
     """Greatest event time of all batches before this one, one number."""
     if batch_id == 0:
         return None
-    rows = spark.read.schema(_MARK).parquet(marks)
-    return rows.where(F.col("batch") == batch_id - 1).agg(F.max("top")).first()[0]
+    return spark.read.schema(_MARK).parquet(f"{marks}/batch_id={batch_id - 1}").agg(F.max("top")).first()[0]
 
 
 def split_writer(root: str, size: str = "5 seconds", bound: str = "2 seconds",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
@@ -27,6 +28,29 @@ def event_feed(spark: SparkSession, path: str, files_per_trigger: int = 100,
     return zoned(raw)
 
 
+#: Rows of one feed file; a feed has FEED_FILES files at least, and up to MAX_BATCHES micro-batches beyond FEED_FILES / 2.
+FEED_ROWS, FEED_FILES, MAX_BATCHES = 1_000_000, 10, 50
+
+
+def ordered_feed(rows: DataFrame, order: Sequence[str], path: str) -> DataFrame:
+    """Stored rows as a stream that delivers them in ``order``, whatever files they were stored in.
+
+    The rows are range-partitioned into sorted files, and the files' times are set in that order, since a file stream
+    takes files by time. A trigger takes whole files, so every micro-batch continues where the one before ended.
+    """
+    spark = rows.sparkSession
+    n = max(FEED_FILES, -(-rows.count() // FEED_ROWS))
+    rows.repartitionByRange(n, *order).sortWithinPartitions(*order).write.parquet(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(f.getPath().getName() for f in files.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    now = int(time.time())
+    for place, name in enumerate(names):  # names only: as many as there are files
+        files.setTimes(hadoop.Path(folder, name), (now - len(names) + place) * 1000, -1)
+    return event_feed(spark, path, max(2, n // MAX_BATCHES), rows.schema)
+
+
 def zoned(df: DataFrame) -> DataFrame:
     """Zone-less timestamps as timestamps of the session zone (UTC)."""
     return df.withColumns({
@@ -58,6 +82,18 @@ def _idle_batches(spark: SparkSession, wanted: bool):
         spark.conf.set(IDLE, before)
 
 
+@contextmanager
+def local_sessions(spark: SparkSession):
+    """Session rows of a key are merged inside each task before the exchange."""
+    name = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def drain(stream: DataFrame, out: str, checkpoint: str, label: str | None = None, idle: bool = True):
     """Append everything available to a parquet table; returns the finished query.
 
@@ -122,7 +158,7 @@ def latest_metric(query, group: str, name: str):
     """The current value of an observed metric: what a gauge shows on demand."""
     for progress in reversed(query.recentProgress):
         metrics = progress["observedMetrics"].get(group)
-        if metrics is not None:
+        if metrics is not None and metrics[name] is not None:  # a batch without rows shows nothing new
             return metrics[name]
     return None
 

@@ -8,7 +8,7 @@ from datetime import timezone
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from conftest import READINGS, at, clock, sensor_frame
+from conftest import READINGS, SF, at, clock, sensor_frame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,11 +16,15 @@ from brook.operators import keyed as K
 from brook.operators import metrics as M
 from brook.operators import multi as C
 from brook.operators import scan as S
+from brook.plans.oracles import ORACLES
+from brook.plans.streams import STREAMS
 from brook.sinks import custom, payloads
 from brook.sources import replay, text
+from brook.sources.views import sensors
 from brook.streaming import aggregates as A
 from brook.streaming import carry, late, run, state
 from brook.streaming import processors as P
+from check import connect, difference
 
 SCHEMA = "event_id bigint, id string, ts timestamp_ntz, vc int, arrival timestamp_ntz"
 LATE = [("s1", 1), ("s1", 4), ("s1", 7), ("s1", 3), ("s1", 8), ("s1", 2), ("s1", 9), ("s1", 4), ("s2", 20)]
@@ -377,3 +381,45 @@ def test_console(spark, feed, tmp_path, capfd):
     query.processAllAvailable()
     query.stop()
     assert query.name == "label"
+
+
+@pytest.mark.parametrize("layout", ["one file", "many in order", "many shuffled"])
+def test_registered_streams_for_any_layout(spark, tmp_path, layout):
+    """The same answers however the table is cut into files, over five micro-batches at least."""
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    if layout != "one file":
+        order = ["ts", "event_id"] if layout == "many in order" else [F.xxhash64("event_id")]
+        events.repartitionByRange(40, *order).write.parquet(f"{tmp_path}/events.parquet")
+    else:
+        events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    con = connect(SF)
+    for name in ("stream_jump_alert", "stream_session_count", "stream_timer_per_event"):
+        assert difference(STREAMS[name](spark, str(tmp_path)), con.execute(ORACLES[name]).df()) == "", name
+    feed = run.ordered_feed(sensors(spark, str(tmp_path)), ("arrival", "event_id"), f"{tmp_path}/feed")
+    query = run.drain(feed, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) >= 5
+    assert spark.read.parquet(f"{tmp_path}/out").count() == events.count()
+
+
+def test_state_costs_what_a_batch_touches(spark, tmp_path):
+    """Tables of changes: no untouched key is written again by a batch that merges nothing, and old tables go."""
+    write = carry.last_values(f"{tmp_path}/c")
+    columns = ["event_id", "id", "vc", "arrival"]
+    many = sensor_frame(spark, [(f"k{i}", i, i) for i in range(500)]).select(*columns)
+    for batch_id in range(7):
+        rows = many if batch_id == 0 else sensor_frame(spark, [("k1", 1000 + batch_id, batch_id)]).select(*columns)
+        write(rows, batch_id)
+    state = {p.name: spark.read.parquet(str(p)).count() for p in (tmp_path / "c" / "state").iterdir()}
+    assert state["6-6"] == state["4-5"] == 1 and state["0-3"] == 500
+    assert set(state) <= {"0-3", "4-5", "4-4", "5-5", "6-6"}
+    got = spark.read.parquet(f"{tmp_path}/c/out").where("batch_id = 6").collect()
+    assert [(r.vc, r.last) for r in got] == [(6, 5)]
+    assert carry.spans(13) == [(0, 7), (8, 11), (12, 12)] and carry.merges(7) == [(6, 7), (4, 7), (0, 7)]
+
+
+def test_running_counts_reach_a_key_value_store(spark, feed, tmp_path):
+    feed.each([("a", 1, 0), ("b", 2, 0), ("a", 3, 0), ("a", 4, 0)])
+    counts = payloads.kv_running(A.running_count(feed.stream(spark), "id"), "id")
+    run.drain_batches(counts, run.batch_table(f"{tmp_path}/kv"), f"{tmp_path}/checkpoint")
+    last = run.latest_per_key(spark, f"{tmp_path}/kv", ["key"])
+    assert sorted(map(tuple, last.collect())) == [("a", "3"), ("b", "1")]

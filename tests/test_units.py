@@ -10,6 +10,7 @@ from brook import session
 from brook.functions import durations as D
 from brook.functions.text import window_text
 from brook.operators import multi as C
+from brook.operators.rolling import approximate_distinct
 from brook.operators.rowwise import map_with_lifecycle
 from brook.sinks import payloads
 from brook.sources import parse
@@ -108,3 +109,17 @@ def test_shared_folder_is_taken_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     made = session.shared_dir(spark, "x")
     assert made.startswith(root if root else "/") and made != session.shared_dir(spark, "x")
+
+
+def test_user_ids_wrap_around(spark):
+    rows = spark.createDataFrame(
+        [(2**31, 1, "b"), (2**32 + 5, 1, "b"), (-1, 1, "b"), (7, 1, "b"), (None, 1, "b")],
+        "user_id bigint, item_id bigint, behavior string")
+    assert [r.user_id for r in payloads.jdbc_rows(rows).collect()] == [-(2**31), 5, -1, 7, None]
+
+
+@pytest.mark.parametrize("n", [0, 1, 50, 5_000, 12_000, 40_000, 1_000_000])
+def test_approximate_distinct_error(spark, n):
+    rows = spark.range(n).select((F.col("id") * 7919).alias("u")).unionAll(spark.range(min(n, 100)).select(F.col("id") * 7919))
+    got = approximate_distinct(rows, "u").first().uv
+    assert abs(got - n) <= max(0.5, 4 * n / 64)
