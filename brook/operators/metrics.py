@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -62,6 +63,27 @@ def trailing_rates(df: DataFrame, ts: str = "ts", step: str = "1 minute",
         "step_start", *[(F.col(f"_sum_{k}") / F.lit(float(k))).alias(f"rate_{k}") for k in spans])
 
 
+def exponential_rates(df: DataFrame, ts: str = "ts", step: str = "1 minute",
+                      spans: Sequence[int] = (1, 5, 15), horizon: int = 28) -> DataFrame:
+    """Exponentially weighted events per step over 1, 5 and 15 steps, at every step from the first to the last.
+
+    Each step moves a rate by ``1 - exp(-1 / span)`` of the way to that step's count; the first step sets it. A
+    step's weight is below 1e-12 after ``horizon`` spans, so its count is spread that far and no further, which keeps
+    the running value free of a window over the whole history. Steps without events let the rates decay.
+    """
+    per_step = df.groupBy(F.window(ts, step)["start"].alias("at")).agg(F.count("*").alias("n"))
+    ends = per_step.agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
+    steps = ends.where("lo is not null").select(F.explode(F.sequence("lo", "hi", interval(step))).alias("step_start"), "lo")
+    ages = F.sequence(F.lit(0), F.lit(max(spans) * horizon - 1))
+    spread = per_step.select("at", "n", F.explode(ages).alias("age")).select(
+        "n", "age", "at", (F.col("at") + F.col("age") * interval(step)).alias("step_start"))
+    grown = steps.join(spread, "step_start", "left").groupBy("step_start").agg(*[
+        F.round(F.coalesce(F.sum(F.when(F.col("age") < k * horizon, F.col("n") * F.exp(-F.col("age") / F.lit(float(k)))
+                                        * F.when(F.col("at") == F.col("lo"), 1.0).otherwise(1.0 - math.exp(-1.0 / k)))),
+                           F.lit(0.0)), 6).alias(f"rate_{k}") for k in spans])
+    return grown
+
+
 def delay_stats(df: DataFrame, ts: str = "ts", arrival: str = "arrival", size: str = "5 seconds") -> DataFrame:
     """Delay from event time to arrival, in seconds, per event-time window.
 

@@ -310,6 +310,17 @@ FROM sensors GROUP BY ALL""",
 SELECT a.at AS step_start, CAST(sum(CASE WHEN b.at = a.at THEN b.n END) AS DOUBLE) AS rate_1,
   sum(CASE WHEN b.at > a.at - INTERVAL '5 hours' THEN b.n END) / 5.0::DOUBLE AS rate_5, sum(b.n) / 15.0::DOUBLE AS rate_15
 FROM steps a JOIN steps b ON b.at <= a.at AND b.at > a.at - INTERVAL '15 hours' GROUP BY a.at""",
+    "meter_exponential_rates": f"""WITH {SENSORS},
+counts AS (SELECT {bucket(1)} AS seen, CAST(count(*) AS DOUBLE) AS n FROM sensors GROUP BY ALL),
+ends AS (SELECT min(seen) AS lo, max(seen) AS hi FROM counts),
+steps AS (SELECT unnest(generate_series(lo, hi, INTERVAL '1 hour')) AS step_start FROM ends),
+aged AS (SELECT step_start, n, seen = lo AS first_one, epoch(step_start - seen) / 3600.0::DOUBLE AS age
+  FROM steps JOIN counts ON seen <= step_start AND seen > step_start - INTERVAL '420 hours', ends)
+SELECT step_start, """ + ", ".join(
+        f"""round(coalesce(sum(CASE WHEN age < {28 * k} THEN n * exp(-age / {k}.0::DOUBLE)
+  * CASE WHEN first_one THEN 1.0::DOUBLE ELSE 1.0::DOUBLE - exp(-1.0::DOUBLE / {k}.0::DOUBLE) END END), 0), 6) AS rate_{k}"""
+        for k in (1, 5, 15)) + """
+FROM steps LEFT JOIN aged USING (step_start) GROUP BY step_start""",
     "delay_stats": f"""WITH {SENSORS}, delays AS (
   SELECT {bucket(5)} AS window_start, CAST(epoch(arrival) - epoch(ts) AS BIGINT) AS d FROM sensors)
 SELECT window_start, count(*) AS n, max(d) AS max_delay, round(avg(d), 6) AS avg_delay,
@@ -355,6 +366,11 @@ ORACLES |= {
     "stream_last_value": ORACLES["last_value_keyed"],
     "stream_rolling_sum": f"""WITH {SENSORS} SELECT event_id, event_type AS id, arrival, CAST(1 AS BIGINT) AS value,
   row_number() OVER (PARTITION BY event_type ORDER BY arrival, event_id) AS running FROM sensors""",
+    "buffer_restart": f"""WITH {SENSORS}, placed AS (
+  SELECT CAST(event_id % 16 AS INTEGER) AS shard, event_id, vc,
+    row_number() OVER (PARTITION BY event_id % 16 ORDER BY arrival, event_id) AS pos,
+    count(*) OVER (PARTITION BY event_id % 16) AS n FROM sensors)
+SELECT shard, event_id, vc FROM placed WHERE pos <= n // 3 * 3""",
     "stream_kv_upsert": f"""WITH {SENSORS} SELECT id AS key, CAST(count(*) AS VARCHAR) AS value
 FROM sensors WHERE event_type = 'view' GROUP BY id""",
     "metric_gauge": f"WITH {SENSORS} SELECT vc AS last_vc FROM sensors ORDER BY arrival DESC, event_id DESC LIMIT 1",

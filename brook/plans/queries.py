@@ -409,6 +409,10 @@ def meter_trailing_rates(spark, sf_dir):
     return M.trailing_rates(V.sensors(spark, sf_dir), "ts", "1 hour")
 
 
+def meter_exponential_rates(spark, sf_dir):
+    return M.exponential_rates(V.sensors(spark, sf_dir), "ts", "1 hour")
+
+
 def delay_stats(spark, sf_dir):
     return M.delay_stats(V.sensors(spark, sf_dir), "ts", "arrival", "5 hours")
 
@@ -449,7 +453,7 @@ QUERIES = {
         timer_one_per_key_processing, rising_alert_event, rising_alert_processing, jump_alert,
         jump_alert_self_cleaning, last_value_keyed, last_value_global, ttl_count, metric_counter,
         metric_counter_weighted, histogram_last_n, histogram_last_500, meter_rate,
-        meter_trailing_rates, delay_stats, sink_queue_payload, sink_jdbc_rows, sink_kv_latest,
+        meter_trailing_rates, meter_exponential_rates, delay_stats, sink_queue_payload, sink_jdbc_rows, sink_kv_latest,
         sink_doc_upsert,
     )
 }

@@ -174,6 +174,20 @@ def stream_timer_per_event(spark, sf_dir):
     return fired.select("id", from_micros(F.col("fire_ms") * 1000).alias("fire_time"))
 
 
+def buffer_restart(spark, sf_dir):
+    """A buffer of three per shard, stopped half-way through the feed and started again from its checkpoint."""
+    _stateful(spark)
+    root = session.shared_dir(spark, "buffer-restart")
+    rows = V.sensors(spark, sf_dir).withColumn("shard", F.pmod("event_id", F.lit(16)).cast("int"))
+    clock = F.col("arrival").cast("timestamp").cast("double")
+    half = rows.agg(((F.min(clock) + F.max(clock)) / 2).alias("half")).first().half
+    for place, part in enumerate((clock <= half, clock > half)):
+        n = run.ordered_files(rows.where(part), ("arrival", "event_id"), f"{root}/feed/{place}")
+        feed = run.event_feed(spark, f"{root}/feed/*", max(2, n // run.MAX_BATCHES), rows.schema)
+        run.drain(S.process(feed, "shard", S.Buffer(3)), f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out")
+
+
 def stream_kv_upsert(spark, sf_dir):
     """The running page views of each user, as a key-value store holds them at the end of the feed."""
     views = _sensor_feed(spark, sf_dir).where(F.col("event_type") == V.PAGE_VIEW)
@@ -222,6 +236,6 @@ STREAMS = {
         stream_tumbling_count, stream_sliding_count, stream_session_count, stream_uv,
         stateful_count, state_lookup, stream_dynamic_threshold, stateful_threshold,
         stream_jump_alert, stream_last_value, stream_rolling_sum,
-        stream_timer_per_event, stream_kv_upsert, metric_gauge, metric_watermark, sink_custom,
+        stream_timer_per_event, buffer_restart, stream_kv_upsert, metric_gauge, metric_watermark, sink_custom,
     )
 }

@@ -38,6 +38,12 @@ def ordered_feed(rows: DataFrame, order: Sequence[str], path: str) -> DataFrame:
     The rows are range-partitioned into sorted files, and the files' times are set in that order, since a file stream
     takes files by time. A trigger takes whole files, so every micro-batch continues where the one before ended.
     """
+    n = ordered_files(rows, order, path)
+    return event_feed(rows.sparkSession, path, max(2, n // MAX_BATCHES), rows.schema)
+
+
+def ordered_files(rows: DataFrame, order: Sequence[str], path: str) -> int:
+    """Writes sorted files whose times rise in that order; returns how many were asked for."""
     spark = rows.sparkSession
     n = max(FEED_FILES, -(-rows.count() // FEED_ROWS))
     rows.repartitionByRange(n, *order).sortWithinPartitions(*order).write.parquet(path)
@@ -48,7 +54,7 @@ def ordered_feed(rows: DataFrame, order: Sequence[str], path: str) -> DataFrame:
     now = int(time.time())
     for place, name in enumerate(names):  # names only: as many as there are files
         files.setTimes(hadoop.Path(folder, name), (now - len(names) + place) * 1000, -1)
-    return event_feed(spark, path, max(2, n // MAX_BATCHES), rows.schema)
+    return n
 
 
 def zoned(df: DataFrame) -> DataFrame:
