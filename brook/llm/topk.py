@@ -7,9 +7,10 @@ value in q's strongest coordinates inside a known interval); below, length pruni
 can reach the score). What is left is verified by integer products.
 
 Distribution: the score to beat comes from the `HEAD` longest vectors, a bounded table that every query meets first.
-Vectors are packed into rows of one bucket part each, queries into blocks; a part meets a block by an equi-join on
-(block, lane), after parts that no query of a block can need are left out. A joined row holds at most one part and one
-block, so memory is bounded; each gives at most k scores a query.
+Vectors are packed into rows of one bucket part each, queries into blocks of at most about `BLOCK`. The stated queries meet
+the parts in waves of blocks with at most about `WAVE` components, which bounds what a wave broadcasts; parts stay where
+they are, and a block skips a part that none of its queries can need. A joined row holds one part and one block, so memory
+is bounded; each gives at most k scores a query, and more queries make more waves.
 
 Defined cases: null vectors and vectors with a null, NaN or infinite component take no part, nor do null ids; vectors of
 another size than the query's score nothing with it; several rows of one id count separately as candidates, and a repeated
@@ -18,6 +19,8 @@ query id is one query (its smallest vector); ties go to the smaller vec_id; fewe
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -27,7 +30,7 @@ from brook.llm.common import table
 from brook.session import shared_dir
 
 K, SCALE = 5, 256
-BUCKET, BLOCK, HEAD, LANES = 2_048, 512, 2_048, 16
+BUCKET, BLOCK, HEAD, WAVE = 2_048, 512, 2_048, 4_000_000
 #: Local cosine threshold from which coordinates prune; number of coordinates that are looked at.
 STEEP, COORDINATES = 0.6, 4
 _LOW = np.iinfo(np.int64).min
@@ -118,7 +121,7 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = K,
     root = shared_dir(spark, "top-k")
     integral(vectors, scale).withColumn("dim", F.size("v")).write.parquet(f"{root}/rows")
     rows = spark.read.parquet(f"{root}/rows")
-    n, n_queries = rows.agg(F.count("*"), F.count_if(is_query)).head()
+    n, n_queries, dim = rows.agg(F.count("*"), F.count_if(is_query), F.max("dim")).head()
     asked = rows.filter(is_query).groupBy("dim", "vec_id").agg(F.min(F.struct("v", "n2")).alias("m")).select(
         "dim", "vec_id", "m.v", "m.n2")
     asked = asked.join(asked.groupBy("vec_id").agg(F.min("dim").alias("dim")), ["vec_id", "dim"])
@@ -154,18 +157,15 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = K,
     queries.mapInArrow(floors, "dim int, block long, q_ids array<long>, q_flat array<long>, floor array<long>, "
                                "least double").write.parquet(f"{root}/floors")
     asked = spark.read.parquet(f"{root}/floors")
-    parts(rows, n).withColumn("lane", F.pmod(F.xxhash64("band", "cut"), F.lit(LANES)).cast("int")).write.parquet(
-        f"{root}/parts")
-    filed = spark.read.parquet(f"{root}/parts")
-
-    # Which blocks need which parts, from two narrow tables: one row a block, one row a part.
-    needs = (filed.select("dim", "band", "cut", "lane", "top")
-             .join(asked.select("dim", "block", "least"), "dim")
-             .filter(F.sqrt(F.col("top").cast("double")) >= F.col("least")).select("dim", "band", "cut", "lane", "block"))
-    lanes = asked.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1)))).select(
-        "dim", "block", "lane", "q_ids", "q_flat", "floor")
-    met = filed.select("dim", "band", "cut", "ids", "flat").join(needs, ["dim", "band", "cut"]).join(
-        lanes, ["dim", "block", "lane"]).select("dim", "ids", "flat", "q_ids", "q_flat", "floor")
+    parts(rows, n).write.parquet(f"{root}/parts")
+    filed = spark.read.parquet(f"{root}/parts").select("dim", "ids", "flat", "top")
+    waves = max(1, -(-n_queries * (dim or 0) // WAVE))
+
+    def meeting(wave: int) -> DataFrame:
+        """Parts and the blocks of one wave that need them; a wave is bounded, so it may be broadcast."""
+        blocks_of = asked.filter(F.pmod("block", F.lit(waves)) == wave)
+        return filed.join(F.broadcast(blocks_of), "dim").filter(F.sqrt(F.col("top").cast("double")) >= F.col("least")).select(
+            "dim", "ids", "flat", "q_ids", "q_flat", "floor")
 
     def products(batches):
         for batch in batches:
@@ -176,7 +176,8 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = K,
                     for c in ("ids", "flat", "q_ids", "q_flat", "floor"))
                 yield _batch(best(_matrix(q_flat, dim), q_ids, floor, _matrix(flat, dim), ids, k))
 
-    return _ranked(met.mapInArrow(products, _PAIRS), k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    scores = reduce(DataFrame.unionAll, (meeting(w).mapInArrow(products, _PAIRS) for w in range(waves)))
+    return _ranked(scores, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
 def _by_dim(head: pa.Table):

@@ -135,7 +135,7 @@ def test_top_k_is_brute_force(spark, monkeypatch, spread, steep):
     rows = [(i, [float(np.float32(x)) for x in row]) for i, row in enumerate(v)]
     rows += [(700, None), (750, [None] * 8), (800, [float("nan")] * 8), (850, [float("inf")] * 8), (None, rows[0][1]),
              (900, [0.5, 0.25]), (901, [1.0, 1.0]), (950, [])]
-    for name, value in (("BUCKET", 64), ("BLOCK", 4), ("HEAD", 50), ("STEEP", steep)):
+    for name, value in (("BUCKET", 64), ("BLOCK", 4), ("HEAD", 50), ("WAVE", 40), ("STEEP", steep)):
         monkeypatch.setattr(topk, name, value)
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("clash"))
     got = sorted(map(tuple, topk.top_k(spark, df, F.col("vec_id") % 50 == 0).collect()))
