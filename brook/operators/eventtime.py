@@ -22,6 +22,17 @@ def _epoch():
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
+def marked(df: DataFrame, order: Sequence[str], ts: str = "ts", bound: str = "2 seconds",
+           keep_after: bool = False) -> tuple[DataFrame, int | None]:
+    """Rows with ``wm_before`` (and ``watermark``), and the greatest event time in microseconds, from one eager pass."""
+    top = {"wm_before": S.highest(F.col(ts), before=True)}
+    if keep_after:
+        top["watermark"] = S.highest(F.col(ts))
+    scan = S.scan(df, [], order, facts={"top": F.max(to_micros(ts))})
+    out = scan.add(**top).rows()
+    return out.withColumns({c: F.col(c) - interval(bound) for c in top}), scan.facts["top"]
+
+
 def with_watermark(df: DataFrame, order: Sequence[str], ts: str = "ts", bound: str = "2 seconds",
                    keep_after: bool = False) -> DataFrame:
     """Append ``wm_before``, and with ``keep_after`` also ``watermark``.
@@ -29,16 +40,11 @@ def with_watermark(df: DataFrame, order: Sequence[str], ts: str = "ts", bound: s
     ``wm_before`` is the watermark in force when the row is processed, null
     before any has been seen; ``watermark`` is the one right after the row.
     """
-    top = {"wm_before": S.highest(F.col(ts), before=True)}
-    if keep_after:
-        top["watermark"] = S.highest(F.col(ts))
-    out = S.scan(df, [], order).add(**top).rows()
-    return out.withColumns({c: F.col(c) - interval(bound) for c in top})
+    return marked(df, order, ts, bound, keep_after)[0]
 
 
-def final_watermark(df: DataFrame, ts: str = "ts", bound: str = "2 seconds"):
-    """The watermark after the last row, as a literal column (one-row aggregate)."""
-    top = df.agg(F.max(to_micros(ts))).first()[0]
+def final_watermark(top: int | None, bound: str = "2 seconds"):
+    """The watermark after the last row, as a literal column, from the greatest event time."""
     return from_micros(F.lit(None if top is None else top - micros(bound)).cast("bigint"))
 
 
@@ -82,7 +88,11 @@ def classify(df: DataFrame, order: Sequence[str], ts: str = "ts", size: str = "5
     ``on_time``: its window has not fired yet. ``refire``: it has, but is still
     kept for the allowed lateness. ``late``: it is gone.
     """
-    rows = with_watermark(df, order, ts, bound)
+    return _classified(df, order, ts, size, bound, lateness)[0]
+
+
+def _classified(df, order, ts, size, bound, lateness) -> tuple[DataFrame, int | None]:
+    rows, top = marked(df, order, ts, bound)
     win = F.window(ts, size)
     last = F.col("window_end") - interval(TICK)
     wm = F.col("wm_before")
@@ -90,28 +100,30 @@ def classify(df: DataFrame, order: Sequence[str], ts: str = "ts", size: str = "5
         "window_end", F.col("_w.end")).drop("_w").withColumn(
         "row_class",
         F.when(wm.isNull() | (wm < last), "on_time")
-        .when(wm < last + interval(lateness), "refire").otherwise("late"))
+        .when(wm < last + interval(lateness), "refire").otherwise("late")), top
 
 
-def _fired(df: DataFrame, ts: str, bound: str, flush: bool):
+def _fired(top: int | None, bound: str, flush: bool):
     """Windows that fired by the end of the feed; all of them when flushing."""
     if flush:
         return F.lit(True)
-    return F.col("window_end") - interval(TICK) <= final_watermark(df, ts, bound)
+    return F.col("window_end") - interval(TICK) <= final_watermark(top, bound)
 
 
 def late_drop(df: DataFrame, key: str, order: Sequence[str], ts: str = "ts", size: str = "5 seconds",
               bound: str = "2 seconds", flush: bool = False) -> DataFrame:
     """Window counts without late rows. ``flush`` also closes the last windows."""
-    rows = classify(df, order, ts, size, bound).where(F.col("row_class") == "on_time")
+    rows, top = _classified(df, order, ts, size, bound, "0 seconds")
+    rows = rows.where(F.col("row_class") == "on_time")
     return rows.groupBy(key, "window_start", "window_end").agg(F.count("*").alias("n")).where(
-        _fired(df, ts, bound, flush))
+        _fired(top, bound, flush))
 
 
 def late_refire(df: DataFrame, key: str, order: Sequence[str], ts: str = "ts", size: str = "5 seconds",
                 bound: str = "2 seconds", lateness: str = "2 seconds", flush: bool = False) -> DataFrame:
     """Every firing: the first one of a window, then one per row within the lateness."""
-    kept = classify(df, order, ts, size, bound, lateness).where(F.col("row_class") != "late")
+    rows, top = _classified(df, order, ts, size, bound, lateness)
+    kept = rows.where(F.col("row_class") != "late")
     # One ordered pass per window: its last row in time is the first firing.
     placed = S.scan(
         kept, [key, "window_start"], order,
@@ -119,7 +131,7 @@ def late_refire(df: DataFrame, key: str, order: Sequence[str], ts: str = "ts", s
     ).add(n=S.position(), _next=S.following(F.col("row_class"))).rows()
     is_first = (
         (F.col("row_class") == "on_time")
-        & (F.col("_next").isNull() | (F.col("_next") == "refire")) & _fired(df, ts, bound, flush))
+        & (F.col("_next").isNull() | (F.col("_next") == "refire")) & _fired(top, bound, flush))
     return placed.where(is_first | (F.col("row_class") == "refire")).select(
         key, "window_start", "window_end",
         F.when(F.col("row_class") == "on_time", "first").otherwise("refire").alias("firing"), "n")

@@ -157,30 +157,31 @@ def fold_timers(df: DataFrame, step: Callable, inputs: Sequence[str], end: int |
     return out.select("id", from_micros("time").alias("fire_time"), *(["fired"] if keep_open else []))
 
 
-def _event_clock(df: DataFrame, bound: str, order: Sequence[str]) -> DataFrame:
-    """Rows with the watermark they meet as a number, and their place ``pos`` in the feed.
+def _event_clock(df: DataFrame, bound: str, order: Sequence[str]) -> tuple[DataFrame, int | None]:
+    """Rows with the watermark they meet as a number, and their place ``pos`` in the feed; the last watermark.
 
     A place that is one number keeps the first-and-last aggregates hash-based.
     """
-    rows = S.scan(df, [], order).add(_top=S.highest(F.col("ts"), before=True), pos=S.position()).rows()
+    scan = S.scan(df, [], order, facts={"top": F.max(to_micros("ts"))})
+    rows = scan.add(_top=S.highest(F.col("ts"), before=True), pos=S.position()).rows()
     clock = F.coalesce(to_micros("_top") - F.lit(micros(bound)), F.lit(M.LONG_AGO))
-    return rows.withColumns({"clock": clock, "base": to_micros("ts")}).drop("_top")
+    top = scan.facts["top"]
+    return (rows.withColumns({"clock": clock, "base": to_micros("ts")}).drop("_top"),
+            None if top is None else top - micros(bound))
 
 
-def _end(df: DataFrame, clock: str, bound: str = "0 seconds") -> int | None:
-    top = df.agg(F.max(to_micros(clock))).first()[0]
-    return None if top is None else top - micros(bound)
+def _end(df: DataFrame, clock: str) -> int | None:
+    return df.agg(F.max(to_micros(clock))).first()[0]
 
 
 def timer_one_per_key(df: DataFrame, delay: str = "5 seconds", bound: str = "2 seconds",
                       order: Sequence[str] = ARRIVAL, keep_open: bool = False) -> DataFrame:
     """At most one pending event-time timer per key; the next row after it fired sets anew."""
     wait = micros(delay)
-    rows = _event_clock(df.select("id", "ts", *order), bound, order)
+    rows, end = _event_clock(df.select("id", "ts", *order), bound, order)
     first = rows.groupBy("id", "clock").agg(F.min_by("base", "pos").alias("base"))
     return fold_timers(
-        first, lambda timer, clock, base: M.one_timer(timer, clock, base, wait), ["base"],
-        _end(df, "ts", bound), keep_open)
+        first, lambda timer, clock, base: M.one_timer(timer, clock, base, wait), ["base"], end, keep_open)
 
 
 def timer_one_per_key_processing(df: DataFrame, delay: str = "5 seconds",
@@ -197,14 +198,14 @@ def rising_alert_event(df: DataFrame, hold: str = "5 seconds", bound: str = "2 s
                        order: Sequence[str] = ARRIVAL, keep_open: bool = False) -> DataFrame:
     """Alert when a level has kept rising for ``hold`` of event time."""
     wait = micros(hold)
-    rows = _event_clock(df.select("id", "ts", "vc", *order), bound, order)
+    rows, end = _event_clock(df.select("id", "ts", "vc", *order), bound, order)
     rows = S.scan(rows, ["id"], order, profile=df).add(_prev=S.previous(F.col("vc"))).rows()
     not_risen = F.when(F.col("vc") <= F.col("_prev"), F.col("pos"))
     ticks = rows.groupBy("id", "clock").agg(
         F.min_by("base", "pos").alias("base"), F.max_by("base", not_risen).alias("reset"))
     return fold_timers(
         ticks, lambda timer, clock, base, reset: M.rising_event(timer, clock, base, reset, wait),
-        ["base", "reset"], _end(df, "ts", bound), keep_open)
+        ["base", "reset"], end, keep_open)
 
 
 def rising_alert_processing(df: DataFrame, hold: str = "10 seconds", order: Sequence[str] = ARRIVAL,

@@ -36,6 +36,7 @@ MAX_HOT_KEYS = 10_000
 MAX_SLICES = 20_000
 SLICES_PER_PARTITION = 4  # so that hashing spreads them evenly
 BOUNDARY_SAMPLE = 1_000_000
+GRID = 1_000  # quantiles that the counting pass of a whole-table value takes along
 
 SLICE, HOT = "_slice", "_hot"
 
@@ -166,6 +167,7 @@ class Scan:
     order: tuple[str, ...]
     sliced: bool
     n_rows: int | None = None  # known where the whole table was counted
+    facts: dict | None = None  # what the caller asked that pass for
 
     def window(self, reverse: bool = False):
         order = [F.col(c).desc() if reverse else F.col(c).asc() for c in self.order]
@@ -213,23 +215,33 @@ def scan(
     order: Sequence[str],
     slice_rows: int | None = None,
     profile: DataFrame | None = None,
+    facts: dict[str, Column] | None = None,
 ) -> Scan:
     """Lay out ``df`` for running values per ``keys`` in the order ``order``.
 
     ``order`` must be unique within a key, and its first column must be a
     number or a timestamp: hot keys are cut along it. An empty ``keys`` means
     one running value over the whole frame. ``profile`` may name a cheaper frame
-    with the same keys and order values to count on.
+    with the same keys and order values to count on. A whole-table value takes one eager pass, which also answers
+    ``facts``, aggregates over the profile.
     """
     profile = df if profile is None else profile
     keys, order = tuple(keys), tuple(order)
     size = slice_rows or rows_per_slice(df)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if not keys:
-        n_rows = profile.count()
-        cut = _boundaries(profile.select(_position(profile, order[0])), n_rows, _slices(n_rows, size, parts))
+        wanted = facts or {}
+        quantiles = F.percentile_approx(_position(profile, order[0]), [i / GRID for i in range(1, GRID)], 10 * GRID)
+        seen = profile.agg(
+            F.count("*").alias("n"), quantiles.alias("q"), *[c.alias(f"f_{k}") for k, c in wanted.items()]).first()
+        n_rows, n = seen["n"], _slices(seen["n"], size, parts)
+        if n <= GRID:
+            q = seen["q"] or []
+            cut = sorted({q[i * GRID // n - 1] for i in range(1, n) if q and q[i * GRID // n - 1] is not None})
+        else:
+            cut = _boundaries(profile.select(_position(profile, order[0])), n_rows, n)
         laid = _bucket(df.withColumn(HOT, F.lit(0)), _position(df, order[0]), cut)
-        return Scan(laid, keys, order, True, n_rows)
+        return Scan(laid, keys, order, True, n_rows, {k: seen[f"f_{k}"] for k in wanted})
 
     # Top-k on purpose: a key outside it holds less than 1/10,000 of all rows.
     x = _position(profile, order[0])

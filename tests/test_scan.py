@@ -142,3 +142,31 @@ def test_operators_under_skew(skewed, slice_rows, name):
     plain = rows_of(OPERATORS[name](df))
     slice_rows(30)
     assert plain and rows_of(OPERATORS[name](df)) == plain
+
+
+@pytest.mark.parametrize(("name", "passes"), [("late_drop", 1), ("buffer", 1), ("timer_one_per_key", 1), ("late_refire", 2)])
+def test_eager_passes(skewed, monkeypatch, name, passes):
+    """Row count, boundaries and the last watermark come from one pass; a keyed value adds its count per key."""
+    seen = []
+    kind = type(skewed)
+    for action in ("first", "collect", "count"):
+        plain = getattr(kind, action)
+
+        def counted(self, *args, plain=plain):
+            if not seen or seen[-1] != "inside":
+                seen.append("inside")
+                try:
+                    return plain(self, *args)
+                finally:
+                    seen[-1] = "done"
+            return plain(self, *args)
+
+        monkeypatch.setattr(kind, action, counted)
+    df = skewed.where("id is not null")
+    {
+        "late_drop": lambda: E.late_drop(df, "id", ARRIVAL),
+        "buffer": lambda: R.buffer_release(df, ARRIVAL),
+        "timer_one_per_key": lambda: K.timer_one_per_key(df),
+        "late_refire": lambda: E.late_refire(df, "id", ARRIVAL),
+    }[name]()
+    assert len(seen) == passes
