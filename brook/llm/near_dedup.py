@@ -9,9 +9,17 @@ Bands of `ROWS` components put texts into buckets; texts that share one are cand
 shingles. Links of `SIMILARITY` or more are closed into classes by star contraction. With 24 bands of 4, a pair of
 similarity 0.8 is missed with probability 3e-6.
 
-A bucket never becomes all its pairs. Texts are compared with pivots of their bucket: one at first, then four, sixteen
-and so on, and only where members still belong to different classes, against pivots of other classes. A bucket whose
-members are one class is done; any other goes on until every member has been a pivot, so no link is lost to a cap.
+A bucket never becomes all its pairs. Texts are compared with pivots of their bucket: one at first (the text that shares
+most buckets, which in a group of near copies is the least edited one), then 8, 64 and so on, and only where
+members still belong to different classes, against pivots of other classes. A bucket whose members are one class is done;
+any other goes on until every member has been a pivot, so no link is lost to a cap.
+
+Between the first and the later rounds, texts that cannot have a link any more leave the open buckets. Let x have weight
+n(x), and s(x) of it in shingles that some other open text has. The probability Jaccard of x with any text is at most
+s(x) / n(x); and of x and y whose counts are all 1 it is at most s / (n(x) + n(y) - s) for s the smaller of s(x) and s(y).
+Heavily edited copies, and texts that merely share a passage, go by these bounds, which lose nothing. In the later rounds a
+pair meets only in the first of its common buckets, and only if `AGREE` components of its signatures are equal; at a
+similarity of 0.8 fewer are with probability 1e-6.
 
 Equal texts are one node from the start (md5 of the text), so thousands of copies cost one signature row each and no
 pair. Results are carried by text and reach documents by one join, whose hot keys the engine splits.
@@ -31,13 +39,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brook.llm.common import map_batches, mix, segment_starts, table, unit, utf8, words
+from brook.llm.common import map_batches, mix, segment_starts, stored, table, unit, utf8, words
 from brook.session import shared_dir
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
 M = BANDS * ROWS
-KEPT_WORDS = 1_000_000
+#: Equal components of 96 that a pair of similarity 0.8 almost surely has (its mean is 77, its deviation 3.9).
+AGREE = 58
+KEPT_WORDS = 300_000
+#: Bytes of text that a worker holds at once; its arrays take about thirty times that.
+SLICE = 4 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -149,7 +161,7 @@ def buckets(docs: DataFrame) -> DataFrame:
             names=["bucket", "t"])
 
     nodes = docs.filter("text is not null").select(_node().alias("t"), utf8().alias("text"))
-    return map_batches(nodes, work, "bucket long, t binary").dropDuplicates(["bucket", "t"])
+    return map_batches(nodes, work, "bucket long, t binary", most_bytes=SLICE).dropDuplicates(["bucket", "t"])
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -185,9 +197,7 @@ class _Store:
 
     def __call__(self, df: DataFrame) -> DataFrame:
         self.n += 1
-        path = f"{self.root}/{self.n}"
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
+        return stored(self.spark, df, f"{self.root}/{self.n}")
 
 
 def components(edges: DataFrame, keep: _Store) -> DataFrame:
@@ -197,55 +207,122 @@ def components(edges: DataFrame, keep: _Store) -> DataFrame:
         return df.groupBy("u").agg(F.min("v").alias("m"))
 
     edges = keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
-    mark = None
+    few = max(8, -(-edges.count() // 500_000))  # stars never have more edges, so their tables need no more parts
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         m = least(both).select("u", F.least("u", "m").alias("m"))
         edges = keep(both.filter("v > u").join(m, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                     .filter("u <> v").distinct())
+                     .filter("u <> v").distinct().coalesce(few))
         m = least(edges)
         edges = keep(edges.join(m, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                     .unionByName(m.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
-        if now == mark:
+                     .unionByName(m.select("u", F.col("m").alias("v"))).filter("u <> v").distinct().coalesce(few))
+        # Done when every node has one edge, and none leads to a node with an edge.
+        heads = least(edges).select(F.col("u").alias("head"))
+        n, chained, nodes = edges.join(heads, edges["v"] == heads["head"], "left").agg(
+            F.count("*"), F.count("head"), F.count_distinct("u")).head()
+        if not chained and n == nodes:
             break
-        mark = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
+def bounds(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """t, n, flat (all counts 1), reach (a flat text's largest partner weight), signature and bands.
+
+    Only texts that may have a link: what they share with others reaches the similarity.
+    """
+
+    def totals(batch: pa.RecordBatch) -> pa.RecordBatch:
+        owner, h, count = shingles(batch.column("text").to_pylist())
+        sig = signatures(batch.num_rows, owner, h, count)
+        n = np.bincount(owner, weights=count, minlength=batch.num_rows).astype(np.int64)
+        kinds = np.bincount(owner, minlength=batch.num_rows)
+        listed = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(k))
+                  for x, k in (((sig & np.uint64(0x7FFFFFFF)).astype(np.int32), pa.int32()), (bands_of(sig), pa.int64()))]
+        return pa.RecordBatch.from_arrays([batch.column("t"), pa.array(n), pa.array(n == kinds), *listed],
+                                          names=["t", "n", "flat", "sig", "bands"])
+
+    def single(batch: pa.RecordBatch) -> pa.RecordBatch:
+        owner, h, count = shingles(batch.column("text").to_pylist())
+        order = np.argsort(h, kind="stable")
+        owner, h, count = owner[order], h[order], count[order]
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, dtype=np.int64)
+        times = np.diff(np.append(first, len(h)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(h[first].view(np.int64)), pa.array(times), pa.array(count[first].astype(np.int64)),
+             batch.column("t").take(pa.array(owner[first]))], names=["h", "times", "w", "t"])
+
+    weights = map_batches(texts, totals, "t binary, n long, flat boolean, sig array<int>, bands array<long>", most_bytes=SLICE)
+    # A shingle of one text only is that text's own; no group is gathered, counts and minima combine before the exchange.
+    own = (map_batches(texts, single, "h long, times long, w long, t binary", most_bytes=SLICE)
+           .select("h", "times", "w", F.conv(F.hex(F.substring("t", 1, 7)), 16, 10).cast("long").alias("k"))
+           .groupBy("h").agg(F.sum("times").alias("times"), F.min("k").alias("k"), F.sum("w").alias("w"))
+           .filter("times = 1").groupBy("k").agg(F.sum("w").alias("own")))
+    # Seven bytes name a text here; should two texts share them, both count each other's own shingles as shared too.
+    keyed = weights.withColumn("k", F.conv(F.hex(F.substring("t", 1, 7)), 16, 10).cast("long"))
+    twins = F.count("*").over(Window.partitionBy("k"))
+    shared = keyed.withColumn("twins", twins).join(own, "k", "left").withColumn(
+        "s", F.when(F.col("twins") > 1, F.col("n")).otherwise(F.col("n") - F.coalesce("own", F.lit(0))))
+    reach = F.when(F.col("flat"), F.col("s") * (1 + similarity) / similarity - F.col("n") + 1e-6)
+    return shared.filter(F.col("s") >= similarity * F.col("n") - 1e-6).select(
+        "t", "n", "flat", reach.alias("reach"), "sig", "bands")
+
+
 def classes(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """t, label of every text that is linked to a different one."""
     keep = _Store(spark, "near-dedup")
     found = keep(buckets(docs))
-    shared = found.groupBy("bucket").agg(F.count("*").alias("size"), F.min("t").alias("first")).filter("size > 1")
+    shared = found.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     members = keep(found.join(shared, "bucket"))
-    wanted = members.select("t").distinct()
+    pull = members.groupBy("t").agg(F.sum("size").alias("pull"))
+    members = keep(members.join(pull, "t"))
     texts = keep(docs.filter("text is not null").select(_node().alias("t"), utf8().alias("text"))
-                 .groupBy("t").agg(F.first("text").alias("text")).join(wanted, "t", "left_semi"))
-
-    pairs = members.filter("t <> first").select(F.col("first").alias("a"), F.col("t").alias("b")).distinct()
-    links = keep(verified(pairs, texts, similarity))
-    labels = keep(components(links, keep))
-    done, upto = 1, 4
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("t"))
-    while True:
-        marked = members.join(labels, members["t"] == labels["node"], "left").select(
-            "bucket", "t", "size", F.coalesce("label", "t").alias("label"))
-        mixed = marked.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter(
+                 .groupBy("t").agg(F.first("text").alias("text")).join(pull.select("t"), "t", "left_semi"))
+
+    heads = members.groupBy("bucket").agg(F.max(F.struct("pull", "t")).alias("head")).select(
+        "bucket", F.col("head.t").alias("head"))
+    pairs = members.join(heads, "bucket").filter("t <> head").select(
+        F.least("head", "t").alias("a"), F.greatest("head", "t").alias("b")).distinct()
+    links = keep(verified(keep(pairs), texts, similarity))
+    labels = components(links, keep)
+
+    def mixed(rows: DataFrame) -> DataFrame:
+        """Members of buckets that hold several classes, with their label."""
+        marked = rows.join(labels, rows["t"] == labels["node"], "left").select(
+            *[rows[c] for c in rows.columns], F.coalesce("label", "t").alias("label"))
+        several = marked.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter(
             "lo <> hi").select("bucket")
-        open_ = keep(marked.filter(F.col("size") > done).join(mixed, "bucket"))
-        if open_.isEmpty():
+        return marked.join(several, "bucket")
+
+    # Two members have met by now; of more, those that may still have a link go on.
+    going = keep(mixed(members.filter("size > 2")).drop("label", "size"))
+    if going.isEmpty():
+        return labels.select(F.col("node").alias("t"), "label")
+    fit = keep(bounds(texts.join(going.select("t").distinct(), "t", "left_semi"), similarity))
+    going = going.join(fit, "t")
+    space = going.groupBy("bucket").agg(F.count("*").alias("size"), F.min("n").alias("least"),
+                                        F.min("flat").alias("all_flat"))
+    going = going.join(space, "bucket").filter("size > 1 and (not all_flat or reach >= least)").drop("least", "all_flat")
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("pull"), "t"))
+    going = keep(going)
+    upto = 8
+    while True:
+        going = keep(mixed(going))
+        if going.isEmpty():
             break
-        # `place` follows all members of the bucket; the first ones were pivots before.
-        pivots = (open_.withColumn("place", place).filter(F.col("place") <= upto)
-                  .filter(F.col("place") > done).select("bucket", F.col("t").alias("a"), F.col("label").alias("of")))
-        pairs = open_.join(pivots, "bucket").filter("of <> label").select(
-            F.least("a", "t").alias("a"), F.greatest("a", "t").alias("b")).distinct()
+        pivots = going.withColumn("place", place).filter(F.col("place") <= upto).select(
+            "bucket", F.col("t").alias("p"), *[F.col(c).alias(f"p_{c}") for c in ("n", "flat", "reach", "label", "sig", "bands")])
+        equal = F.aggregate(F.zip_with("sig", "p_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda k, x: k + x)
+        met = going.join(pivots, "bucket").filter(
+            "label <> p_label and (not flat or not p_flat or (n <= p_reach and p_n <= reach))").filter(
+            F.element_at(F.array_intersect("bands", "p_bands"), 1) == F.col("bucket")).filter(equal >= AGREE)
+        pairs = keep(met.select(F.least("p", "t").alias("a"), F.greatest("p", "t").alias("b")).distinct())
         more = keep(verified(pairs, texts, similarity))
         if not more.isEmpty():
-            links = keep(links.unionByName(more))
-            labels = keep(components(links, keep))
-        done, upto = upto, upto * 4
+            stars = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+            labels = components(stars.unionByName(more), keep)
+        # Pivots have met every other class of their bucket, so they leave it.
+        going = keep(going.withColumn("place", place).filter(F.col("place") > upto).drop("place", "label"))
+        upto *= 8
     return labels.select(F.col("node").alias("t"), "label")
 
 

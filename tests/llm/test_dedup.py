@@ -144,19 +144,18 @@ def test_classes_are_brute_force(spark):
 
 
 def test_buckets_are_finished_without_all_pairs(spark, monkeypatch):
-    """One band of one row: everything that shares its first shingle meets, and later pivots find all links."""
-    monkeypatch.setattr(near_dedup, "M", 1)
-    monkeypatch.setattr(near_dedup, "ROWS", 1)
-    monkeypatch.setattr(near_dedup, "bands_of", lambda sig, rows=1: np.zeros((len(sig), 1), dtype=np.int64))
+    """All texts in one bucket: later pivots find the links that the first one misses."""
     rng = random.Random(2)
     rows = []
     for g in range(12):
         base = words(rng, 60)
         rows += [(g * 10 + k, edited(rng, base, 1) if k else base) for k in range(4)]
-    monkeypatch.setattr(near_dedup, "signatures", lambda n, *a, **k: np.zeros((n, 1), dtype=np.uint64))
-    # The bands are computed in workers, so give the one bucket directly.
+        rows += [(g * 10 + 4 + k, edited(rng, base, 3 * k)) for k in range(1, 4)]  # some are out of reach
+        rows += [(g * 10 + 8, base + " same " * 30), (g * 10 + 9, edited(rng, base, 1) + " same " * 31)]  # not flat
     monkeypatch.setattr(near_dedup, "buckets", lambda docs: docs.select(
         F.lit(1).cast("long").alias("bucket"), near_dedup._node().alias("t")).distinct())
+    plain = near_dedup.bounds
+    monkeypatch.setattr(near_dedup, "bounds", lambda *a: plain(*a).withColumn("bands", F.array(F.lit(1).cast("long"))))
     got = near_dedup.near_duplicates(spark, frame(spark, rows))
     assert sorted(map(tuple, got.collect()), key=str) == plain_classes(rows)
 
