@@ -68,6 +68,21 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 16
             yield batch.slice(start)
 
 
+_kept: list = [(), None]
+
+
+def kept(make: Callable[[], object], *sources: object) -> object:
+    """What a worker process keeps between tasks, made from these very objects.
+
+    It keeps that of one operator at a time, so that what stages keep doesn't add up.
+    """
+    held = _kept[0]
+    if len(held) != len(sources) or any(a is not b for a, b in zip(held, sources, strict=True)):
+        _kept[:] = [(), None]  # the old one goes before the new one is made
+        _kept[:] = [sources, make()]
+    return _kept[1]
+
+
 def carried(df: DataFrame, columns: list[str], more: str) -> StructType:
     """A schema of columns that pass through Python and of new ones."""
     fresh = StructType.fromDDL(more)

@@ -14,7 +14,6 @@ Size: the automaton is broadcast, so it needs a bound. Items are dealt into grou
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterable
 
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brook.llm.common import WORD_TABLE, carried, map_batches, table, utf8, words
+from brook.llm.common import WORD_TABLE, carried, kept, map_batches, table, utf8, words
 
 WINDOW = 10
 #: Bound of one broadcast automaton, in benchmark words (about 150 bytes a word and window position).
@@ -102,7 +101,8 @@ def find(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not matchers:
-            matchers.extend(cached(h, window) for h in holders)
+            values = [h.value for h in holders]
+            matchers.extend(kept(lambda: [Matcher(v, window) for v in values], window, *values))
         n_words, n_hit, items, where = [], [], [], []
         for text in batch.column("text").to_pylist():
             ws = words(text)
@@ -125,20 +125,6 @@ def find(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int
     return map_batches(docs.select("doc_id", utf8().alias("text")), work, schema)
 
 
-_kept: dict = {}
-
-
-def cached(holder, window: int) -> Matcher:
-    """One automaton per worker process and broadcast."""
-    rows = holder.value
-    digest = hashlib.sha256(repr(rows).encode()).digest() + bytes([window % 256])
-    if digest not in _kept:
-        if len(_kept) > 4:
-            _kept.clear()
-        _kept[digest] = Matcher(rows, window)
-    return _kept[digest]
-
-
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without any benchmark window, all columns kept.
 

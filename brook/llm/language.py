@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brook.llm.common import carried, crc_mod, map_batches, segment_starts, table
+from brook.llm.common import carried, crc_mod, kept, map_batches, segment_starts, table
 
 MAX_ROWS, MAX_CHARS, ROWS_ALL = 24, 2_500, 200
 BLOCK = 1_024
@@ -172,16 +172,10 @@ class Parser:
         return names, scores
 
 
-_parsers: dict = {}
-
-
 def _parser(held) -> Parser:
     """One per worker process and sample."""
     texts = held.value
-    if id(texts) not in _parsers:
-        _parsers.clear()
-        _parsers[id(texts)] = Parser(texts)
-    return _parsers[id(texts)]
+    return kept(lambda: Parser(texts), Parser, texts)
 
 
 def identify(spark: SparkSession, docs: DataFrame, texts: list[tuple[str, list[bytes]]]) -> DataFrame:

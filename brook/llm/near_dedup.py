@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brook.llm.common import map_batches, mix, segment_starts, stored, table, unit, utf8, words
+from brook.llm.common import kept, map_batches, mix, segment_starts, stored, table, unit, utf8, words
 from brook.session import shared_dir
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -63,14 +63,11 @@ class _Hashes(dict):
         return h
 
 
-_word_hashes = _Hashes()
-
-
 def shingles(texts: list[bytes | None], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of all texts: text number, hash, count; sorted by text and hash."""
     split = [words(t) for t in texts]
     lengths = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-    flat = np.fromiter(map(_word_hashes.__getitem__, chain.from_iterable(split)), dtype=np.uint64,
+    flat = np.fromiter(map(kept(_Hashes, _Hashes).__getitem__, chain.from_iterable(split)), dtype=np.uint64,
                        count=int(lengths.sum()))
     starts = segment_starts(lengths)[:-1]
     counts = np.where(lengths >= size, lengths - size + 1, (lengths > 0).astype(np.int64))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brook.llm.common import carried, map_batches, mix, segment_starts, table, unit, utf8
+from brook.llm.common import carried, kept, map_batches, mix, segment_starts, table, unit, utf8
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA, SEED = 1.5, 1
@@ -41,7 +41,7 @@ SPACE = "▁"
 LITERAL = "\ud800"
 _WORD = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+")
 #: Lattice positions that a worker keeps.
-KEPT_STATES = 4_000_000
+KEPT_STATES = 2_500_000
 _STEP, _TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -98,7 +98,7 @@ class _Grown:
 
     def extend(self, more: np.ndarray) -> None:
         if self.n + len(more) > len(self.held):
-            grown = np.zeros(max(self.n + len(more), len(self.held) * 3 // 2), dtype=self.held.dtype)
+            grown = np.zeros(max(self.n + len(more), len(self.held) * 5 // 4), dtype=self.held.dtype)
             grown[:self.n] = self.held[:self.n]
             self.held = grown
         self.held[self.n:self.n + len(more)] = more
@@ -266,16 +266,10 @@ class Sampler:
         return raw[1:] if raw[:1] == b" " else raw
 
 
-_samplers: dict = {}
-
-
 def _sampler(held) -> Sampler:
     """One per worker process and vocabulary."""
     vocabulary = held.value
-    if id(vocabulary) not in _samplers:
-        _samplers.clear()
-        _samplers[id(vocabulary)] = Sampler(vocabulary)
-    return _samplers[id(vocabulary)]
+    return kept(lambda: Sampler(vocabulary), Sampler, vocabulary)
 
 
 def _seeds(keys: list, seed: int) -> np.ndarray:
