@@ -2,13 +2,15 @@
 
 The lines of a text that are not blank are hashed; a rolling hash over `ROLL` line hashes puts a chunk boundary wherever
 it is 0 mod `DIVISOR`, so boundaries follow content and an inserted line shifts none behind it. A passage that repeats in
-other surroundings starts and ends inside such chunks, so each rolling window is a chunk of its own too: every repeat of
-two or more lines is then covered to its edges. A line of `LONG_LINE` words or more is a chunk by itself. Chunks of
-fewer than `MIN_WORDS` words are too common to mean anything and never go.
+other surroundings starts and ends inside such chunks, so for each line the shortest run of two or more lines from it
+that has `MIN_WORDS` words is a chunk too, and the shortest such run up to it: every repeat of two or more lines and
+`MIN_WORDS` words is then covered to its edges, however short its lines. A line of `LONG_LINE` words or more is a chunk
+by itself. Chunks of fewer than `MIN_WORDS` words are too common to mean anything and never go.
 
 Steps: count chunk hashes over all documents; for repeated hashes cut the chunks' bytes out of the documents; group by
 the bytes themselves (the byte comparison: equal hashes of different bytes part here); the first occurrence by (doc_id,
 position) stays, and the lines of every later one go. Each line that goes therefore has an earlier equal one that stays.
+A place of three or more lines that overlaps the first one of its document is no repeat: the lines are periodic.
 
 Defined cases: null and empty texts stay as they are; documents without repeats keep their bytes; blank lines never go;
 rows that are equal in id and text are one document (both keep or lose the same lines); null ids sort first; all columns
@@ -49,10 +51,11 @@ def chunks(docs: DataFrame, divisor: int = DIVISOR, min_words: int = MIN_WORDS,
     """One row for each chunk: row identity, hash, and first place and number of lines among those not blank."""
     hashed = docs.select(_ID, _HASH, F.transform(_lines(F.col("text")), lambda s: F.struct(
         F.xxhash64(s["x"]).alias("h"), _words(s["x"]).alias("w"))).alias("s"))
-    hashed = hashed.filter(F.size("s") > 0).select(_ID, _HASH, "s", F.transform("s", lambda x: x["h"]).alias("h"))
+    hashed = hashed.filter(F.size("s") > 0).select(
+        _ID, _HASH, F.transform("s", lambda x: x["h"]).alias("h"), F.transform("s", lambda x: x["w"]).alias("w"))
 
     rolled = F.transform("h", lambda h, i: F.when(i + 1 >= ROLL, F.xxhash64(F.slice("h", i - ROLL + 2, F.lit(ROLL)))))
-    hashed = hashed.select(_ID, _HASH, "s", "h", rolled.alias("r"))
+    hashed = hashed.select(_ID, _HASH, "w", "h", rolled.alias("r"))
     place = F.sequence(F.lit(0), F.size("h") - 1)
     starts = F.filter(place, lambda i: (i == 0) | F.coalesce(F.pmod(F.element_at("r", i), F.lit(divisor)) == 0,
                                                             F.lit(False)))
@@ -66,12 +69,36 @@ def chunks(docs: DataFrame, divisor: int = DIVISOR, min_words: int = MIN_WORDS,
     rolling = F.transform(F.slice("r", ROLL, F.greatest(F.size("r") - ROLL + 1, F.lit(0))),
                           lambda r, j: chunk(j, F.lit(ROLL), r))
     single = F.transform("h", lambda h, i: chunk(i, F.lit(1), h))
-    weight = lambda c: F.aggregate(
-        F.slice("s", c["first"] + 1, c["n"]), F.lit(0), lambda t, x: t + x["w"])
+    word = lambda i: F.element_at("w", i + 1)
+    pair = lambda i: word(i) + word(i + 1)
+
+    def reach(ws: Column) -> Column:
+        """How many of the first lines reach min_words, and their words."""
+        none = F.struct(F.lit(0).alias("t"), F.lit(0).alias("n"))
+        return F.aggregate(ws, none, lambda a, x: F.when(a["t"] >= min_words, a).otherwise(
+            F.struct((a["t"] + x).alias("t"), (a["n"] + 1).alias("n"))))
+
+    # A line has a word at least, so a run that reaches min_words has at most min_words lines. The four kinds of chunks
+    # have no place in common: a run up to a line is left out if it is the run from its first line.
+    short = F.filter(F.slice(place, 1, F.size("h") - 1), lambda i: pair(i) < min_words)
+    ahead = F.filter(F.transform(short, lambda i: F.struct(
+        i.alias("i"), reach(F.slice("w", i + 1, F.lit(min_words))).alias("c"))), lambda x: x["c"]["t"] >= min_words)
+    back = F.filter(F.transform(short, lambda i: F.struct((i + 1).alias("i"), reach(F.reverse(F.slice(
+        "w", F.greatest(i + 3 - min_words, F.lit(1)), F.least(i + 2, F.lit(min_words))))).alias("c"))),
+        lambda x: x["c"]["t"] - word(x["i"]) >= min_words)
+    run = lambda first, n: chunk(first, n, F.xxhash64(F.slice("h", first + 1, n)))
+
+    def longer(c: Column) -> Column:
+        """Whether a chunk is longer than the run from its first line and the run up to its last."""
+        ends = F.greatest(word(c["first"]), word(c["first"] + c["n"] - 1))
+        return F.aggregate(F.slice("w", c["first"] + 1, c["n"]), F.lit(0), lambda t, x: t + x) - ends >= min_words
+
     kept = F.concat(
-        F.filter(defined, lambda c: (c["n"] > ROLL) & (weight(c) >= min_words)),
-        F.filter(rolling, lambda c: weight(c) >= min_words),
-        F.filter(single, lambda c: F.element_at("s", c["first"] + 1)["w"] >= long_line))
+        F.filter(defined, lambda c: (c["n"] > ROLL) & longer(c)),
+        F.filter(rolling, lambda c: pair(c["first"]) >= min_words),
+        F.transform(ahead, lambda x: run(x["i"], x["c"]["n"])),
+        F.transform(back, lambda x: run(x["i"] - x["c"]["n"] + 1, x["c"]["n"])),
+        F.filter(single, lambda c: word(c["first"]) >= long_line))
     return hashed.select(_ID, _HASH, F.explode(kept).alias("c")).select(
         _ID, _HASH, F.col("c.h").alias("h"), F.col("c.first").alias("first"), F.col("c.n").alias("n"))
 
@@ -96,8 +123,11 @@ def repeats(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     cut = stored(spark, cut, shared_dir(spark, "line-chunks"))
     # Rows that are equal in id and text have equal places, so they stay or go together.
     first = cut.groupBy("bytes").agg(F.min(F.struct(_ID, _HASH, "first")).alias("stays"), F.count("*").alias("k"))
+    stays, n = F.col("stays"), F.size("lines")
+    periodic = (n > ROLL) & F.col(_ID).eqNullSafe(stays[_ID]) & (F.col(_HASH) == stays[_HASH]) & (
+        F.col("first") < stays["first"] + n)
     later = cut.join(first.filter("k > 1").select("bytes", "stays"), "bytes").filter(
-        F.struct(_ID, _HASH, "first") != F.col("stays"))
+        (F.struct(_ID, _HASH, "first") != stays) & ~periodic)
     return later.select(_ID, _HASH, F.explode("lines").alias("line")).groupBy(_ID, _HASH).agg(
         F.collect_set("line").alias(_AT))
 

@@ -81,6 +81,37 @@ def test_chunks_find_repeats_of_short_lines(spark):
     assert max(left) < 60 and len(set(left)) == 1  # the same boundaries everywhere
 
 
+def plain_passages(rows, min_words=8):
+    """Every repeat of two or more lines and min_words words; of three or more lines only without overlap."""
+    split, places, gone = {i: t.split("\n") for i, t in rows}, {}, set()
+    for i in sorted(split):
+        for a in range(len(split[i])):
+            for b in range(a + 2, len(split[i]) + 1):
+                if sum(len(x.split(" ")) for x in split[i][a:b]) >= min_words:
+                    places.setdefault(tuple(split[i][a:b]), []).append((i, a))
+    for passage, ((stays, at), *later) in places.items():
+        n = len(passage)
+        for i, a in later:
+            if n == 2 or i != stays or a >= at + n:
+                gone.update((i, k) for k in range(a, a + n))
+    return {i: "\n".join(x for k, x in enumerate(lines) if (i, k) not in gone) for i, lines in split.items()}
+
+
+def test_repeats_of_short_lines_go_to_their_edges(spark):
+    rng = random.Random(3)
+    passage = "\n".join(words(rng, rng.randrange(1, 4)) for _ in range(80))
+    ends = [(words(rng, 9), words(rng, 9)) for _ in range(4)]
+    rows = [(k, f"{a}\n{passage}\n{b}") for k, (a, b) in enumerate(ends)]
+    out = {r.doc_id: r.text for r in line_dedup.drop_repeats(spark, frame(spark, rows)).collect()}
+    assert out == {0: rows[0][1], **{k: "\n".join(ends[k]) for k in (1, 2, 3)}}
+    lines = ["a", "b", "a b", "c d e", "d", "a b c d e", "a b c d e f g h", "b c d e f g h i"]
+    rows = [(k, "\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 16)))) for k in range(60)]
+    rows += [(100, "a\n" * 40 + "b"), (101, "p\nq\n" * 9 + "r")]
+    for options in ({}, {"divisor": 2}):
+        out = line_dedup.drop_repeats(spark, frame(spark, rows), **options).collect()
+        assert {r.doc_id: r.text for r in out} == plain_passages(rows)
+
+
 def test_line_dedup_is_native_and_empty_safe(spark):
     df = frame(spark, [(1, "a b c d e\nf g h i j"), (2, "x\na b c d e\nf g h i j")])
     plan = line_dedup.drop_repeats(spark, df)._jdf.queryExecution().toString()
