@@ -14,7 +14,9 @@ A place of three or more lines that overlaps the first one of its document is no
 
 Defined cases: null and empty texts stay as they are; documents without repeats keep their bytes; blank lines never go;
 rows that are equal in id and text are one document (both keep or lose the same lines); null ids sort first; all columns
-stay, and n_chars, if there, follows the new text. Line ends are "\\n"; a "\\r" belongs to its line.
+stay, and n_chars, if there, follows the new text. Line ends are "\\n"; a "\\r" belongs to its line. Words are what blanks,
+tabs and the like part, so indentation and alignment weigh nothing; each character of a script that is written without
+blanks is a word. A line without words is blank.
 """
 
 from __future__ import annotations
@@ -27,6 +29,9 @@ from brook.session import shared_dir
 
 ROLL, DIVISOR = 2, 4
 MIN_WORDS, LONG_LINE = 8, 50
+#: Characters of scripts that do not part words: Thai and Lao, Myanmar, Khmer, kana, Han.
+_UNPARTED = (r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3041-\u30FF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF"
+             r"\uF900-\uFAFF\uFF66-\uFF9F\x{20000}-\x{3FFFF}")
 
 _ID, _HASH, _AT = "_brook_id", "_brook_hash", "_brook_at"
 
@@ -39,19 +44,24 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _lines(text: Column) -> Column:
     """The lines that are not blank: index and text."""
     numbered = F.transform(F.split(text, "\n"), lambda x, i: F.named_struct(F.lit("i"), i, F.lit("x"), x))
-    return F.filter(numbered, lambda s: F.trim(s["x"]) != "")
+    return F.filter(numbered, lambda s: s["x"].rlike(r"\S"))
 
 
 def _words(line: Column) -> Column:
-    """Blank-separated words, counted without splitting."""
-    return F.length(line) - F.length(F.replace(line, F.lit(" "))) + 1
+    """Words of a line, at least 1 in a line that is not blank; most lines have single blanks only."""
+    blank = F.lit(" ")
+    odd = F.contains(line, F.lit("  ")) | F.startswith(line, blank) | F.endswith(line, blank) | line.rlike(
+        r"[\t\r\f\x0B]") | ((F.octet_length(line) > F.length(line)) & line.rlike(r"[\u0E00-\x{10FFFF}]"))
+    return F.when(odd, F.regexp_count(line, F.lit(rf"[{_UNPARTED}]|[^\s{_UNPARTED}]+"))).otherwise(
+        F.length(line) - F.length(F.replace(line, blank)) + 1)
 
 
 def chunks(docs: DataFrame, divisor: int = DIVISOR, min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> DataFrame:
     """One row for each chunk: row identity, hash, and first place and number of lines among those not blank."""
-    hashed = docs.select(_ID, _HASH, F.transform(_lines(F.col("text")), lambda s: F.struct(
+    # This filter reads up to the first word; one on the lines would be pushed below them and make them twice.
+    hashed = docs.filter(F.col("text").rlike(r"\S")).select(_ID, _HASH, F.transform(_lines(F.col("text")), lambda s: F.struct(
         F.xxhash64(s["x"]).alias("h"), _words(s["x"]).alias("w"))).alias("s"))
-    hashed = hashed.filter(F.size("s") > 0).select(
+    hashed = hashed.select(
         _ID, _HASH, F.transform("s", lambda x: x["h"]).alias("h"), F.transform("s", lambda x: x["w"]).alias("w"))
 
     rolled = F.transform("h", lambda h, i: F.when(i + 1 >= ROLL, F.xxhash64(F.slice("h", i - ROLL + 2, F.lit(ROLL)))))

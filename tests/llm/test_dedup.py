@@ -112,6 +112,23 @@ def test_repeats_of_short_lines_go_to_their_edges(spark):
         assert {r.doc_id: r.text for r in out} == plain_passages(rows)
 
 
+def test_indentation_and_alignment_are_no_words(spark):
+    rng = random.Random(8)
+    code = ["        }", "      }", "    return x", "  }", "x = 1", "", "\t\t\t\t", "\r", " \r"]
+    padded = " " * 49 + "Contents" + " " * 9
+    han = "".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(60))
+    clean = ["\n".join([words(rng, 9), *code[k % 2:4], words(rng, 9), *code[4:], padded, words(rng, 9)]) for k in range(6)]
+    body = "    if a then b\n\t\treturn c   or d e"
+    rows = list(enumerate(clean)) + [(k, f"{words(rng, 9)}\n{body}") for k in (10, 11)]
+    rows += [(k, f"{words(rng, 9)}\n{text}\n{words(rng, 9)}") for text, ks in ((han, (20, 21)), (
+        f"{han[:4]}\n{han[4:8]}", (22, 23)), (f"{han[:3]}\n{han[3:7]}", (24, 25))) for k in ks]
+    out = {r.doc_id: r.text for r in line_dedup.drop_repeats(spark, frame(spark, rows)).collect()}
+    gone = {11: body, 21: han, 23: f"{han[:4]}\n{han[4:8]}"}
+    for k, text in rows:
+        assert out[k] == ("\n".join(text.replace(gone[k], "").replace("\n\n", "\n").split("\n")).removesuffix("\n")
+                          if k in gone else text), k
+
+
 def test_line_dedup_is_native_and_empty_safe(spark):
     df = frame(spark, [(1, "a b c d e\nf g h i j"), (2, "x\na b c d e\nf g h i j")])
     plan = line_dedup.drop_repeats(spark, df)._jdf.queryExecution().toString()
