@@ -1,7 +1,7 @@
 """License scans: ordered signature rules behind a keyword prefilter.
 
-A rule is (label, priority, keyword, pattern). The words of a text that are keywords are found by one set intersection;
-only the rules of those keywords run their patterns, over the text in lower case (A-Z) with runs of other bytes as one
+A rule is (label, priority, keywords, pattern); every match of the pattern holds one of the keywords as a word. The words
+of a text that are keywords are found by one set intersection; only the rules of those keywords run their patterns, over the text in lower case (A-Z) with runs of other bytes as one
 blank. Detections that overlap are resolved in order: higher priority first, then the longer span, then the earlier
 start and the rule order; a detection that lies inside an accepted one is suppressed (interval containment).
 
@@ -24,7 +24,7 @@ from brook.llm.common import carried, map_batches, table, utf8, words
 
 BASE = ((b"cc by", "cc-by"), (b"general public license", "gpl"), (b"all rights reserved", "reserved"))
 
-# Families: label, keyword, names. Each name gives a grant rule ("licensed under NAME"), a bare name rule and, for an
+# Families: label, keywords (parted by blanks), names. Each name gives a grant rule ("licensed under NAME"), a bare name rule and, for an
 # SPDX id, a tag rule; the version forms are written out. Texts are matched after normalisation: a-z, 0-9 and blanks.
 _V = r"(?: (?:version|v|ver))?"
 _NAMED: tuple[tuple[str, str, str], ...] = (
@@ -35,30 +35,30 @@ _NAMED: tuple[tuple[str, str, str], ...] = (
     ("apache-1.1", "apache", rf"apache (?:software )?license{_V} 1 1"),
     ("apache-2.0", "apache", rf"apache (?:software )?license{_V} ?2(?: 0)?"),
     ("apache", "apache", r"apache (?:software )?license"),
-    ("bsd-2-clause", "bsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: license)?"),
+    ("bsd-2-clause", "bsd freebsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: license)?"),
     ("bsd-3-clause", "bsd", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)(?: license)?"),
     ("bsd-4-clause", "bsd", r"(?:bsd 4 clause|4 clause bsd|original bsd|old bsd)(?: license)?"),
-    ("bsd-0", "bsd", r"(?:zero clause bsd|bsd zero clause|0bsd)(?: license)?"),
+    ("bsd-0", "bsd 0bsd", r"(?:zero clause bsd|bsd zero clause|0bsd)(?: license)?"),
     ("bsd", "bsd", r"bsd(?: style)? license"),
     ("isc", "isc", r"isc license"),
     ("zlib", "zlib", r"zlib(?: libpng)? license"),
     ("libpng", "libpng", r"libpng license"),
     ("boost-1.0", "boost", rf"boost software license(?:{_V} 1 0)?"),
     ("agpl-3.0", "affero", rf"(?:gnu )?affero general public license{_V} 3(?: 0)?"),
-    ("agpl-3.0", "agpl", r"(?:gnu )?agpl ?(?:v ?)?3(?: 0)?"),
+    ("agpl-3.0", "agpl agplv agpl3 agplv3", r"(?:gnu )?agpl ?(?:v ?)?3(?: 0)?"),
     ("agpl", "affero", r"(?:gnu )?affero general public license"),
     ("lgpl-2.0", "library", rf"(?:gnu )?library general public license{_V} 2(?: 0)?"),
     ("lgpl-2.1", "lesser", rf"(?:gnu )?lesser general public license{_V} 2 1"),
     ("lgpl-3.0", "lesser", rf"(?:gnu )?lesser general public license{_V} 3(?: 0)?"),
     ("lgpl", "lesser", r"(?:gnu )?lesser general public license"),
     ("lgpl", "library", r"(?:gnu )?library general public license"),
-    ("lgpl-2.1", "lgpl", r"(?:gnu )?lgpl ?(?:v ?)?2 1"),
-    ("lgpl-3.0", "lgpl", r"(?:gnu )?lgpl ?(?:v ?)?3(?: 0)?"),
+    ("lgpl-2.1", "lgpl lgplv lgpl2 lgplv2", r"(?:gnu )?lgpl ?(?:v ?)?2 1"),
+    ("lgpl-3.0", "lgpl lgplv lgpl3 lgplv3", r"(?:gnu )?lgpl ?(?:v ?)?3(?: 0)?"),
     ("gpl-1.0", "gnu", rf"gnu general public license{_V} 1(?: 0)?"),
     ("gpl-2.0", "gnu", rf"gnu general public license{_V} 2(?: 0)?"),
     ("gpl-3.0", "gnu", rf"gnu general public license{_V} 3(?: 0)?"),
-    ("gpl-2.0", "gpl", r"(?:gnu )?gpl ?(?:v ?)?2(?: 0)?"),
-    ("gpl-3.0", "gpl", r"(?:gnu )?gpl ?(?:v ?)?3(?: 0)?"),
+    ("gpl-2.0", "gpl gplv gpl2 gplv2", r"(?:gnu )?gpl ?(?:v ?)?2(?: 0)?"),
+    ("gpl-3.0", "gpl gplv gpl3 gplv3", r"(?:gnu )?gpl ?(?:v ?)?3(?: 0)?"),
     ("gfdl-1.1", "documentation", rf"(?:gnu )?free documentation license{_V} 1 1"),
     ("gfdl-1.2", "documentation", rf"(?:gnu )?free documentation license{_V} 1 2"),
     ("gfdl-1.3", "documentation", rf"(?:gnu )?free documentation license{_V} 1 3"),
@@ -87,7 +87,7 @@ _NAMED: tuple[tuple[str, str, str], ...] = (
     ("ofl-1.0", "sil", rf"sil open font license{_V} 1 0"),
     ("unlicense", "unlicense", r"(?:the )?unlicense(?: license)?"),
     ("wtfpl", "wtfpl", r"wtfpl"),
-    ("python-2.0", "python", rf"(?:python|psf|python software foundation) license(?:{_V} 2)?"),
+    ("python-2.0", "python psf", rf"(?:python|psf|python software foundation) license(?:{_V} 2)?"),
     ("php-3.01", "php", rf"php license(?:{_V} 3 01)?"),
     ("ruby", "ruby", r"ruby license"),
     ("postgresql", "postgresql", r"postgresql license"),
@@ -107,14 +107,14 @@ _NAMED: tuple[tuple[str, str, str], ...] = (
     ("lppl-1.3c", "latex", rf"latex project public license(?:{_V} 1 3c?)?"),
     ("odbl-1.0", "database", rf"open(?: data commons open)? database license(?:{_V} 1 0)?"),
     ("odc-by-1.0", "commons", r"open data commons attribution license"),
-    ("pddl-1.0", "commons", r"(?:open data commons )?public domain dedication and license"),
+    ("pddl-1.0", "dedication", r"(?:open data commons )?public domain dedication and license"),
     ("dbcl-1.0", "database", r"database contents license"),
     ("sspl-1.0", "server", rf"server side public license(?:{_V} 1)?"),
     ("busl-1.1", "business", rf"business source license(?:{_V} 1 1)?"),
     ("elastic-2.0", "elastic", rf"elastic license(?:{_V} 2(?: 0)?)?"),
     ("commons-clause", "clause", r"commons clause(?: license condition)?"),
     ("hippocratic", "hippocratic", r"hippocratic license"),
-    ("openrail", "openrail", r"(?:creativeml |bigscience )?open ?rail(?: m)?(?: license)?"),
+    ("openrail", "openrail rail", r"(?:creativeml |bigscience )?open ?rail(?: m)?(?: license)?"),
     ("llama-community", "llama", r"llama [23]? ?community license(?: agreement)?"),
     ("cc-by", "creative", r"creative commons attribution(?: license)?"),
     ("cc-by-1.0", "creative", r"creative commons attribution 1 0"),
@@ -197,7 +197,7 @@ _TEXTS: tuple[tuple[str, str, str], ...] = (
     ("proprietary", "confidential", r"confidential and proprietary"),
     ("reserved", "reserved", r"some rights reserved"),
     ("no-derivatives", "derivative", r"no derivative works (?:are )?(?:allowed|permitted)"),
-    ("noncommercial", "commercial", r"(?:for )?non ?commercial use only"),
+    ("noncommercial", "commercial noncommercial", r"(?:for )?non ?commercial use only"),
     ("noncommercial", "commercial", r"not (?:be used )?for commercial (?:use|purposes)"),
     ("copyright", "copyright", r"copyright (?:c )?(?:19|20)[0-9][0-9](?: (?:19|20)[0-9][0-9])?"),
     ("warranty-disclaimer", "warranty", r"without warranty of any kind"),
@@ -252,7 +252,8 @@ class Scanner:
     def __init__(self, rules: list[Rule]):
         self.by_keyword: dict[bytes, list[tuple[int, Rule]]] = {}
         for n, r in enumerate(rules):
-            self.by_keyword.setdefault(r.keyword, []).append((n, r))
+            for k in r.keyword.split():
+                self.by_keyword.setdefault(k, []).append((n, r))
         self.keywords = frozenset(self.by_keyword)
 
     def scan(self, ws: list[bytes]) -> list[tuple[int, int, int, Rule]]:
@@ -262,9 +263,8 @@ class Scanner:
             return []
         line = b" ".join(ws)
         found = []
-        for k in keys:
-            for n, r in self.by_keyword[k]:
-                found += [(*m.span(), n, r) for m in r.pattern.finditer(line)]
+        for n, r in {n: r for k in keys for n, r in self.by_keyword[k]}.items():  # each once, whatever its keywords
+            found += [(*m.span(), n, r) for m in r.pattern.finditer(line)]
         if not found:
             return []
         found.sort(key=lambda d: (-d[3].priority, d[0] - d[1], d[0], d[2]))

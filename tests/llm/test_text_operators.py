@@ -262,6 +262,47 @@ def test_priority_and_containment():
     assert len(licenses.default_rules()) >= 300
 
 
+def generated(rng, parsed):
+    """A random match of a parsed pattern without loops."""
+    out = ""
+    for op, av in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(av)
+        elif name == "IN":
+            kind, x = rng.choice(av)
+            out += chr(x if str(kind) == "LITERAL" else rng.randrange(x[0], x[1] + 1))
+        elif name == "MAX_REPEAT":
+            out += "".join(generated(rng, av[2]) for _ in range(rng.randrange(av[0], int(av[1]) + 1)))
+        elif name == "SUBPATTERN":
+            out += generated(rng, av[-1])
+        elif name == "BRANCH":
+            out += generated(rng, rng.choice(av[1]))
+        else:
+            assert name == "ASSERT_NOT"
+    return out
+
+
+def test_keywords_lose_no_match():
+    rng = random.Random(6)
+    rules = licenses.default_rules()
+    scanner = licenses.Scanner(rules)
+    for r in rules:
+        parsed = re._parser.parse(r.pattern.pattern.decode())
+        for _ in range(40):
+            ws = generated(rng, parsed).encode().split()
+            line = b" ".join(ws)
+            assert r.pattern.search(line), line
+            assert set(ws) & set(r.keyword.split()), line
+    label = lambda t: {r.label for *_, r in scanner.scan(words(t.encode()))}
+    for text, want in (("GPLv2", "gpl-2.0"), ("GPLv3", "gpl-3.0"), ("AGPLv3", "agpl-3.0"), ("LGPLv3", "lgpl-3.0"),
+                       ("LGPLv2.1", "lgpl-2.1"), ("0BSD", "bsd-0"), ("FreeBSD license", "bsd-2-clause"),
+                       ("PSF license", "python-2.0"), ("open rail", "openrail"),
+                       ("noncommercial use only", "noncommercial"),
+                       ("public domain dedication and license", "pddl-1.0")):
+        assert label(text) == {want}, text
+
+
 def test_suppression_matches_the_plain_rule():
     rng = random.Random(9)
     for _ in range(200):
