@@ -2,7 +2,7 @@
 
 from collections import Counter
 
-from conftest import READINGS, at, clock, sensor_frame
+from feeds import READINGS, at, clock, sensor_frame
 
 from brook.operators import eventtime as E
 from brook.operators import keyed as K

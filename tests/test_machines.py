@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import at, clock, sensor_frame
+from feeds import at, clock, sensor_frame
 
 from brook.operators import keyed as K
 

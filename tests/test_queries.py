@@ -2,7 +2,7 @@
 
 
 import pytest
-from conftest import SF
+from feeds import SF
 
 import __spark_entry__ as entry
 from brook.plans.queries import QUERIES as BASE

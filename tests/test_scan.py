@@ -1,7 +1,7 @@
 """Running values give the same answer however the rows are sliced."""
 
 import pytest
-from conftest import SF
+from feeds import SF
 from pyspark.sql import functions as F
 
 from brook.operators import eventtime as E

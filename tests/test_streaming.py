@@ -8,7 +8,7 @@ from datetime import timezone
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from conftest import READINGS, SF, at, clock, sensor_frame
+from feeds import READINGS, SF, at, clock, sensor_frame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

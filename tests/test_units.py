@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import at
+from feeds import at
 from pyspark.sql import functions as F
 
 from brook import session
