@@ -1,24 +1,21 @@
 """Keyed state in bounded form: previous values, expiry, jump alerts, timers.
 
 What needs only earlier rows of the key is a running value (see ``scan``). The
-single-timer machines are truly sequential within a key. They run as a fold over
-sorted partitions that holds one key's timer at a time, never a key's rows. What
-they read is first reduced to one row per key and clock reading - all a machine
-can tell apart - so a hot key costs as many steps as the clock has ticks, however
-many rows it holds.
+single-timer machines read one row per key and clock reading, all that they can
+tell apart (see ``timers``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brook.functions.durations import from_micros, interval, micros, to_micros
+from brook.functions.durations import interval, micros, to_micros
 from brook.operators import machines as M
 from brook.operators import scan as S
+from brook.operators import timers
 from brook.operators.eventtime import TICK, with_watermark
 
 ARRIVAL = ("arrival", "event_id")
@@ -94,7 +91,7 @@ def timer_per_event(df: DataFrame, delay: str = "5 seconds", bound: str = "2 sec
     ))).distinct()
     # Timers lie `delay` after event times: those serve as the profile to cut on.
     found = S.scan(both, [], ["at", "rank", "id", "fire_time"],
-                   profile=df.select(timer.alias("at"))).add(
+                   profile=df.select(timer.alias("at"), F.lit(0).alias("rank"), "id", timer.alias("fire_time"))).add(
         watermark=S.next_known(F.when(F.col("rank") == 1, F.col("at")))).rows()
     return found.where((F.col("rank") == 0) & F.col("watermark").isNotNull()).select(
         "id", "fire_time", "watermark").distinct()
@@ -109,54 +106,6 @@ def timer_processing(df: DataFrame, delay: str = "5 seconds", clock: str = "arri
 
 # -- single-timer machines -----------------------------------------------------
 
-def fold_timers(df: DataFrame, step: Callable, inputs: Sequence[str], end: int | None,
-                keep_open: bool = False) -> DataFrame:
-    """Fold ``step`` over the rows of each id in clock order.
-
-    ``df`` has ``id``, ``clock`` and ``inputs``, whole numbers but for the id.
-    Returns (id, fire_time); with ``keep_open`` also timers still pending at
-    ``end``, the last clock reading, told apart by ``fired``.
-    """
-    final = M.LONG_AGO if end is None else end
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, timer = None, None
-        for batch in batches:
-            ids, times, fired = [], [], []
-
-            def emit(owner, pending, done):
-                ids.append(owner)
-                times.append(pending.time)
-                fired.append(done)
-
-            columns = [batch.column(c).to_pylist() for c in ("id", "clock", *inputs)]
-            for key, clock, *rest in zip(*columns):
-                if key != current:
-                    if timer is not None:
-                        emit(current, timer, M.is_due(timer, final))
-                    current, timer = key, None
-                if M.is_due(timer, clock):
-                    emit(key, timer, True)
-                    timer = None
-                timer = step(timer, clock, *rest)
-            yield pack(ids, times, fired)
-        if timer is not None:
-            yield pack([current], [timer.time], [M.is_due(timer, final)])
-
-    def pack(ids, times, fired):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.string()), pa.array(times, pa.int64()), pa.array(fired, pa.bool_())],
-            names=["id", "time", "fired"])
-
-    out = (
-        df.select("id", "clock", *inputs).repartition("id").sortWithinPartitions("id", "clock")
-        .mapInArrow(run, "id string, time bigint, fired boolean")
-    )
-    if not keep_open:
-        out = out.where("fired")
-    return out.select("id", from_micros("time").alias("fire_time"), *(["fired"] if keep_open else []))
-
-
 def _event_clock(df: DataFrame, bound: str, order: Sequence[str]) -> tuple[DataFrame, int | None]:
     """Rows with the watermark they meet as a number, and their place ``pos`` in the feed; the last watermark.
 
@@ -174,47 +123,49 @@ def _end(df: DataFrame, clock: str) -> int | None:
     return df.agg(F.max(to_micros(clock))).first()[0]
 
 
+def _no_break() -> Column:
+    return F.lit(False).alias("breaks")
+
+
 def timer_one_per_key(df: DataFrame, delay: str = "5 seconds", bound: str = "2 seconds",
                       order: Sequence[str] = ARRIVAL, keep_open: bool = False) -> DataFrame:
     """At most one pending event-time timer per key; the next row after it fired sets anew."""
-    wait = micros(delay)
     rows, end = _event_clock(df.select("id", "ts", *order), bound, order)
     first = rows.groupBy("id", "clock").agg(F.min_by("base", "pos").alias("base"))
-    return fold_timers(
-        first, lambda timer, clock, base: M.one_timer(timer, clock, base, wait), ["base"], end, keep_open)
+    ticks = first.select("id", "clock", (F.col("base") + micros(delay)).alias("sets"), _no_break())
+    return timers.fold(ticks, end, keep_open, df.select("id"))
 
 
 def timer_one_per_key_processing(df: DataFrame, delay: str = "5 seconds",
                                  keep_open: bool = False) -> DataFrame:
     """The same on the arrival clock."""
-    wait = micros(delay)
-    ticks = df.select("id", to_micros("arrival").alias("clock")).distinct()
-    return fold_timers(
-        ticks, lambda timer, clock: M.one_timer(timer, clock, clock, wait), [],
-        _end(df, "arrival"), keep_open)
+    clock = to_micros("arrival").alias("clock")
+    ticks = df.select("id", clock).distinct().select("id", "clock", (F.col("clock") + micros(delay)).alias("sets"), _no_break())
+    return timers.fold(ticks, _end(df, "arrival"), keep_open, df.select("id", clock))
 
 
 def rising_alert_event(df: DataFrame, hold: str = "5 seconds", bound: str = "2 seconds",
                        order: Sequence[str] = ARRIVAL, keep_open: bool = False) -> DataFrame:
-    """Alert when a level has kept rising for ``hold`` of event time."""
-    wait = micros(hold)
+    """Alert when a level has kept rising for ``hold`` of event time.
+
+    The first row sets a timer; a row that did not rise drops it and sets one from its own time.
+    """
     rows, end = _event_clock(df.select("id", "ts", "vc", *order), bound, order)
     rows = S.scan(rows, ["id"], order, profile=df).add(_prev=S.previous(F.col("vc"))).rows()
     not_risen = F.when(F.col("vc") <= F.col("_prev"), F.col("pos"))
     ticks = rows.groupBy("id", "clock").agg(
         F.min_by("base", "pos").alias("base"), F.max_by("base", not_risen).alias("reset"))
-    return fold_timers(
-        ticks, lambda timer, clock, base, reset: M.rising_event(timer, clock, base, reset, wait),
-        ["base", "reset"], end, keep_open)
+    ticks = ticks.select("id", "clock", (F.coalesce("reset", "base") + micros(hold)).alias("sets"),
+                         F.col("reset").isNotNull().alias("breaks"))
+    return timers.fold(ticks, end, keep_open, df.select("id"))
 
 
 def rising_alert_processing(df: DataFrame, hold: str = "10 seconds", order: Sequence[str] = ARRIVAL,
                             keep_open: bool = False) -> DataFrame:
     """Alert when a level has not fallen for ``hold`` of the arrival clock after a rise.
 
-    A previous value of 0 stands for "no reading yet" and is passed over.
+    A previous value of 0 stands for "no reading yet" and is passed over. A fall drops the timer, a rise sets one.
     """
-    wait = micros(hold)
     rows = S.scan(df.select("id", "vc", *order), ["id"], order).add(
         _last=S.previous(F.col("vc")), pos=S.position()).rows()
     last = F.coalesce("_last", F.lit(0))
@@ -222,11 +173,8 @@ def rising_alert_processing(df: DataFrame, hold: str = "10 seconds", order: Sequ
     fell = F.when((last != 0) & (F.col("vc") < last), F.col("pos"))
     ticks = rows.groupBy("id", to_micros("arrival").alias("clock")).agg(
         F.max(rose).alias("_rose"), F.max(fell).alias("_fell"))
+    # A tick that fell ends with a timer only if it rose after that.
+    sets = F.when(F.col("_fell").isNull() | (F.col("_rose") > F.col("_fell")), F.col("clock") + micros(hold))
     ticks = ticks.where("_rose is not null or _fell is not null").select(
-        "id", "clock",
-        F.col("_fell").isNotNull().alias("fell"),
-        F.coalesce(F.col("_rose") > F.col("_fell"), F.lit(False)).alias("rose_after_fall"),
-        F.col("_rose").isNotNull().alias("rose"))
-    return fold_timers(
-        ticks, lambda timer, clock, fell, after, rose: M.rising_clock(timer, clock, fell, after, rose, wait),
-        ["fell", "rose_after_fall", "rose"], _end(df, "arrival"), keep_open)
+        "id", "clock", sets.alias("sets"), F.col("_fell").isNotNull().alias("breaks"))
+    return timers.fold(ticks, _end(df, "arrival"), keep_open, df.select("id", to_micros("arrival").alias("clock")))

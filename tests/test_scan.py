@@ -149,7 +149,7 @@ def test_eager_passes(skewed, monkeypatch, name, passes):
     """Row count, boundaries and the last watermark come from one pass; a keyed value adds its count per key."""
     seen = []
     kind = type(skewed)
-    for action in ("first", "collect", "count"):
+    for action in ("first", "collect", "count", "toArrow"):
         plain = getattr(kind, action)
 
         def counted(self, *args, plain=plain):
