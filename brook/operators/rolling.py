@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from brook.functions.text import words
 from brook.operators import scan as S
+from brook.session import shared_dir
 
 
 def tokenize(lines: DataFrame, line: str = "line", keep: Sequence[str] = ()) -> DataFrame:
@@ -46,13 +47,45 @@ def rolling_reduce(df: DataFrame, keys: Sequence[str], order: Sequence[str], val
     return S.scan(df, keys, order).add(**{name: made}).rows()
 
 
+def prefixes(ends: DataFrame, value: str, combine: Callable[[Column, Column], Column], keys: Sequence[str] = (S.HOT,),
+             place: str = S.SLICE) -> DataFrame:
+    """(keys, place, ``value``): what everything before each place of a key combines to; the first place has no row.
+
+    A parallel prefix: after round i a place holds the last 2^i values up to it, so that each round is one join of places
+    that lie 2^i apart and ``combine`` runs on the executors. Rounds are stored, as each reads the one before twice.
+    ``combine`` must be associative; it need not commute.
+    """
+    spark, root = ends.sparkSession, shared_dir(ends.sparkSession, "prefixes")
+
+    def stored(frame: DataFrame, name: str) -> DataFrame:
+        frame.write.parquet(f"{root}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{root}/{name}")
+
+    back = {f"_g{i}": k for i, k in enumerate(keys)} | {"_p": place, "_v": value}
+    keys = [f"_g{i}" for i in range(len(keys))]  # the layout below has slices of its own
+    ends = ends.select(*[F.col(c).alias(n) for n, c in back.items()])
+    spot = S.scan(ends.select(*keys, "_p"), keys, ["_p"]).add(_i=S.position()).rows()
+    rows = stored(ends.join(spot, [*keys, "_p"]), "0")
+    most = rows.agg(F.max("_i")).first()[0] or 0
+    step, n = 1, 1
+    while step < most:
+        left = rows.select(*keys, (F.col("_i") + step).alias("_i"), F.struct("_v").alias("_l"))
+        both = rows.join(left, [*keys, "_i"], "left")
+        joined = both.where("_l is not null").withColumn("_v", combine(F.col("_l")["_v"], F.col("_v")))
+        both = joined.unionAll(both.where("_l is null"))
+        rows = stored(both.select(*keys, "_p", "_v", "_i"), str(n))
+        step, n = 2 * step, n + 1
+    following = spot.select(*keys, "_p", (F.col("_i") - 1).alias("_i"))
+    found = rows.select(*keys, "_v", "_i").join(following, [*keys, "_i"])
+    return found.select(*[F.col(n).alias(c) for n, c in back.items()])
+
+
 def rolling_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
                  combine: Callable[[object, object], object], name: str = "running") -> DataFrame:
-    """Running reduce with any associative Python combiner.
+    """Running reduce with any associative Python combiner, which need not commute and whose values may grow.
 
-    Folded along sorted partitions, one value held at a time. A hot key is
-    folded slice by slice; the results of its earlier slices, one value per hot
-    slice, are combined in front.
+    Folded along sorted partitions, one value held at a time. A hot key is folded slice by slice; what its earlier
+    slices combine to is found by ``prefixes`` and put in front.
     """
     laid = S.scan(df, keys, order)
     part = [*keys, S.SLICE] if laid.sliced else list(keys)
@@ -69,33 +102,23 @@ def rolling_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
                 out.append(held)
             yield pdf.assign(**{name: out})
 
-    def put_before(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = zip(pdf["_late"].tolist(), pdf["_before"].tolist(), pdf[name].tolist())
-            pdf[name] = [combine(a, b) if late else b for late, a, b in rows]
-            yield pdf.drop(columns=["_late", "_before"])
-
     folded = laid.df.repartition(*part).sortWithinPartitions(*part, *order).mapInPandas(
         fold, f"{named}, `{name}` {kind}")
     if not laid.sliced:
         return folded
-    # One row per hot slice, at most a few ten thousand in all.
-    ends = (
-        folded.where(F.col(S.SLICE) >= 0).groupBy(S.HOT, S.SLICE)
-        .agg(F.max_by(name, F.struct(*order)).alias("_end")).orderBy(S.HOT, S.SLICE).collect()
-    )
-    before, last = [], (None, None)
-    for r in ends:
-        if r[S.HOT] == last[0]:
-            before.append((r[S.HOT], r[S.SLICE], last[1]))
-            last = (r[S.HOT], combine(last[1], r["_end"]))
-        else:
-            last = (r[S.HOT], r["_end"])
-    carried = df.sparkSession.createDataFrame(before, f"`{S.HOT}` int, `{S.SLICE}` int, `_before` {kind}")
-    joined = folded.join(F.broadcast(carried), [S.HOT, S.SLICE], "left").select(
-        *folded.columns, F.col("_before").isNotNull().alias("_late"),
-        F.coalesce("_before", name).alias("_before"))
-    return joined.mapInPandas(put_before, folded.schema).drop(S.HOT, S.SLICE)
+
+    @F.pandas_udf(kind)
+    def combined(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([combine(x, y) for x, y in zip(a.tolist(), b.tolist())], dtype=object)
+
+    path = shared_dir(df.sparkSession, "folded")
+    folded.write.parquet(path)  # read twice, and a Python fold is not repeated for that
+    folded = df.sparkSession.read.schema(folded.schema).parquet(path)
+    ends = folded.where(F.col(S.SLICE) >= 0).groupBy(S.HOT, S.SLICE).agg(F.max_by(name, F.struct(*order)).alias("_before"))
+    joined = laid.with_carry(folded, prefixes(ends, "_before", combined))
+    first = joined.where("_before is null").drop("_before")
+    later = joined.where("_before is not null").withColumn(name, combined(F.col("_before"), F.col(name))).drop("_before")
+    return first.unionAll(later.select(*first.columns)).drop(S.HOT, S.SLICE)
 
 
 def rolling_extreme(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
@@ -157,6 +180,26 @@ def approximate_distinct(df: DataFrame, member: str, name: str = "uv", digits: i
     return least.agg(F.round(F.when(empty * 20 >= buckets, by_share).otherwise(by_minima)).cast("bigint").alias(name))
 
 
+def bitmap_members(df: DataFrame, member: str, groups: Sequence[Column] = ()) -> DataFrame:
+    """The members of each group as bitmaps: one row of at most 4 KB per group and range of 32,768 numbers.
+
+    Members are whole numbers; null is none. Bitmaps of panes or batches merge with ``merge_bitmaps``.
+    """
+    known = df.where(F.col(member).isNotNull())
+    return known.groupBy(*groups, F.bitmap_bucket_number(member).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(member)).alias("members"))
+
+
+def merge_bitmaps(bitmaps: DataFrame, *groups: str) -> DataFrame:
+    """Bitmaps of coarser groups."""
+    return bitmaps.groupBy(*groups, "bucket").agg(F.bitmap_or_agg("members").alias("members"))
+
+
+def count_bitmaps(bitmaps: DataFrame, *groups: str, name: str = "uv") -> DataFrame:
+    """Exact number of different members of each group."""
+    return bitmaps.groupBy(*groups).agg(F.coalesce(F.sum(F.bitmap_count("members")), F.lit(0)).alias(name))
+
+
 def count_average(df: DataFrame, key: str, order: Sequence[str], value: str, n: int = 2) -> DataFrame:
     """Average of every ``n`` readings of a key; an incomplete tail gives nothing."""
     placed = S.scan(df.select(key, *order, value), [key], order).add(_pos=S.position()).rows()

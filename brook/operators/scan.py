@@ -214,7 +214,8 @@ class Scan:
         return summary.select(
             HOT, SLICE, *[r.fold(F.col(f"_c_{n}")).over(over).alias(f"_c_{n}") for n, r in specs.items()])
 
-    def _with_carry(self, df: DataFrame, carry: DataFrame) -> DataFrame:
+    def with_carry(self, df: DataFrame, carry: DataFrame) -> DataFrame:
+        """Rows with what one row per hot (key, slice) says; nulls where it says nothing."""
         if self.slices <= BROADCAST_SLICES:
             return df.join(F.broadcast(carry), [HOT, SLICE], "left")
         # Rows of cold keys find nothing; their keys spread them over the tasks of the join.
@@ -231,7 +232,7 @@ class Scan:
             for later in (False, True):
                 some = {n: r for n, r in specs.items() if r.later is later}
                 if some:
-                    df = self._with_carry(df, self._carry(some, later))
+                    df = self.with_carry(df, self._carry(some, later))
         out = {}
         for n, r in specs.items():
             here = r.local(self)

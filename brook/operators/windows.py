@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brook.functions.durations import interval, micros
+from brook.functions.durations import from_micros, interval, micros, to_micros
 from brook.operators import scan as S
+from brook.session import shared_dir
 
 
 def windowed(df: DataFrame, keys: Sequence[str], ts: str, size: str, aggs: Sequence[Column],
@@ -142,3 +143,85 @@ def user_aggregate(
 
     parts = rows.mapInPandas(partial, f"{named}, {accumulator}")
     return parts.repartition(*group).sortWithinPartitions(*group).mapInPandas(final, f"{named}, {output}")
+
+
+def session_aggregate(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    gap: str,
+    zero: Callable[[], tuple],
+    add: Callable[[tuple, object], tuple],
+    merge: Callable[[tuple, tuple], tuple],
+    result: Callable[[tuple], tuple],
+    accumulator: str,
+    output: str,
+) -> DataFrame:
+    """An aggregate function of four methods over sessions, in Python: (key, session_start, session_end, outputs).
+
+    Sessions grow out of order: within an Arrow batch every row opens or joins a session, and one that closes the gap
+    between two sessions merges them. These partial sessions travel as accumulators; those of one key that overlap or
+    lie within the gap are numbered alike by running values, which cut hot keys, and merged in order of their start.
+    """
+    fields, outputs = T.StructType.fromDDL(accumulator).fieldNames(), T.StructType.fromDDL(output).fieldNames()
+    wait = micros(gap)
+    rows = df.withColumn("_at", to_micros(ts))
+    kind = rows.schema[key].dataType.simpleString()
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            done = []
+            for k, some in pdf.groupby(key, dropna=False, sort=False):
+                held: list[list] = []  # disjoint sessions of the key: first and last instant, accumulator
+                for row in some.itertuples(index=False, name="Record"):
+                    at = row[-1]
+                    near = [h for h in held[-8:] if h[0] - wait <= at <= h[1] + wait]
+                    if near:
+                        near[0][0], near[0][1] = min(near[0][0], at), max(near[0][1], at)
+                        near[0][2] = add(near[0][2], row)
+                    else:
+                        held.append([at, at, add(zero(), row)])
+                held.sort(key=lambda h: h[0])
+                grown = held[:1]
+                for low, high, acc in held[1:]:
+                    if low <= grown[-1][1] + wait:
+                        grown[-1][1], grown[-1][2] = max(grown[-1][1], high), merge(grown[-1][2], acc)
+                    else:
+                        grown.append([low, high, acc])
+                name = None if pd.isna(k) else k
+                done += [(name, low, high, *acc) for low, high, acc in grown]
+            yield pd.DataFrame(done, columns=[key, "_low", "_high", *fields])
+
+    sessions = rows.mapInPandas(partial, f"`{key}` {kind}, _low bigint, _high bigint, {accumulator}")
+    path = shared_dir(df.sparkSession, "sessions")
+    sessions.write.parquet(path)
+    sessions = df.sparkSession.read.schema(sessions.schema).parquet(path).withColumn(
+        "_place", F.monotonically_increasing_id())
+    numbered = S.scan(sessions, [key], ["_low", "_place"]).add(_top=S.highest(F.col("_high"), before=True))
+    anew = F.col("_top").isNull() | (F.col("_low") > F.col("_top") + wait)
+    numbered = numbered.add(_session=S.total(F.when(anew, 1).otherwise(0).cast("bigint"))).rows()
+    group = [key, "_session"]
+
+    def final(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, low, high, acc = None, 0, 0, None
+
+        def closed():
+            return (current[0], low, high, *result(acc))
+
+        for pdf in batches:
+            done = []
+            for k, number, a, b, *part in pdf[[*group, "_low", "_high", *fields]].itertuples(index=False, name=None):
+                if acc is not None and number == current[1] and (k == current[0] or (pd.isna(k) and pd.isna(current[0]))):
+                    low, high, acc = min(low, a), max(high, b), merge(acc, tuple(part))
+                else:
+                    if acc is not None:
+                        done.append(closed())
+                    current, low, high, acc = (k, number), a, b, tuple(part)
+            yield pd.DataFrame(done, columns=[key, "_low", "_high", *outputs])
+        if acc is not None:
+            yield pd.DataFrame([closed()], columns=[key, "_low", "_high", *outputs])
+
+    merged = numbered.repartition(*group).sortWithinPartitions(*group, "_low", "_place").mapInPandas(
+        final, f"`{key}` {kind}, _low bigint, _high bigint, {output}")
+    return merged.select(key, from_micros("_low").alias("session_start"),
+                         (from_micros("_high") + interval(gap)).alias("session_end"), *outputs)

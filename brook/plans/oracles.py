@@ -128,7 +128,56 @@ LINES = r"SELECT unnest(string_split(text, chr(10))) AS line FROM documents"
 PAYLOAD = """'{"user_id":' || user_id || ',"item_id":' || item_id || ',"category_id":' || category_id ||
   ',"behavior":"' || behavior || '","ts":' || (epoch_us(ts) // 1000) || '}'"""
 
+# Batches of the late-row streams: the feed in order of arrival, cut into five of equal length; wm is the watermark that
+# judges a batch, that of all rows before it.
+BATCHES = SENSORS + """,
+batched AS (
+  SELECT event_id, id, ts, vc, arrival, (row_number() OVER (ORDER BY arrival, event_id) - 1) * 5 // count(*) OVER () AS batch
+  FROM sensors),
+tops AS (SELECT batch, max(ts) AS top FROM batched GROUP BY batch),
+marks AS (
+  SELECT batch, max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL '2 hours' AS wm
+  FROM tops),
+judged AS (
+  SELECT b.*, """ + bucket(5) + """ AS window_start, """ + bucket(5) + """ + INTERVAL '5 hours' AS window_end,
+    CASE WHEN wm IS NULL OR wm < """ + bucket(5) + """ + INTERVAL '5 hours' - INTERVAL '1 millisecond' THEN 'on_time'
+         WHEN wm < """ + bucket(5) + """ + INTERVAL '7 hours' - INTERVAL '1 millisecond' THEN 'refire' ELSE 'late' END AS row_class
+  FROM batched b JOIN marks USING (batch))"""
+
 ORACLES = {
+    "rolling_reduce_general": f"""WITH {SENSORS}
+SELECT event_id, id, string_agg(CAST(vc AS VARCHAR), ',') OVER (
+  PARTITION BY id ORDER BY arrival, event_id ROWS UNBOUNDED PRECEDING) AS running FROM sensors""",
+    "uv_bitmap": f"""SELECT {bucket(10)} AS window_start, count(DISTINCT user_id) AS uv FROM events
+WHERE event_type = 'view' GROUP BY 1
+UNION ALL SELECT NULL, count(DISTINCT user_id) FROM events WHERE event_type = 'view'""",
+    "window_user_aggregate": f"""WITH {SENSORS}
+SELECT id, {bucket(15)} AS window_start, count(*) AS n, CAST(sum(vc) AS DOUBLE) / count(*) AS mean,
+  CAST(max(vc) - min(vc) AS BIGINT) AS spread FROM sensors GROUP BY ALL""",
+    "session_user_aggregate": f"""WITH {SENSORS}, flagged AS (
+  SELECT *, CASE WHEN ts > lag(ts) OVER o + INTERVAL '5 hours' THEN 1 ELSE 0 END AS anew
+  FROM sensors WINDOW o AS (PARTITION BY id ORDER BY ts, event_id)),
+numbered AS (SELECT *, sum(anew) OVER (PARTITION BY id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM flagged)
+SELECT id, min(ts) AS session_start, max(ts) + INTERVAL '5 hours' AS session_end, count(*) AS n,
+  CAST(sum(vc) AS DOUBLE) / count(*) AS mean, CAST(max(vc) - min(vc) AS BIGINT) AS spread FROM numbered GROUP BY id, s""",
+    "delay_sketch": f"""WITH {SENSORS}
+SELECT {bucket(50)} AS window_start, count(*) AS n, true AS p50_close, true AS p95_close FROM sensors GROUP BY 1""",
+    "state_lookup_list": f"""WITH {SENSORS}, placed AS (
+  SELECT event_id % 16 AS shard, event_id, vc, row_number() OVER (PARTITION BY event_id % 16 ORDER BY arrival, event_id) AS pos,
+    count(*) OVER (PARTITION BY event_id % 16) AS n FROM sensors)
+SELECT CAST(shard AS INTEGER) AS shard, event_id, vc FROM placed WHERE pos > n // 3 * 3""",
+    "stream_late_side_output": f"""WITH {BATCHES}
+SELECT event_id, id, ts, vc, arrival FROM judged WHERE row_class = 'late'""",
+    "stream_late_refire": f"""WITH {BATCHES},
+per_batch AS (
+  SELECT id, window_start, window_end, batch, row_class, count(*) AS k FROM judged WHERE row_class <> 'late' GROUP BY ALL),
+running AS (
+  SELECT *, sum(k) OVER (PARTITION BY id, window_start ORDER BY batch, row_class) AS n FROM per_batch)
+SELECT id, window_start, window_end, 'refire' AS firing, CAST(n AS BIGINT) AS n FROM running WHERE row_class = 'refire'
+UNION ALL
+SELECT id, window_start, window_end, 'first', CAST(sum(k) AS BIGINT) FROM per_batch WHERE row_class = 'on_time'
+GROUP BY id, window_start, window_end
+HAVING window_end - INTERVAL '1 millisecond' <= (SELECT max(ts) - INTERVAL '2 hours' FROM sensors)""",
     "word_count": f"WITH {TOKENS} SELECT word, count(*) AS n FROM tokens GROUP BY word",
     "src_text_lines": LINES,
     "src_collection": f"""WITH {SENSORS}, pairs(id, duration_ms) AS (VALUES ('sensor_1', 10000), ('sensor_2', 60000))

@@ -188,6 +188,12 @@ def rolling_reduce(spark, sf_dir):
     return R.rolling_reduce(rows, ["id"], ARRIVAL, "vc")
 
 
+def rolling_reduce_general(spark, sf_dir):
+    """A combiner that does not commute and whose values grow: the levels of a sensor so far, in order."""
+    rows = V.sensors(spark, sf_dir).select("event_id", "id", "arrival", F.col("vc").cast("string").alias("levels"))
+    return R.rolling_fold(rows, ["id"], ARRIVAL, "levels", lambda a, b: f"{a},{b}").select("event_id", "id", "running")
+
+
 def _extreme(kind: str, whole: bool):
     def query(spark, sf_dir):
         rows = V.sensors(spark, sf_dir).select("event_id", "id", "arrival", "ts", "vc")
@@ -219,6 +225,15 @@ def uv_approx(spark, sf_dir):
     return R.approximate_distinct(V.page_views(spark, sf_dir), "user_id")
 
 
+def uv_bitmap(spark, sf_dir):
+    """Exact unique visitors per window, and of all windows together (null) from the same bitmaps."""
+    start = F.window("ts", "10 hours")["start"].alias("window_start")
+    panes = R.bitmap_members(V.page_views(spark, sf_dir), "user_id", [start])
+    total = R.count_bitmaps(R.merge_bitmaps(panes))
+    return R.count_bitmaps(panes, "window_start").unionByName(
+        total.select(F.lit(None).cast("timestamp_ntz").alias("window_start"), "uv"))
+
+
 def channel_behavior_count(spark, sf_dir):
     key = F.concat_ws("_", "channel", "behavior")
     return V.marketing(spark, sf_dir).groupBy(key.alias("channel_behavior")).agg(F.count("*").alias("n"))
@@ -279,6 +294,26 @@ def window_avg(spark, sf_dir):
     return W.window_average(V.sensors(spark, sf_dir), "id", "vc", "ts", "15 hours")
 
 
+#: The four methods of a user's aggregate: sum, count, least and greatest level.
+LEVELS = {
+    "zero": lambda: (0, 0, None, None),
+    "add": lambda a, row: (a[0] + row.vc, a[1] + 1, row.vc if a[2] is None else min(a[2], row.vc),
+                           row.vc if a[3] is None else max(a[3], row.vc)),
+    "merge": lambda a, b: (a[0] + b[0], a[1] + b[1], min(a[2], b[2]), max(a[3], b[3])),
+    "result": lambda a: (int(a[1]), a[0] / a[1], int(a[3] - a[2])),
+    "accumulator": "s bigint, c bigint, lo bigint, hi bigint",
+    "output": "n bigint, mean double, spread bigint",
+}
+
+
+def window_user_aggregate(spark, sf_dir):
+    return W.user_aggregate(V.sensors(spark, sf_dir).select("id", "ts", "vc"), ["id"], "ts", "15 hours", **LEVELS)
+
+
+def session_user_aggregate(spark, sf_dir):
+    return W.session_aggregate(V.sensors(spark, sf_dir).select("id", "ts", "vc"), "id", "ts", "5 hours", **LEVELS)
+
+
 def window_minmax(spark, sf_dir):
     return W.window_minmax(V.sensors(spark, sf_dir), "id", "vc", "ts", "10 hours")
 
@@ -417,6 +452,14 @@ def delay_stats(spark, sf_dir):
     return M.delay_stats(V.sensors(spark, sf_dir), "ts", "arrival", "5 hours")
 
 
+def delay_sketch(spark, sf_dir):
+    """Delays of 50 hours from the sketches of 5-hour panes, and whether their ranks are within one per cent."""
+    rows = V.sensors(spark, sf_dir)
+    merged = M.merged_delays(M.delay_sketches(rows, "ts", "arrival", "5 hours"), "50 hours")
+    errors = M.rank_errors(rows, merged, "50 hours")
+    return errors.select("window_start", "n", *[(F.col(f"{c}_error") <= 0.01).alias(f"{c}_close") for c in ("p50", "p95")])
+
+
 # -- sinks ---------------------------------------------------------------------
 
 def sink_queue_payload(spark, sf_dir):
@@ -442,7 +485,8 @@ QUERIES = {
         parse_sensor_csv, parse_threshold_json, map_project, map_with_lifecycle, filter_pv,
         flatmap_tokenize, key_partition_stats, format_window_text, epoch_convert, process_element,
         union_streams, connect_comap, gate_forward, gate_forward_extend, dynamic_threshold_alert,
-        side_output_main, side_output_alarm, rolling_sum, rolling_reduce, pv_total,
+        side_output_main, side_output_alarm, rolling_sum, rolling_reduce, rolling_reduce_general, pv_total, uv_bitmap,
+        window_user_aggregate, session_user_aggregate, delay_sketch,
         pv_total_running, uv_total, uv_running, uv_approx, channel_behavior_count,
         channel_behavior_running, pv_per_user, count_average, buffer_release, tumbling_count,
         sliding_count, session_count, count_window_tumbling, count_window_sliding,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from brook import schemas, session
 from brook.functions.durations import from_micros
+from brook.operators import scan as S_
 from brook.operators.rolling import tokenize
 from brook.plans.queries import written_lines
 from brook.sinks import custom, payloads
@@ -18,7 +19,7 @@ from brook.sources import replay, text
 from brook.sources import views as V
 from brook.streaming import aggregates as A
 from brook.streaming import processors as S
-from brook.streaming import carry, run, state
+from brook.streaming import chunks, late, run, state
 
 
 def _places(spark: SparkSession, name: str) -> tuple[str, str]:
@@ -35,10 +36,19 @@ def _stateful(spark: SparkSession) -> None:
 DISORDER = "6 hours"
 
 
+#: Ordered feeds of this session, by application and folder of the tables: streams over one table share one copy.
+_feeds: dict[tuple[str, str], str] = {}
+
+
 def _sensor_feed(spark, sf_dir) -> DataFrame:
     """Sensor rows in order of arrival, over several micro-batches."""
     rows = V.as_sensors(V.events(spark, sf_dir))
-    return run.ordered_feed(rows, ("arrival", "event_id"), f"{session.shared_dir(spark, 'feed')}/rows")
+    which = (spark.sparkContext.applicationId, sf_dir)
+    if which not in _feeds:
+        path = f"{session.shared_dir(spark, 'feed')}/rows"
+        run.ordered_files(rows, ("arrival", "event_id"), path)
+        _feeds[which] = path
+    return run.event_feed(spark, _feeds[which], run.FILES_PER_BATCH, rows.schema)
 
 
 def _appended(spark, stream: DataFrame, name: str) -> DataFrame:
@@ -133,30 +143,66 @@ def _tagged_feed(spark, sf_dir) -> DataFrame:
     return both.where("r is not null").select("event_id", "id", "r.vc", "arrival", "r.rank", "r.threshold_vc")
 
 
-def _carried(spark, stream: DataFrame, name: str, writer, *options) -> DataFrame:
-    root = session.shared_dir(spark, name)
-    run.drain_batches(stream, writer(root, *options), f"{root}/checkpoint", "append")
-    return run.zoneless(spark.read.parquet(f"{root}/out")).drop("batch_id")
-
-
 def stream_dynamic_threshold(spark, sf_dir):
-    return _carried(spark, _tagged_feed(spark, sf_dir), "stream-rules", carry.threshold_alerts)
+    _stateful(spark)
+    return _appended(spark, chunks.threshold_alerts(_tagged_feed(spark, sf_dir)), "stream-rules")
 
 
 def stream_jump_alert(spark, sf_dir):
-    feed = _sensor_feed(spark, sf_dir).select("event_id", "id", "vc", "arrival")
-    return _carried(spark, feed, "stream-jump", carry.jump_alerts, 1.7)
+    _stateful(spark)
+    return _appended(spark, chunks.jump_alerts(_sensor_feed(spark, sf_dir), 1.7), "stream-jump").withColumn(
+        "diff", F.col("diff").cast("int"))
 
 
 def stream_last_value(spark, sf_dir):
-    feed = _sensor_feed(spark, sf_dir).select("event_id", "id", "vc", "arrival")
-    return _carried(spark, feed, "stream-last", carry.last_values)
+    _stateful(spark)
+    return _appended(spark, chunks.last_values(_sensor_feed(spark, sf_dir)), "stream-last")
 
 
 def stream_rolling_sum(spark, sf_dir):
+    _stateful(spark)
     feed = _sensor_feed(spark, sf_dir).select(
         "event_id", F.col("event_type").alias("id"), "arrival", F.lit(1).cast("bigint").alias("value"))
-    return _carried(spark, feed, "stream-sum", carry.running_sums)
+    return _appended(spark, chunks.running_sums(feed), "stream-sum")
+
+
+def _in_parts(spark, sf_dir, name: str, parts: int, drain) -> str:
+    """The feed in order of arrival cut into equal parts; ``drain`` runs a query over what is there after each of them."""
+    root = session.shared_dir(spark, name)
+    rows = V.sensors(spark, sf_dir).select("event_id", "id", "ts", "vc", "arrival")
+    placed = S_.scan(rows, [], ("arrival", "event_id")).add(_pos=S_.position())
+    part = F.expr(f"(_pos - 1) * {parts}L div {placed.n_rows}L")
+    placed.rows().withColumn("part", part).drop("_pos").write.partitionBy("part").parquet(f"{root}/parts")
+    for i in range(parts):  # a part's files are there before the run that takes them, so order needs no file times
+        spark.read.schema(rows.schema).parquet(f"{root}/parts/part={i}").write.parquet(f"{root}/feed/{i}")
+        drain(run.event_feed(spark, f"{root}/feed/*", 1_000_000, rows.schema), root)
+    return root
+
+
+def stream_late_refire(spark, sf_dir):
+    """Window counts that fire again with rows up to two hours too late, over five micro-batches."""
+    _stateful(spark)
+    hour = 3_600_000
+
+    def drain(feed, root):
+        counts = S.window_counts(feed.withWatermark("ts", "2 hours"), "5 hours")
+        fired = S.process(counts, ["id", "start_ms"], S.LateWindow(5 * hour, 2 * hour))
+        run.drain(fired, f"{root}/out", f"{root}/checkpoint")
+
+    out = spark.read.parquet(f"{_in_parts(spark, sf_dir, 'late-refire', 5, drain)}/out")
+    start = F.col("start_ms") * 1000
+    return out.select("id", from_micros(start).alias("window_start"), from_micros(start + 5 * hour * 1000).alias("window_end"),
+                      "firing", "n")
+
+
+def stream_late_side_output(spark, sf_dir):
+    """Rows too late even for the allowed lateness, over five micro-batches."""
+    def drain(feed, root):
+        write = late.split_writer(root, "5 hours", "2 hours", "2 hours")
+        run.drain_batches(feed, write, f"{root}/checkpoint", "append")
+
+    root = _in_parts(spark, sf_dir, "late-rows", 5, drain)
+    return run.zoneless(spark.read.parquet(f"{root}/late")).drop("batch_id")
 
 
 def stateful_threshold(spark, sf_dir):
@@ -174,20 +220,33 @@ def stream_timer_per_event(spark, sf_dir):
     return fired.select("id", from_micros(F.col("fire_ms") * 1000).alias("fire_time"))
 
 
+def _shards(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("shard", F.pmod("event_id", F.lit(16)).cast("int"))
+
+
 def buffer_restart(spark, sf_dir):
     """A buffer of three per shard, stopped half-way through the feed and started again from its checkpoint."""
     _stateful(spark)
     root = session.shared_dir(spark, "buffer-restart")
-    rows = V.sensors(spark, sf_dir).withColumn("shard", F.pmod("event_id", F.lit(16)).cast("int"))
+    rows = _shards(V.sensors(spark, sf_dir))
     clock = F.col("arrival").cast("timestamp").cast("double")
     half = rows.agg(((F.min(clock) + F.max(clock)) / 2).alias("half")).first().half
     for place, part in enumerate((clock <= half, clock > half)):
-        n = run.ordered_files(rows.where(part), ("arrival", "event_id"), f"{root}/feed/{place}")
-        feed = run.event_feed(spark, f"{root}/feed/*", max(2, n // run.MAX_BATCHES), rows.schema)
+        run.ordered_files(rows.where(part), ("arrival", "event_id"), f"{root}/feed/{place}")
+        feed = run.event_feed(spark, f"{root}/feed/*", run.FILES_PER_BATCH, rows.schema)
         run.drain(S.process(feed, "shard", S.Buffer(3)), f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out")
 
 
+def state_lookup_list(spark, sf_dir):
+    """The rows that a buffer of three per shard still holds when its query has stopped, from its list state."""
+    _stateful(spark)
+    out, checkpoint = _places(spark, "lookup-list")
+    run.drain(S.process(_shards(_sensor_feed(spark, sf_dir)), "shard", S.Buffer(3)), out, checkpoint)
+    held = state.read_list(spark, checkpoint, "held")
+    return held.select(F.col("key.shard").alias("shard"), F.col("value.event_id").alias("event_id"), F.col("value.vc").alias("vc"))
+
+
 def stream_kv_upsert(spark, sf_dir):
     """The running page views of each user, as a key-value store holds them at the end of the feed."""
     views = _sensor_feed(spark, sf_dir).where(F.col("event_type") == V.PAGE_VIEW)
@@ -236,6 +295,7 @@ STREAMS = {
         stream_tumbling_count, stream_sliding_count, stream_session_count, stream_uv,
         stateful_count, state_lookup, stream_dynamic_threshold, stateful_threshold,
         stream_jump_alert, stream_last_value, stream_rolling_sum,
+        stream_late_refire, stream_late_side_output, state_lookup_list,
         stream_timer_per_event, buffer_restart, stream_kv_upsert, metric_gauge, metric_watermark, sink_custom,
     )
 }

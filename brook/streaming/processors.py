@@ -3,7 +3,7 @@
 Each processor holds one small value per key. Rows of a key within one
 micro-batch come unordered, so they are put in arrival order first; how many
 they can be is set by the source's rate limit (files or offsets per trigger). For
-operators without timers, ``carry`` spreads the rows of a hot key instead.
+operators without timers, ``chunks`` packs the rows of a hot key instead.
 
 In a micro-batch the watermark is that of the batches before. A timer that it
 has passed is treated as fired before the key's rows, as a record-by-record
@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from brook.operators import machines as M
@@ -381,7 +382,53 @@ class Buffer(Processor):
             self.held.clear()
 
 
+class LateWindow(Processor):
+    """Counts of a (key, window) that fire at the window's end and again with late rows until the allowed lateness is over.
+
+    Two timers: the first firing at the window's last instant, the end of the state ``late_ms`` after it. Rows come as
+    counts. A row is judged by the watermark of the batches before; hopelessly late ones give nothing here.
+    """
+
+    def __init__(self, size_ms: int, late_ms: int):
+        self.size_ms, self.late_ms = size_ms, late_ms
+
+    def init(self, handle):
+        self.handle = handle
+        self.count = handle.getValueState("count", "n bigint")
+
+    def handleInputRows(self, key, rows, timerValues):
+        wm, last = timerValues.getCurrentWatermarkInMs(), key[1] + self.size_ms - 1
+        if wm >= last + self.late_ms:
+            return
+        held = self.count.get()
+        n = (held[0] if held else 0) + sum(r.n for r in rows)
+        self.count.update((n,))
+        self.handle.registerTimer(last + self.late_ms)
+        if wm < last:
+            self.handle.registerTimer(last)
+        else:
+            yield Row(id=key[0], start_ms=key[1], firing="refire", n=n)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        last, at = key[1] + self.size_ms - 1, expiredTimerInfo.getExpiryTimeInMs()
+        if at == last:
+            yield Row(id=key[0], start_ms=key[1], firing="first", n=self.count.get()[0])
+        if at == last + self.late_ms:
+            self.count.clear()
+
+
+def window_counts(rows: DataFrame, size: str) -> DataFrame:
+    """Rows as (id, start_ms, n), counted per Arrow batch; ``rows`` has the watermark."""
+    def count(batches):
+        for pdf in batches:
+            yield pdf.groupby(["id", "start_ms"], dropna=False).size().rename("n").reset_index()
+
+    start = F.unix_millis(F.window("ts", size)["start"])
+    return rows.select("id", start.alias("start_ms")).mapInPandas(count, "id string, start_ms bigint, n bigint")
+
+
 OUTPUTS = {
+    LateWindow: "id string, start_ms bigint, firing string, n bigint",
     RunningCount: "key string, n bigint",
     TtlCount: "key string, n bigint",
     Reduce: "key string, event_id bigint, value bigint",
@@ -400,14 +447,14 @@ OUTPUTS = {
 }
 
 ON_PROCESSING_TIME = (TtlCount, ProcessingTimer, OneProcessingTimer, RisingProcessing, Gate)
-ON_EVENT_TIME = (SelfCleaningJump, TimerPerEvent, OneTimer, RisingEvent)
+ON_EVENT_TIME = (SelfCleaningJump, TimerPerEvent, OneTimer, RisingEvent, LateWindow)
 
 
-def process(rows: DataFrame, key: str, processor: StatefulProcessor, mode: str = "append") -> DataFrame:
+def process(rows: DataFrame, key: str | list[str], processor: StatefulProcessor, mode: str = "append") -> DataFrame:
     """Run a processor per key. Event-time processors need a watermark on ``rows``."""
     kind = type(processor)
     time_mode = (
         "processingTime" if kind in ON_PROCESSING_TIME
         else "eventTime" if kind in ON_EVENT_TIME else "none")
-    return rows.groupBy(key).transformWithState(
+    return rows.groupBy(*([key] if isinstance(key, str) else key)).transformWithState(
         statefulProcessor=processor, outputStructType=OUTPUTS[kind], outputMode=mode, timeMode=time_mode)

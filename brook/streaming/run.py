@@ -28,8 +28,8 @@ def event_feed(spark: SparkSession, path: str, files_per_trigger: int = 100,
     return zoned(raw)
 
 
-#: Rows of one feed file; a feed has FEED_FILES files at least, and up to MAX_BATCHES micro-batches beyond FEED_FILES / 2.
-FEED_ROWS, FEED_FILES, MAX_BATCHES = 1_000_000, 10, 50
+#: Rows of one feed file; a feed has FEED_FILES files at least. A micro-batch takes FILES_PER_BATCH files, so its size is bounded.
+FEED_ROWS, FEED_FILES, FILES_PER_BATCH = 1_000_000, 10, 2
 
 
 def ordered_feed(rows: DataFrame, order: Sequence[str], path: str) -> DataFrame:
@@ -38,23 +38,32 @@ def ordered_feed(rows: DataFrame, order: Sequence[str], path: str) -> DataFrame:
     The rows are range-partitioned into sorted files, and the files' times are set in that order, since a file stream
     takes files by time. A trigger takes whole files, so every micro-batch continues where the one before ended.
     """
-    n = ordered_files(rows, order, path)
-    return event_feed(rows.sparkSession, path, max(2, n // MAX_BATCHES), rows.schema)
+    ordered_files(rows, order, path)
+    return event_feed(rows.sparkSession, path, FILES_PER_BATCH, rows.schema)
 
 
-def ordered_files(rows: DataFrame, order: Sequence[str], path: str) -> int:
-    """Writes sorted files whose times rise in that order; returns how many were asked for."""
+def ordered_files(rows: DataFrame, order: Sequence[str], path: str) -> None:
+    """Writes sorted files whose times rise in that order.
+
+    Raises where the store does not keep the times that were set: a feed in another order would give wrong answers.
+    """
     spark = rows.sparkSession
     n = max(FEED_FILES, -(-rows.count() // FEED_ROWS))
     rows.repartitionByRange(n, *order).sortWithinPartitions(*order).write.parquet(path)
     hadoop = spark._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = sorted(f.getPath().getName() for f in files.listStatus(folder) if f.getPath().getName().startswith("part-"))
-    now = int(time.time())
-    for place, name in enumerate(names):  # names only: as many as there are files
+
+    def listed() -> dict[str, int]:
+        found = {f.getPath().getName(): f.getModificationTime() for f in files.listStatus(folder)}
+        return {name: found[name] for name in sorted(found) if name.startswith("part-")}
+
+    now, names = int(time.time()), list(listed())  # names only: as many as there are files
+    for place, name in enumerate(names):
         files.setTimes(hadoop.Path(folder, name), (now - len(names) + place) * 1000, -1)
-    return n
+    kept = list(listed().values())
+    if any(a >= b for a, b in zip(kept, kept[1:])):
+        raise RuntimeError(f"{path}: the store does not keep file times, so the order of the feed would be lost")
 
 
 def zoned(df: DataFrame) -> DataFrame:

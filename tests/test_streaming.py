@@ -22,7 +22,7 @@ from brook.sinks import custom, payloads
 from brook.sources import replay, text
 from brook.sources.views import sensors
 from brook.streaming import aggregates as A
-from brook.streaming import carry, late, run, state
+from brook.streaming import chunks, late, run, state
 from brook.streaming import processors as P
 from check import connect, difference
 
@@ -123,24 +123,23 @@ def test_keyed_values(spark, feed, tmp_path, readings):
     assert {r.event_id: r.value for r in got.collect()}[5] == 460
 
 
-@pytest.mark.parametrize("slice_rows", [3, 10**9])
-def test_carried_state(spark, feed, tmp_path, readings, slice_rows):
-    """Batch by batch with state rows, hot keys cut into slices or not."""
+@pytest.mark.parametrize("most", [2, 10_000])
+def test_chunked_last_values(spark, feed, tmp_path, readings, most):
+    """Batch by batch with keyed state; small Arrow batches cut the rows of a key into several chunks."""
     for i in range(0, 11, 4):
         feed.put(*READINGS[i:i + 4])
-    spark.conf.set(S.ROWS_PER_SLICE_CONF, str(slice_rows))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
     try:
-        root = f"{tmp_path}/carry"
-        rows = feed.stream(spark).select("event_id", "id", "vc", "arrival")
-        run.drain_batches(rows, carry.last_values(root), f"{root}/checkpoint", "append")
+        got = drained(spark, chunks.last_values(feed.stream(spark)), tmp_path, "last").select("event_id", "last")
     finally:
-        spark.conf.unset(S.ROWS_PER_SLICE_CONF)
-    got = spark.read.parquet(f"{root}/out").select("event_id", "last")
+        spark.conf.set(name, before)
     want = K.last_value(readings, "id", "vc").select("event_id", "last")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_carried_thresholds_and_sums(spark, feed, tmp_path):
+def test_chunked_thresholds_and_sums(spark, feed, tmp_path):
     feed.put(("a", 1, 30), ("r", 1, 15)).put(("a", 2, 50), ("a", 3, 52)).put(("r", 4, 0), ("a", 5, 99))
     nothing = F.lit(None).cast("int")
     is_rule = F.col("id") == "r"
@@ -148,27 +147,21 @@ def test_carried_thresholds_and_sums(spark, feed, tmp_path):
         "event_id", F.lit("a").alias("id"), F.when(~is_rule, F.col("vc")).otherwise(nothing).alias("vc"),
         F.when(is_rule, F.col("vc")).otherwise(nothing).alias("threshold_vc"), "arrival",
         F.when(is_rule, 0).otherwise(1).alias("rank"))
-    root = f"{tmp_path}/rules"
-    run.drain_batches(tagged, carry.threshold_alerts(root), f"{root}/checkpoint", "append")
-    got = spark.read.parquet(f"{root}/out").collect()
+    got = drained(spark, chunks.threshold_alerts(tagged), tmp_path, "rules").collect()
     assert [(r.event_id, r.vc, r.diff) for r in got] == [(2, 50, 20)]
-    root = f"{tmp_path}/sums"
     values = feed.stream(spark).select("event_id", "id", "arrival", F.col("vc").cast("bigint").alias("value"))
-    run.drain_batches(values, carry.running_sums(root), f"{root}/checkpoint", "append")
-    got = {r.event_id: r.running for r in spark.read.parquet(f"{root}/out").collect()}
+    got = {r.event_id: r.running for r in drained(spark, chunks.running_sums(values), tmp_path, "sums").collect()}
     assert got == {0: 30, 1: 15, 2: 80, 3: 132, 4: 15, 5: 231}
 
 
-def test_retried_batch_changes_nothing(spark, tmp_path):
-    root = f"{tmp_path}/retry"
-    write = carry.last_values(root)
-    first = sensor_frame(spark, [("a", 1, 5, 1)]).select("event_id", "id", "vc", "arrival")
-    second = sensor_frame(spark, [("a", 2, 7, 2)]).select("event_id", "id", "vc", "arrival")
-    write(first, 0)
-    write(second, 1)
-    write(second, 1)
-    got = spark.read.parquet(f"{root}/out").where("batch_id = 1").collect()
-    assert [(r.vc, r.last) for r in got] == [(7, 5)]
+def test_chunks_that_overlap_are_merged():
+    carry = chunks.Carry([chunks.Carried("vc")])
+
+    def chunk(*events):
+        return {"arrival": list(events), "rank": [0] * len(events), "event_id": list(events), "vc": [10 * e for e in events]}
+
+    assert carry.disjoint([chunk(5, 6), chunk(1, 2), chunk(3)]) == [chunk(1, 2), chunk(3), chunk(5, 6)]
+    assert carry.disjoint([chunk(2, 7), chunk(1, 4, 9), chunk(10)]) == [chunk(1, 2, 4, 7, 9), chunk(10)]
 
 
 def test_late_rows_as_second_output(spark, feed, tmp_path):
