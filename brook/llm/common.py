@@ -6,6 +6,8 @@ digits, a-z and non-ASCII characters. On UTF-8 bytes that is one translation tab
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -119,6 +121,24 @@ def unit(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact inner products of two sets of whole vectors, as longs; beyond a long they stop at its ends."""
+    most = float(np.abs(a.astype(np.float64)).max(initial=0)) * float(np.abs(b.astype(np.float64)).max(initial=0)) * a.shape[1]
+    if most < 2**53:  # then doubles hold them
+        return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
+    if most < 2**62:
+        return a @ b.T
+    return np.clip(a.astype(object) @ b.T.astype(object), -(2**63), 2**63 - 1).astype(np.int64)
+
+
+def give_back() -> None:
+    """Memory that Python, Arrow and the C library hold but no longer use goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def segment_starts(lengths: np.ndarray) -> np.ndarray:
     """Offsets of consecutive segments, with the end as the last value."""
     return np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brook.llm.common import kept, stored, table
+from brook.llm.common import kept, products, stored, table
 from brook.session import shared_dir
 
 POSITIVES, NEGATIVES, SCALE = 5, 10, 256
@@ -63,17 +63,6 @@ def _norms(v: np.ndarray) -> np.ndarray:
     return np.sqrt((v.astype(np.float64) ** 2).sum(axis=1))
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of two sets of whole vectors, as longs; beyond a long they stop at its ends."""
-    most = float(np.abs(a.astype(np.float64)).max(initial=0)) * float(np.abs(b.astype(np.float64)).max(initial=0)) * a.shape[1]
-    if most < 2**53:
-        return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-    if most < 2**62:
-        return a @ b.T
-    exact = a.astype(object) @ b.T.astype(object)
-    return np.clip(exact, _LOW, _HIGH).astype(np.int64)
-
-
 @dataclass
 class Part:
     """Candidates of one size."""

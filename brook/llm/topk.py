@@ -13,20 +13,19 @@ they are, and a block skips a part that none of its queries can need. A joined r
 is bounded; each gives at most k scores a query, and more queries make more waves.
 
 Defined cases: null vectors and vectors with a null, NaN or infinite component take no part, nor do null ids; vectors of
-another size than the query's score nothing with it; several rows of one id count separately as candidates, and a repeated
-query id is one query (its smallest vector); ties go to the smaller vec_id; fewer than k candidates give fewer rows.
+another size than the query's score nothing with it; several rows of one id count separately as candidates (k copies of equal rows are
+kept), and a repeated query id is one query (its smallest vector); components and scores beyond a long stop at its ends; ties
+go to the smaller vec_id; fewer than k candidates give fewer rows.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brook.llm.common import table
+from brook.llm.common import products, table
 from brook.session import shared_dir
 
 K, SCALE = 5, 256
@@ -44,7 +43,7 @@ def integral(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
             & F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
     ints = F.transform(values, lambda x: F.floor(x * scale).cast("long"))
     return (vectors.filter(good).select(F.col("vec_id").cast("long").alias("vec_id"), ints.alias("v"))
-            .withColumn("n2", F.aggregate("v", F.lit(0).cast("long"), lambda t, x: t + x * x)))
+            .withColumn("n2", F.aggregate("v", F.lit(0.0), lambda t, x: t + x.cast("double") * x.cast("double"))))
 
 
 def _packed(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -55,10 +54,10 @@ def _packed(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def parts(rows: DataFrame, n: int) -> DataFrame:
-    """Bucket parts: a band of norms (powers of the root of 2), cut by a hash of the id so that a part stays small."""
-    band = F.floor(F.log2(F.greatest("n2", F.lit(1)).cast("double"))).cast("int")
+    """Bucket parts: a band of norms (powers of the root of 2), cut by a hash of the row so that a part stays small."""
+    band = F.floor(F.log2(F.greatest("n2", F.lit(1.0)))).cast("int")
     cuts = F.lit(max(1, -(-n // (BUCKET // 2))))  # even if all vectors are of one band, a part has BUCKET / 2 on average
-    return _packed(rows.withColumn("band", band).withColumn("cut", F.pmod(F.xxhash64("vec_id"), cuts)),
+    return _packed(rows.withColumn("band", band).withColumn("cut", F.pmod(F.xxhash64("vec_id", "v", "copy"), cuts)),
                    ["dim", "band", "cut"])
 
 
@@ -78,8 +77,6 @@ def best(queries: np.ndarray, q_ids: np.ndarray, floor: np.ndarray, v: np.ndarra
     v, ids, norm = v[order], ids[order], norm[order]
     unit = v / np.maximum(norm, 1e-300)[:, None]
     q_norm = np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1))
-    exact = max(float(np.abs(v).max(initial=0)), 1.0) * max(float(np.abs(queries).max(initial=0)), 1.0) * v.shape[1]
-    as_float = v.astype(np.float64) if exact < 2**53 else None  # products of whole numbers stay exact below 2^53
     for i, q in enumerate(queries):
         picked = slice(None)
         if floor[i] > 0 and len(norm):
@@ -96,7 +93,7 @@ def best(queries: np.ndarray, q_ids: np.ndarray, floor: np.ndarray, v: np.ndarra
                 picked = np.flatnonzero(ok)
             else:
                 picked = slice(0, int(np.searchsorted(-norm, -floor[i] / q_norm[i] * (1 - 1e-9), side="right")))
-        score = (as_float[picked] @ q.astype(np.float64)).astype(np.int64) if as_float is not None else v[picked] @ q
+        score = products(v[picked], q[None, :])[:, 0]
         who = ids[picked]
         good = np.flatnonzero((score >= floor[i]) & (who != q_ids[i]))
         if len(good) > k:
@@ -119,7 +116,10 @@ def _ranked(scores: DataFrame, k: int) -> DataFrame:
 def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE) -> DataFrame:
     """query_id, rank, vec_id, score: the k best other rows of every query row."""
     root = shared_dir(spark, "top-k")
-    integral(vectors, scale).withColumn("dim", F.size("v")).write.parquet(f"{root}/rows")
+    # More than k copies of one row can't be in a result.
+    copies = integral(vectors, scale).groupBy("vec_id", "v", "n2").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("copies"))
+    copies.select("vec_id", "v", "n2", F.size("v").alias("dim"), F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).write.parquet(
+        f"{root}/rows")
     rows = spark.read.parquet(f"{root}/rows")
     n, n_queries, dim = rows.agg(F.count("*"), F.count_if(is_query), F.max("dim")).head()
     asked = rows.filter(is_query).groupBy("dim", "vec_id").agg(F.min(F.struct("v", "n2")).alias("m")).select(
@@ -141,7 +141,7 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = K,
                 floor = np.full(len(ids), _LOW)
                 for d, who, v in held.value:
                     if d == b["dim"]:
-                        score = v @ q.T
+                        score = products(v, q)
                         score[who[:, None] == ids[None, :]] = _LOW
                         if len(who) > k:
                             floor = np.partition(score, len(who) - k, axis=0)[len(who) - k]
@@ -167,7 +167,7 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = K,
         return filed.join(F.broadcast(blocks_of), "dim").filter(F.sqrt(F.col("top").cast("double")) >= F.col("least")).select(
             "dim", "ids", "flat", "q_ids", "q_flat", "floor")
 
-    def products(batches):
+    def scored(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 dim = batch.column("dim")[i].as_py()
@@ -176,7 +176,9 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = K,
                     for c in ("ids", "flat", "q_ids", "q_flat", "floor"))
                 yield _batch(best(_matrix(q_flat, dim), q_ids, floor, _matrix(flat, dim), ids, k))
 
-    scores = reduce(DataFrame.unionAll, (meeting(w).mapInArrow(products, _PAIRS) for w in range(waves)))
+    for w in range(waves):  # each wave is written before the next one is broadcast
+        meeting(w).mapInArrow(scored, _PAIRS).write.parquet(f"{root}/scores/{w}")
+    scores = spark.read.schema(_PAIRS).parquet(f"{root}/scores/*")
     return _ranked(scores, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 

@@ -147,3 +147,19 @@ def test_top_k_few_and_none(spark):
     assert sorted(map(tuple, topk.top_k(spark, df, F.col("vec_id") % 50 == 0).collect())) == [
         (0, 1, 50, 256 * 512), (50, 1, 0, 256 * 512)]
     assert topk.top_k(spark, df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_top_k_of_large_and_repeated_vectors(spark, monkeypatch):
+    """Squares beyond a long, and one id that holds a third of the rows."""
+    rows = [(0, [1e8, 1.0]), (1, [0.5, 2.0]), (2, [1.0, -3.0]), (3, [1e8, 0.0]), (50, [0.0, 0.25])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, topk.top_k(spark, df, F.col("vec_id").isin(50)).collect()))
+    assert got == [t for t in plain_top_k(rows, 5) if t[0] == 50] and len(got) == 4
+    monkeypatch.setattr(topk, "BUCKET", 32)
+    rng = np.random.default_rng(1)
+    many = [(7, [float(x) for x in rng.integers(-9, 9, 3)]) for _ in range(200)] + [(7, [2.0, 2.0, 2.0])] * 150
+    many += [(i, [float(x) for x in rng.integers(-9, 9, 3)]) for i in range(400)]
+    df = spark.createDataFrame(many, "vec_id long, embedding array<double>").repartition(4)
+    assert sorted(map(tuple, topk.top_k(spark, df, F.col("vec_id") % 50 == 0).collect())) == plain_top_k(many, 5)
+    rows = topk.integral(df).withColumn("dim", F.size("v")).withColumn("copy", F.monotonically_increasing_id())
+    assert max(len(r.ids) for r in topk.parts(rows, 750).collect()) < 120
