@@ -8,8 +8,10 @@ Documents are lower-cased and runs of ASCII characters other than letters are on
 so any script works. Automata are dense tables of transitions, walked with NumPy for many blocks of text at once. A long text
 is cut into blocks of `BLOCK` bytes, which costs each language at most one phrase a block.
 
-The automata are a classifier: they are fitted on at most `MAX_ROWS` labelled texts of each language, of at most
-`MAX_CHARS` characters, taken in hash order of the id; at most `ROWS_ALL` rows in all, dealt evenly over languages.
+The automata are a classifier: they are fitted on at most `MAX_ROWS` labelled texts of each language, taken in hash order of
+id and text, and of a long text on `MAX_CHARS` characters from its first letter on. All languages share `ROWS_ALL` texts of
+that length: beyond eight languages each gets fewer texts, beyond `ROWS_ALL` one shorter text, of `LEAST_CHARS` at
+least. No language that has a labelled text with letters is left out.
 
 Defined cases: null and letter-free texts are `und` with score 0; rows with a null language or without letters are
 not learned from; without any learned language every text is `und`; ties go to the language that sorts first.
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from brook.llm.common import carried, crc_mod, kept, map_batches, segment_starts, table
 
-MAX_ROWS, MAX_CHARS, ROWS_ALL = 24, 2_500, 200
+MAX_ROWS, MAX_CHARS, ROWS_ALL, LEAST_CHARS = 24, 2_500, 200, 200
 BLOCK = 1_024
 UNKNOWN = "und"
 #: ASCII letters and non-ASCII bytes stay, everything else becomes a blank.
@@ -44,12 +46,17 @@ def blanks(text: bytes) -> bytes:
 def sample(docs: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> list[tuple[str, list[bytes]]]:
     """The labelled texts of each language, in a fixed order."""
     rows = docs.select(F.col("lang").alias("lang"), F.col("doc_id").alias("id"), F.col("text").alias("text")).filter(
-        F.col("lang").isNotNull() & F.length("text").between(1, max_chars) & F.col("text").rlike(r"\p{L}"))
+        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    # Every language that occurs is learned: with more of them, each gets fewer and shorter texts, one at least.
+    n = max(1, rows.select("lang").distinct().count())
+    max_rows, max_chars = min(max_rows, max(1, ROWS_ALL // n)), min(max_chars, max(LEAST_CHARS, ROWS_ALL * max_chars // n))
+    # For fitting a long text gives the characters from its first letter on.
+    start = F.regexp_instr("text", F.lit(r"\p{L}"))
+    rows = rows.select("lang", "id", F.substring("text", start, F.lit(max_chars)).alias("text"))
     # Ranked before the texts are read again; the engine keeps max_rows per task and language before the exchange.
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id", "text"), "id"))
     kept = rows.withColumn("place", place).filter(F.col("place") <= max_rows)
-    got = (kept.orderBy("place", "lang").limit(ROWS_ALL)
-           .select("lang", "place", prepared().alias("text")).collect())  # bounded by the parameters
+    got = kept.select("lang", "place", prepared().alias("text")).collect()  # bounded by the parameters
     out: dict[str, list[bytes]] = {}
     for r in sorted(got, key=lambda r: (r.lang, r.place)):
         out.setdefault(r.lang, []).append(blanks(bytes(r.text)))
