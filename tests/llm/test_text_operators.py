@@ -181,6 +181,22 @@ def test_language_held_out_and_odd_rows(spark, sf_dir):
     assert {r["lang_pred"] for r in rows_of(language.identify(spark, frame(spark, ODD), []))} == {"und"}
 
 
+def test_every_labelled_language_is_learned(spark):
+    """Long texts give a part of themselves, and no language is left out, however many there are."""
+    german = [(i, " ".join(["der Mann geht heute mit seinem Hund durch den Wald"] * 80)) for i in range(20)]
+    english = [(100 + i, "the man walks his dog through the forest today") for i in range(20)]
+    rows = spark.createDataFrame([(i, t, "de" if i < 100 else "en") for i, t in german + english], "doc_id long, text string, lang string")
+    texts = language.sample(rows)
+    assert [name for name, _ in texts] == ["de", "en"] and max(len(t) for _, ts in texts for t in ts) <= language.MAX_CHARS + 2
+    found = language.identify(spark, frame(spark, [(1, "mit dem Hund durch den Wald"), (2, "his dog walks")]), texts)
+    assert {r["doc_id"]: r["lang_pred"] for r in rows_of(found)} == {1: "de", 2: "en"}
+    many = spark.createDataFrame([(i, f"{i} " + chr(0x4E00 + i % 300) * 400, f"l{i % 300}") for i in range(900)],
+                                 "doc_id long, text string, lang string")
+    texts = language.sample(many)
+    assert len(texts) == 300 and all(len(ts) == 1 for _, ts in texts)
+    assert sum(len(t) for _, ts in texts for t in ts) <= 4 * language.ROWS_ALL * language.MAX_CHARS
+
+
 # -- toxicity ---------------------------------------------------------------------------------------------------------
 
 def test_toxicity_learns_and_keeps_odd_rows(spark):
@@ -209,6 +225,31 @@ def test_toxicity_learns_and_keeps_odd_rows(spark):
     assert toxicity.keep_ordinary(spark, new, untrained).count() == new.count()
 
 
+@pytest.mark.parametrize("marks", [
+    [(1, 1), (2, 0), (3, 1), (4, 0)], [(9_000 + i, i % 2) for i in range(50)], [(i, 1) for i in range(30)], [(None, 1), (5, None)]])
+def test_few_labels_give_no_nan(spark, marks):
+    docs = frame(spark, [(i, f"word{i} is a text") for i in range(40)] + ODD)
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int").selectExpr("doc_id", "1 as quality", "toxic")
+    scores = [r["_brook_score"] for r in toxicity.scored(spark, docs, toxicity.fit(docs, labels), ["doc_id"]).collect()]
+    assert len(scores) == 40 + len(ODD) and all(0 <= s <= 1 for s in scores)
+
+
+def test_a_repeated_id_is_sampled_once(spark):
+    rows = [(i % 3, f"text {i} of one id") for i in range(90)] + [(100 + i, f"another {i}") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in [*range(3), *range(100, 160)]], "doc_id long, toxic int")
+    found = toxicity.sample(frame(spark, rows), labels).groupBy("id").count().collect()
+    assert found and {r["count"] for r in found} == {1}
+    assert toxicity.sample(frame(spark, rows), labels, max_rows=4).groupBy("toxic").count().filter("count > 4").count() == 0
+
+
+def test_only_common_words_have_a_place(spark):
+    counts = spark.createDataFrame([(f"w{i}", max(0, 5 - i), i) for i in range(20)], "w string, a long, b long")
+    kept = {r.w for r in toxicity.commonest(counts, 3).collect()}
+    assert kept == {"w0", "w1", "w2", "w17", "w18", "w19"}
+    m = toxicity.Model([b"ab", b"ac"], np.array([3.0, 0]), np.array([1.0, 4]), (10.0, 10.0))
+    assert np.allclose(m.word_share.sum(axis=1) + m.word_back[:, 0], 1, atol=1e-6) and m.word_back[0, 0] > 0.7
+
+
 def test_probabilities_of_a_context_sum_to_one():
     ws = [b"ab", b"abc", b"ba", b"cab"]
     m = toxicity.Model(ws, np.array([3.0, 1, 0, 2]), np.array([1.0, 0, 4, 1]))
