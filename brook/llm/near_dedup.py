@@ -10,7 +10,7 @@ shingles. Links of `SIMILARITY` or more are closed into classes by star contract
 similarity 0.8 is missed with probability 3e-6.
 
 A bucket never becomes all its pairs. Texts are compared with pivots of their bucket: one at first (the text that shares
-most buckets, which in a group of near copies is the least edited one), then 8, 64 and so on, and only where
+most buckets, which in a group of near copies is the least edited one), then 8, 512 and so on, and only where
 members still belong to different classes, against pivots of other classes. A bucket whose members are one class is done;
 any other goes on until every member has been a pivot, so no link is lost to a cap.
 
@@ -47,6 +47,8 @@ BANDS, ROWS = 24, 4
 M = BANDS * ROWS
 #: Equal components of 96 that a pair of similarity 0.8 almost surely has (its mean is 77, its deviation 3.9).
 AGREE = 58
+#: Pivots of a bucket in the second round, and how many times more each round after it takes: few rounds label members anew.
+PIVOTS, GROWTH = 8, 64
 KEPT_WORDS = 300_000
 #: Bytes of text that a worker holds at once; its arrays take about thirty times that.
 SLICE = 4 << 20
@@ -301,7 +303,7 @@ def classes(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY
     going = going.join(space, "bucket").filter("size > 1 and (not all_flat or reach >= least)").drop("least", "all_flat")
     place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("pull"), "t"))
     going = keep(going)
-    upto = 8
+    upto = PIVOTS
     while True:
         going = keep(mixed(going))
         if going.isEmpty():
@@ -319,7 +321,7 @@ def classes(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY
             labels = components(stars.unionByName(more), keep)
         # Pivots have met every other class of their bucket, so they leave it.
         going = keep(going.withColumn("place", place).filter(F.col("place") > upto).drop("place", "label"))
-        upto *= 8
+        upto *= GROWTH
     return labels.select(F.col("node").alias("t"), "label")
 
 
