@@ -79,15 +79,7 @@ def threshold_alerts(tagged: DataFrame) -> DataFrame:
         "event_id", "id", "vc", diff.alias("diff"))
 
 
-def static_threshold_alert(jumps: DataFrame, rules: DataFrame, max_rules: int = 1_000_000) -> DataFrame:
-    """Jumps (id, vc, diff) over a fixed rule table (id, threshold_vc).
-
-    The rule table is broadcast only after its size has been checked; a larger
-    one is joined by key.
-    """
-    few = rules.limit(max_rules + 1).count() <= max_rules
-    right = F.broadcast(rules) if few else rules
-    return jumps.join(right, "id").where(
+def static_threshold_alert(jumps: DataFrame, rules: DataFrame) -> DataFrame:
+    """Jumps (id, vc, diff) over a fixed rule table (id, threshold_vc); the engine broadcasts the table if it is small."""
+    return jumps.join(rules, "id").where(
         (F.col("threshold_vc") != 0) & (F.col("diff") > F.col("threshold_vc"))).select("id", "vc", "diff")
-
-

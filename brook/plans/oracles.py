@@ -144,7 +144,49 @@ judged AS (
          WHEN wm < """ + bucket(5) + """ + INTERVAL '7 hours' - INTERVAL '1 millisecond' THEN 'refire' ELSE 'late' END AS row_class
   FROM batched b JOIN marks USING (batch))"""
 
+# The single timers of those streams: one tick per key and batch, whose clock is the batch's watermark in milliseconds.
+TIMERS = BATCHES + """,
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY arrival, event_id) AS pos,
+    lag(vc) OVER (PARTITION BY id ORDER BY arrival, event_id) AS prev FROM batched),
+first_rows AS (
+  SELECT id, batch, min_by(ts, pos) AS base, max_by(ts, pos) FILTER (WHERE vc <= prev) AS reset FROM placed GROUP BY id, batch),
+clocks AS (SELECT batch, coalesce(epoch_ms(wm), 0) AS clock FROM marks),
+final AS (SELECT epoch_ms(max(ts) - INTERVAL '2 hours') AS clock FROM sensors)"""
+
+
+def stream_timer(sets: str, breaks: str) -> str:
+    """Firings of the one-timer machine over the batches."""
+    return f"""WITH RECURSIVE {TIMERS},
+ticks AS (SELECT id, batch, epoch_ms({sets} + INTERVAL '5 hours') AS sets, {breaks} AS breaks FROM first_rows),
+run(batch, id, time, due, fired) AS (
+  SELECT CAST(-1 AS BIGINT), id, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM (SELECT DISTINCT id FROM batched)
+  UNION ALL
+  SELECT c.batch, r.id,
+    CASE WHEN r.due IS NULL OR r.due <= c.clock OR t.breaks THEN t.sets ELSE r.time END,
+    CASE WHEN r.due IS NULL OR r.due <= c.clock OR t.breaks THEN CASE WHEN t.sets >= c.clock + 1 THEN t.sets
+      WHEN t.sets < c.clock + 1 THEN c.clock + 1 END ELSE r.due END,
+    CASE WHEN r.due <= c.clock THEN r.time END
+  FROM run r JOIN clocks c ON c.batch = r.batch + 1 LEFT JOIN ticks t ON t.id = r.id AND t.batch = c.batch)
+SELECT id, make_timestamp(fired * 1000) AS fire_time FROM run WHERE fired IS NOT NULL
+UNION ALL
+SELECT id, make_timestamp(time * 1000) FROM run, final WHERE batch = 4 AND due <= final.clock"""
+
+
 ORACLES = {
+    "stream_timer_one_per_key": stream_timer("base", "false"),
+    "stream_rising_alert": stream_timer("coalesce(reset, base)", "reset IS NOT NULL"),
+    "stream_jump_self_cleaning": f"""WITH {TIMERS},
+before AS (
+  SELECT p.event_id, p.id, p.vc, p.batch, lag(p.vc) OVER o AS vc0, lag(p.batch) OVER o AS batch0, lag(p.ts) OVER o AS ts0
+  FROM placed p WINDOW o AS (PARTITION BY p.id ORDER BY p.arrival, p.event_id)),
+lasts AS (
+  SELECT b.event_id, b.id, b.vc, CASE
+    WHEN vc0 IS NULL THEN 0
+    WHEN b.batch0 <> b.batch AND c.clock >= epoch_ms(ts0 + INTERVAL '60 hours') AND c.clock >= c0.clock + 1 THEN 0
+    ELSE vc0 END AS last
+  FROM before b JOIN clocks c ON c.batch = b.batch LEFT JOIN clocks c0 ON c0.batch = b.batch0)
+SELECT event_id, id, vc, abs(vc - last) AS diff FROM lasts WHERE abs(vc - last) > 10""",
     "rolling_reduce_general": f"""WITH {SENSORS}
 SELECT event_id, id, string_agg(CAST(vc AS VARCHAR), ',') OVER (
   PARTITION BY id ORDER BY arrival, event_id ROWS UNBOUNDED PRECEDING) AS running FROM sensors""",

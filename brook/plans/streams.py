@@ -220,6 +220,35 @@ def stream_timer_per_event(spark, sf_dir):
     return fired.select("id", from_micros(F.col("fire_ms") * 1000).alias("fire_time"))
 
 
+def _event_timers(spark, sf_dir, name: str, processor: type, *options) -> DataFrame:
+    """A processor on event-time timers over five micro-batches, each judged by the watermark of those before it."""
+    _stateful(spark)
+
+    def drain(feed, root):
+        rows = feed.withWatermark("ts", "2 hours")
+        # Times without the watermark's mark: else the engine would drop late rows before they reach the processor.
+        rows = rows.withColumn("ts", F.col("ts") + F.expr("INTERVAL 0 SECOND"))
+        run.drain(S.process(rows, "id", processor(*options)), f"{root}/out", f"{root}/checkpoint")
+
+    return spark.read.parquet(f"{_in_parts(spark, sf_dir, name, 5, drain)}/out")
+
+
+def _fire_times(rows: DataFrame) -> DataFrame:
+    return rows.select("id", from_micros(F.col("fire_ms") * 1000).alias("fire_time"))
+
+
+def stream_timer_one_per_key(spark, sf_dir):
+    return _fire_times(_event_timers(spark, sf_dir, "one-timer", S.OneTimer, 5 * 3_600_000))
+
+
+def stream_rising_alert(spark, sf_dir):
+    return _fire_times(_event_timers(spark, sf_dir, "rising", S.RisingEvent, 5 * 3_600_000))
+
+
+def stream_jump_self_cleaning(spark, sf_dir):
+    return _event_timers(spark, sf_dir, "self-cleaning", S.SelfCleaningJump, 10, 60 * 3_600_000)
+
+
 def _shards(rows: DataFrame) -> DataFrame:
     return rows.withColumn("shard", F.pmod("event_id", F.lit(16)).cast("int"))
 
@@ -295,7 +324,8 @@ STREAMS = {
         stream_tumbling_count, stream_sliding_count, stream_session_count, stream_uv,
         stateful_count, state_lookup, stream_dynamic_threshold, stateful_threshold,
         stream_jump_alert, stream_last_value, stream_rolling_sum,
-        stream_late_refire, stream_late_side_output, state_lookup_list,
+        stream_late_refire, stream_late_side_output, state_lookup_list, stream_timer_one_per_key, stream_rising_alert,
+        stream_jump_self_cleaning,
         stream_timer_per_event, buffer_restart, stream_kv_upsert, metric_gauge, metric_watermark, sink_custom,
     )
 }

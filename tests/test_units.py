@@ -83,13 +83,15 @@ def test_payloads(spark):
     assert dict(map(tuple, payloads.kv_latest(rows).collect())) == {"1": "2", "2": "1"}
 
 
-@pytest.mark.parametrize("max_rules", [0, 100])
-def test_static_rules(spark, max_rules):
-    """The same with the rule table broadcast or, when it is larger than allowed, joined by key."""
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_static_rules(spark, threshold):
+    """The same with the rule table broadcast or, when the engine finds it too large, joined by key."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     jumps = spark.createDataFrame([("a", 5, 12), ("a", 6, 3), ("b", 7, 99)], "id string, vc int, diff int")
     rules = spark.createDataFrame([("a", 10), ("b", 0)], "id string, threshold_vc int")
-    got = C.static_threshold_alert(jumps, rules, max_rules)
-    assert [tuple(r) for r in got.collect()] == [("a", 5, 12)]
+    got = C.static_threshold_alert(jumps, rules).collect()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [tuple(r) for r in got] == [("a", 5, 12)]
 
 
 def test_gate_rules(spark):
