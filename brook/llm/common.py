@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import threading
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -85,6 +86,25 @@ def kept(make: Callable[[], object], *sources: object) -> object:
     return _kept[1]
 
 
+IDLE_SECONDS = 3
+_turn = [0]
+
+
+def _rest() -> None:
+    """A worker process that gets no new task for a while lets go of what it keeps: the next stage needs the memory."""
+    _turn[0] += 1
+    mine = _turn[0]
+
+    def drop() -> None:
+        if _turn[0] == mine:
+            _kept[:] = [(), None]
+            give_back()
+
+    timer = threading.Timer(IDLE_SECONDS, drop)
+    timer.daemon = True
+    timer.start()
+
+
 def carried(df: DataFrame, columns: list[str], more: str) -> StructType:
     """A schema of columns that pass through Python and of new ones."""
     fresh = StructType.fromDDL(more)
@@ -96,10 +116,14 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
     """mapInArrow over slices that are bounded in bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, column, most_bytes):
-            out = work(part)
-            if out is not None:
-                yield out
+        _turn[0] += 1
+        try:
+            for part in slices(batches, column, most_bytes):
+                out = work(part)
+                if out is not None:
+                    yield out
+        finally:
+            _rest()
 
     return df.mapInArrow(run, schema)
 

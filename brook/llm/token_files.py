@@ -67,10 +67,11 @@ def pack(ids: np.ndarray, doc_ids: Sequence[int | None], lengths: Sequence[int],
     out.append(_section(np.array(lengths, dtype="<u8").tobytes()))
     current = ids.astype(np.uint16) if levels <= 16 else ids
     for level in range(levels):
-        ones = (current >> np.array(levels - 1 - level, dtype=current.dtype)) & np.array(1, dtype=current.dtype) != 0
-        starts = np.arange(0, n, BLOCK_BITS)
-        counts = np.add.reduceat(ones, starts, dtype=np.int64) if n else np.zeros(0, dtype=np.int64)
-        plane = np.packbits(ones, bitorder="little").tobytes()
+        ones = current & np.array(1 << (levels - 1 - level), dtype=current.dtype) != 0
+        packed = np.packbits(ones, bitorder="little")
+        starts = np.arange(0, len(packed), BLOCK_BITS // 8)
+        counts = np.add.reduceat(np.bitwise_count(packed), starts, dtype=np.int64) if n else np.zeros(0, dtype=np.int64)
+        plane = packed.tobytes()
         blocks = []
         for i in range(len(starts)):
             raw = plane[i * BLOCK_BITS // 8:(i + 1) * BLOCK_BITS // 8]
