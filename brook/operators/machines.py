@@ -1,7 +1,7 @@
 """Step functions of the single-timer state machines.
 
-They are small helpers shared by the bounded form (a fold over ordered rows)
-and the streaming form (a stateful processor). Times are whole numbers of one
+The timers are shared by the bounded form (``timers``) and the streaming form (a
+stateful processor), which also uses the steps. Times are whole numbers of one
 unit. A step takes the pending timer, or None, and one input; it returns the new
 pending timer. Whether a timer has fired is decided before the step.
 

@@ -420,12 +420,15 @@ def ttl_count(spark, sf_dir):
 
 # -- metrics -------------------------------------------------------------------
 
+COUNTER = "MapCounter"  # fixed value: the counter's name
+
+
 def metric_counter(spark, sf_dir):
-    return M.counter(R.tokenize(V.lines(spark, sf_dir)), "MapCounter")
+    return M.counter(R.tokenize(V.lines(spark, sf_dir)), COUNTER)
 
 
 def metric_counter_weighted(spark, sf_dir):
-    return M.counter(R.tokenize(V.lines(spark, sf_dir)), "MapCounter", step=2)
+    return M.counter(R.tokenize(V.lines(spark, sf_dir)), COUNTER, step=2)
 
 
 def histogram_last_n(spark, sf_dir):
