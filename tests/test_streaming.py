@@ -394,22 +394,6 @@ def test_registered_streams_for_any_layout(spark, tmp_path, layout):
     assert spark.read.parquet(f"{tmp_path}/out").count() == events.count()
 
 
-def test_state_costs_what_a_batch_touches(spark, tmp_path):
-    """Tables of changes: no untouched key is written again by a batch that merges nothing, and old tables go."""
-    write = carry.last_values(f"{tmp_path}/c")
-    columns = ["event_id", "id", "vc", "arrival"]
-    many = sensor_frame(spark, [(f"k{i}", i, i) for i in range(500)]).select(*columns)
-    for batch_id in range(7):
-        rows = many if batch_id == 0 else sensor_frame(spark, [("k1", 1000 + batch_id, batch_id)]).select(*columns)
-        write(rows, batch_id)
-    state = {p.name: spark.read.parquet(str(p)).count() for p in (tmp_path / "c" / "state").iterdir()}
-    assert state["6-6"] == state["4-5"] == 1 and state["0-3"] == 500
-    assert set(state) <= {"0-3", "4-5", "4-4", "5-5", "6-6"}
-    got = spark.read.parquet(f"{tmp_path}/c/out").where("batch_id = 6").collect()
-    assert [(r.vc, r.last) for r in got] == [(6, 5)]
-    assert carry.spans(13) == [(0, 7), (8, 11), (12, 12)] and carry.merges(7) == [(6, 7), (4, 7), (0, 7)]
-
-
 def test_running_counts_reach_a_key_value_store(spark, feed, tmp_path):
     feed.each([("a", 1, 0), ("b", 2, 0), ("a", 3, 0), ("a", 4, 0)])
     counts = payloads.kv_running(A.running_count(feed.stream(spark), "id"), "id")
