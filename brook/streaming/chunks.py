@@ -1,11 +1,10 @@
 """Per-record results on a stream, with keyed state in the engine's own store.
 
-A stateful processor takes a key's rows of a micro-batch in one task. To spare it one object a record and a sorted list for
-a hot key, rows are packed before the exchange: the rows of a key in one Arrow batch become one row, a chunk, in
-order, with what they come to on their own (running sums, last known values) computed there for all at once. The
-processor puts the few chunks of a key in order, hands each what was known before it, and keeps what is known after; rows are
-unpacked and finished in the JVM. An ordered feed gives chunks that don't overlap; where they do, their rows are merged
-into one chunk first, so any feed gives the same answers.
+A stateful processor is called once per key and micro-batch, and every call asks the engine's store several times. With many
+keys of a few rows each, those calls are the whole job. So keys are dealt by hash into buckets, and a bucket is the key of the
+processor: its state is the table of what its keys came to, read and written at once, and the rows of a micro-batch are
+worked on as columns. A call's rows are bounded, since a micro-batch is. A bucket's rows come as chunks in any order; chunks
+that overlap are merged, so any feed gives the same answers.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -32,101 +31,120 @@ class Carried:
     kind: str = "latest"
 
 
-def _local(columns: dict[str, list], carried: Sequence[Carried]) -> tuple[dict[str, list], dict[str, object]]:
-    """Per row what its chunk knows after it (null: nothing yet), and what the whole chunk comes to."""
-    after, ends = {}, {}
-    for c in carried:
-        values = pd.Series(columns[c.name], dtype="float64" if c.kind == "latest" else "int64")
-        if c.kind == "total":
-            run = np.cumsum(values.to_numpy())
-            after[c.name], ends[c.name] = run.tolist(), int(run[-1])
-        else:
-            run = values.ffill()
-            after[c.name] = [None if pd.isna(x) else int(x) for x in run.tolist()]
-            ends[c.name] = after[c.name][-1]
-    return after, ends
-
-
-def pack(rows: DataFrame, carried: Sequence[Carried]) -> DataFrame:
-    """Rows (id, arrival, rank, event_id and the carried columns, whole numbers) as chunks of a key and Arrow batch."""
-    names = [c.name for c in carried]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pdf = pdf.sort_values(list(PLACE), kind="stable")
-            out = []
-            for key, some in pdf.groupby("id", dropna=False, sort=False):
-                columns = {c: [None if pd.isna(x) else int(x) for x in some[c].tolist()] for c in (*PLACE, *names)}
-                out.append((None if pd.isna(key) else key, *[columns[c] for c in (*PLACE, *names)]))
-            yield pd.DataFrame(out, columns=["id", *PLACE, *names])
-
-    some = rows.select("id", F.unix_micros(F.col("arrival").cast("timestamp")).alias("arrival"),
-                       F.col("rank").cast("bigint").alias("rank"), F.col("event_id").cast("bigint").alias("event_id"),
-                       *[F.col(n).cast("bigint").alias(n) for n in names])
-    return some.mapInPandas(run, "id string, " + ", ".join(f"{c} array<bigint>" for c in (*PLACE, *names)))
+#: Buckets of keys; fixed for the life of a checkpoint. A micro-batch of two million rows gives each some thousands.
+BUCKETS = 256
+
+#: Whole numbers that stand for null on the way through Python, so that columns stay whole: places come last, values are unknown.
+LAST, NOTHING = 2**63 - 1, -(2**63)
+
+
+def bucketed(rows: DataFrame, carried: Sequence[Carried], buckets: int = BUCKETS) -> DataFrame:
+    """Rows (id, arrival, rank, event_id and the carried columns, whole numbers) with their bucket."""
+    places = {"arrival": F.unix_micros(F.col("arrival").cast("timestamp")), "rank": F.col("rank"), "event_id": F.col("event_id")}
+    return rows.select(
+        F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int").alias("bucket"), "id",
+        *[F.coalesce(places[c].cast("bigint"), F.lit(LAST)).alias(c) for c in PLACE],
+        *[F.coalesce(F.col(c.name).cast("bigint"), F.lit(0 if c.kind == "total" else NOTHING)).alias(c.name) for c in carried])
+
+
+def _along(codes: np.ndarray, values: np.ndarray, known: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """What is known before and after every row; rows of a key (its code) stand together, ``known`` is by code."""
+    n = len(codes)
+    starts = np.ones(n, dtype=bool)
+    starts[1:] = codes[1:] != codes[:-1]
+    first = np.maximum.accumulate(np.where(starts, np.arange(n), 0))
+    if kind == "total":
+        run = np.cumsum(values)
+        now = known[codes] + run - (run - values)[first]
+    else:
+        place = np.maximum.accumulate(np.where(values != NOTHING, np.arange(n), -1))
+        now = np.where(place >= first, values[place], known[codes])
+    before = np.where(starts, known[codes], np.concatenate(([0], now[:-1])))
+    return before, now
 
 
 class Carry(StatefulProcessor):
-    """Hands every chunk what its key came to before it."""
+    """Hands every row what its key came to before it, a bucket of keys at a time."""
 
     def __init__(self, carried: Sequence[Carried]):
-        self.carried, self.columns = carried, (*PLACE, *[c.name for c in carried])
+        self.carried = carried
 
     def init(self, handle):
-        self.state = handle.getValueState("known", ", ".join(f"{c.name} bigint" for c in self.carried))
+        self.state = handle.getValueState("known", ", ".join(["id array<string>", *[f"{c.name} array<bigint>" for c in self.carried]]))
 
     def handleInputRows(self, key, rows, timerValues):
         held = self.state.get()
-        known = dict(zip([c.name for c in self.carried], held)) if held else {
-            c.name: 0 if c.kind == "total" else None for c in self.carried}
-        for chunk in self.disjoint([{c: list(r[c]) for c in self.columns} for r in rows]):
-            after, ends = _local(chunk, self.carried)
-            yield Row(id=key[0], **chunk, **{f"{c.name}_after": after[c.name] for c in self.carried},
-                      **{f"{c.name}_known": known[c.name] for c in self.carried})
+        ids = list(held[0]) if held else []
+        known = {c.name: list(v) for c, v in zip(self.carried, held[1:])} if held else {c.name: [] for c in self.carried}
+        code = {k: i for i, k in enumerate(ids)}
+        frames = list(rows)
+        every = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
+        at = np.concatenate(([0], np.cumsum([len(f) for f in frames])))
+        parts = []
+        for low, high in zip(at, at[1:]):
+            part = every.iloc[low:high].sort_values(list(PLACE), kind="stable")
+            parts.append({**{c: part[c].tolist() for c in PLACE}, "row": part.index.tolist()})
+        for chunk in self.disjoint(parts):
+            some = every.iloc[chunk["row"]]
+            names = np.where(some["id"].isna(), None, some["id"].to_numpy(dtype=object))
+            for k in pd.unique(names).tolist():
+                if k not in code:
+                    code[k] = len(ids)
+                    ids.append(k)
+                    for c in self.carried:
+                        known[c.name].append(0 if c.kind == "total" else NOTHING)
+            codes = np.fromiter(map(code.__getitem__, names), dtype=np.int64, count=len(names))
+            order = np.argsort(codes, kind="stable")
+            codes, some = codes[order], some.iloc[order]
+            out = {"id": names[order], **{c: some[c].to_numpy() for c in PLACE}}
+            ends = np.flatnonzero(np.append(codes[1:] != codes[:-1], True))
             for c in self.carried:
-                if c.kind == "total":
-                    known[c.name] += ends[c.name]
-                elif ends[c.name] is not None:
-                    known[c.name] = ends[c.name]
-        self.state.update(tuple(known[c.name] for c in self.carried))
+                values, so_far = some[c.name].to_numpy(), np.array(known[c.name], dtype=np.int64)
+                out[c.name] = values
+                out[f"{c.name}_before"], out[f"{c.name}_now"] = _along(codes, values, so_far, c.kind)
+                so_far[codes[ends]] = out[f"{c.name}_now"][ends]
+                known[c.name] = so_far.tolist()
+            yield pd.DataFrame(out)
+        self.state.update((ids, *[known[c.name] for c in self.carried]))
 
     def disjoint(self, chunks: list[dict]) -> list[dict]:
         """The chunks in order; those that overlap are merged row by row."""
         chunks.sort(key=lambda c: tuple(c[p][0] for p in PLACE))
-        out: list[dict] = []
+        runs: list[list[dict]] = []
+        top = None
         for chunk in chunks:
-            if out and tuple(chunk[p][0] for p in PLACE) < tuple(out[-1][p][-1] for p in PLACE):
-                both = {c: out[-1][c] + chunk[c] for c in self.columns}
-                order = sorted(range(len(both["event_id"])), key=lambda i: tuple(both[p][i] for p in PLACE))
-                out[-1] = {c: [both[c][i] for i in order] for c in self.columns}
+            if top is not None and tuple(chunk[p][0] for p in PLACE) < top:
+                runs[-1].append(chunk)
             else:
-                out.append(chunk)
+                runs.append([chunk])
+            top = max(top or (), tuple(chunk[p][-1] for p in PLACE))
+        out: list[dict] = []
+        for run in runs:
+            if len(run) > 1:
+                both = {c: [x for chunk in run for x in chunk[c]] for c in run[0]}
+                order = np.lexsort([np.array(both[p], dtype=np.int64) for p in reversed(PLACE)]).tolist()
+                run = [{c: [both[c][i] for i in order] for c in both}]
+            out += run
         return out
 
     def close(self):
         pass
 
 
-def running(rows: DataFrame, carried: Sequence[Carried]) -> DataFrame:
+def running(rows: DataFrame, carried: Sequence[Carried], buckets: int = BUCKETS) -> DataFrame:
     """Rows with ``<name>_now``, what is known after each, and ``<name>_before``, what was known before it."""
-    names = [c.name for c in carried]
-    schema = ", ".join(["id string", *[f"{c} array<bigint>" for c in (*PLACE, *names)],
-                        *[f"{n}_after array<bigint>" for n in names], *[f"{n}_known bigint" for n in names]])
-    chunks = pack(rows, carried).groupBy("id").transformWithState(
+    schema = ", ".join(["id string", *[f"{c} bigint" for c in PLACE],
+                        *[f"{c.name}{x} bigint" for c in carried for x in ("", "_before", "_now")]])
+    out = bucketed(rows, carried, buckets).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=Carry(carried), outputStructType=schema, outputMode="append", timeMode="none")
-    at = chunks.select("*", F.posexplode("event_id").alias("_i", "_event"))
-
-    def now(c: Carried, place: Column) -> Column:
-        here, known = F.get(f"{c.name}_after", place), F.col(f"{c.name}_known")
-        return F.coalesce(here, F.lit(0)) + known if c.kind == "total" else F.coalesce(here, known)
-
-    return at.select(
-        F.col("_event").alias("event_id"), "id", F.get("rank", F.col("_i")).alias("rank"),
-        from_micros(F.get("arrival", F.col("_i"))).alias("arrival"),
-        *[F.get(n, F.col("_i")).alias(n) for n in names],
-        *[now(c, F.col("_i")).alias(f"{c.name}_now") for c in carried],
-        *[F.when(F.col("_i") == 0, F.col(f"{c.name}_known")).otherwise(now(c, F.col("_i") - 1)).alias(f"{c.name}_before")
-          for c in carried])
+
+    def known(c: Carried, name: str) -> Column:
+        return F.col(name) if c.kind == "total" else F.nullif(F.col(name), F.lit(NOTHING)).alias(name)
+
+    placed = {c: F.nullif(F.col(c), F.lit(LAST)) for c in PLACE}
+    return out.select(
+        placed["event_id"].alias("event_id"), "id", placed["rank"].alias("rank"), from_micros(placed["arrival"]).alias("arrival"),
+        *[known(c, f"{c.name}{x}") for c in carried for x in ("", "_now", "_before")])
 
 
 def last_values(rows: DataFrame) -> DataFrame:
