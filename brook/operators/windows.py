@@ -170,17 +170,19 @@ def session_aggregate(
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            # One walk over the batch: a frame per key would cost far more than its few rows.
+            places, names = pd.factorize(pdf[key], use_na_sentinel=False)
+            kept: list[list[list]] = [[] for _ in range(len(names))]  # per key its disjoint sessions: first and last instant, accumulator
+            for place, row in zip(places.tolist(), pdf.itertuples(index=False, name="Record")):
+                held, at = kept[place], row[-1]
+                near = [h for h in held[-8:] if h[0] - wait <= at <= h[1] + wait]
+                if near:
+                    near[0][0], near[0][1] = min(near[0][0], at), max(near[0][1], at)
+                    near[0][2] = add(near[0][2], row)
+                else:
+                    held.append([at, at, add(zero(), row)])
             done = []
-            for k, some in pdf.groupby(key, dropna=False, sort=False):
-                held: list[list] = []  # disjoint sessions of the key: first and last instant, accumulator
-                for row in some.itertuples(index=False, name="Record"):
-                    at = row[-1]
-                    near = [h for h in held[-8:] if h[0] - wait <= at <= h[1] + wait]
-                    if near:
-                        near[0][0], near[0][1] = min(near[0][0], at), max(near[0][1], at)
-                        near[0][2] = add(near[0][2], row)
-                    else:
-                        held.append([at, at, add(zero(), row)])
+            for k, held in zip(names.tolist(), kept):
                 held.sort(key=lambda h: h[0])
                 grown = held[:1]
                 for low, high, acc in held[1:]:

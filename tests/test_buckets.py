@@ -39,3 +39,22 @@ def test_running_values_by_buckets(spark, stream, tmp_path):
     got = spark.read.schema(out.schema).parquet(f"{tmp_path}/out").select("event_id", "id", "vc", "last").collect()
     assert sorted(map(tuple, got)) == want
     assert state.read_state(spark, f"{tmp_path}/checkpoint", "known").count() <= chunks.BUCKETS  # a row per key before
+
+
+def test_sessions_make_no_frame_per_key(spark, tmp_path, monkeypatch):
+    """The first step walks a batch once; it grouped the batch into a frame per key before."""
+    rows = [(f"k{i % 300}", at(i // 300 * 3), i % 9) for i in range(1500)]
+    steps = []
+    frame = spark.createDataFrame(rows, "id string, ts timestamp_ntz, vc int")
+    kind = type(frame)
+    plain = kind.mapInPandas
+    monkeypatch.setattr(kind, "mapInPandas", lambda self, f, *a, **k: steps.append(f) or plain(self, f, *a, **k))
+    got = W.session_aggregate(frame, "id", "ts", "5 seconds", **LEVELS).collect()
+    assert len(got) == 300 and {r.n for r in got} == {5} and {r.session_end - r.session_start for r in got} == {timedelta(seconds=17)}
+    grouped = []
+    old = pd.DataFrame.groupby
+    monkeypatch.setattr(pd.DataFrame, "groupby", lambda self, *a, **k: grouped.append(a) or old(self, *a, **k))
+    batch = pd.DataFrame({"id": ["a", "b", None, "a"], "ts": 0, "vc": [1, 2, 3, 4], "_at": [0, 0, 0, 9_000_000]})
+    assert [tuple(r[:3]) for r in next(steps[0](iter([batch]))).itertuples(index=False)] == [
+        ("a", 0, 0), ("a", 9_000_000, 9_000_000), ("b", 0, 0), (None, 0, 0)]
+    assert not grouped
