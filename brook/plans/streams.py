@@ -183,10 +183,11 @@ def stream_late_refire(spark, sf_dir):
     """Window counts that fire again with rows up to two hours too late, over five micro-batches."""
     _stateful(spark)
     hour = 3_600_000
+    buckets = max(256, V.events(spark, sf_dir).count() // 100_000)  # a bucket's windows stay bounded
 
     def drain(feed, root):
         counts = S.window_counts(feed.withWatermark("ts", "2 hours"), "5 hours")
-        fired = S.process(counts, ["id", "start_ms"], S.LateWindow(5 * hour, 2 * hour))
+        fired = S.late_windows(counts, 5 * hour, 2 * hour, buckets)
         run.drain(fired, f"{root}/out", f"{root}/checkpoint")
 
     out = spark.read.parquet(f"{_in_parts(spark, sf_dir, 'late-refire', 5, drain)}/out")

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -382,39 +383,77 @@ class Buffer(Processor):
             self.held.clear()
 
 
-class LateWindow(Processor):
+class LateWindow(StatefulProcessor):
     """Counts of a (key, window) that fire at the window's end and again with late rows until the allowed lateness is over.
 
-    Two timers: the first firing at the window's last instant, the end of the state ``late_ms`` after it. Rows come as
-    counts. A row is judged by the watermark of the batches before; hopelessly late ones give nothing here.
+    A processor's calls and timers cost far more than a count, so keys are dealt into buckets: a bucket's state is the table
+    of its open windows, worked on as columns, with one timer at the first instant when one of them is due. A window is due at
+    its last instant, when it fires, and ``late_ms`` after it, when it is forgotten. Rows come as counts. A row is
+    judged by the watermark of the batches before; hopelessly late ones give nothing here.
     """
 
+    FIELDS = ["id", "start_ms", "n", "fired"]
+
     def __init__(self, size_ms: int, late_ms: int):
         self.size_ms, self.late_ms = size_ms, late_ms
 
     def init(self, handle):
         self.handle = handle
-        self.count = handle.getValueState("count", "n bigint")
+        self.state = handle.getValueState(
+            "windows", "due bigint, id array<string>, start_ms array<bigint>, n array<bigint>, fired array<boolean>")
+
+    def open_windows(self) -> tuple[int | None, pd.DataFrame]:
+        due, *columns = self.state.get() or (None, [], [], [], [])
+        return due, pd.DataFrame(dict(zip(self.FIELDS, map(list, columns)))).astype(
+            {"id": object, "start_ms": "int64", "n": "int64", "fired": bool})
+
+    def keep(self, windows: pd.DataFrame, before: int | None) -> None:
+        if not len(windows):
+            self.state.clear()
+            if before is not None:
+                self.handle.deleteTimer(before)
+            return
+        last = windows["start_ms"] + self.size_ms - 1
+        due = int(last.where(~windows["fired"], last + self.late_ms).min())
+        if due != before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            self.handle.registerTimer(due)
+        self.state.update((due, *[windows[c].tolist() for c in self.FIELDS]))
 
     def handleInputRows(self, key, rows, timerValues):
-        wm, last = timerValues.getCurrentWatermarkInMs(), key[1] + self.size_ms - 1
-        if wm >= last + self.late_ms:
+        wm = timerValues.getCurrentWatermarkInMs()
+        new = pd.concat(list(rows), ignore_index=True)
+        last = new["start_ms"] + self.size_ms - 1
+        new = new.assign(fired=wm >= last, new=True)[wm < last + self.late_ms]
+        if not len(new):
             return
-        held = self.count.get()
-        n = (held[0] if held else 0) + sum(r.n for r in rows)
-        self.count.update((n,))
-        self.handle.registerTimer(last + self.late_ms)
-        if wm < last:
-            self.handle.registerTimer(last)
-        else:
-            yield Row(id=key[0], start_ms=key[1], firing="refire", n=n)
+        before, held = self.open_windows()
+        both = pd.concat([held.assign(new=False), new[[*self.FIELDS, "new"]]], ignore_index=True) if len(held) else new
+        both = both.groupby(["id", "start_ms"], dropna=False, sort=False).agg(
+            n=("n", "sum"), fired=("fired", "first"), new=("new", "max")).reset_index()
+        both["id"] = both["id"].astype(object).where(both["id"].notna(), None)
+        self.keep(both, before)
+        again = both[both["new"] & (both["start_ms"] + self.size_ms - 1 <= wm)]
+        if len(again):
+            yield self.firing(again, "refire")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        last, at = key[1] + self.size_ms - 1, expiredTimerInfo.getExpiryTimeInMs()
-        if at == last:
-            yield Row(id=key[0], start_ms=key[1], firing="first", n=self.count.get()[0])
-        if at == last + self.late_ms:
-            self.count.clear()
+        wm = timerValues.getCurrentWatermarkInMs()
+        before, held = self.open_windows()
+        last = held["start_ms"] + self.size_ms - 1
+        first = held[~held["fired"] & (last <= wm)]
+        held["fired"] |= last <= wm
+        self.keep(held[last + self.late_ms > wm], before)
+        if len(first):
+            yield self.firing(first, "first")
+
+    @staticmethod
+    def firing(windows: pd.DataFrame, name: str) -> pd.DataFrame:
+        return windows.assign(firing=name)[["id", "start_ms", "firing", "n"]]
+
+    def close(self):
+        pass
 
 
 def window_counts(rows: DataFrame, size: str) -> DataFrame:
@@ -427,6 +466,12 @@ def window_counts(rows: DataFrame, size: str) -> DataFrame:
     return rows.select("id", start.alias("start_ms")).mapInPandas(count, "id string, start_ms bigint, n bigint")
 
 
+def late_windows(counts: DataFrame, size_ms: int, late_ms: int, buckets: int = 256) -> DataFrame:
+    """Firings (id, start_ms, firing, n) of window counts; ``buckets`` stays the same for the life of a checkpoint."""
+    dealt = counts.withColumn("bucket", F.pmod(F.xxhash64("id", "start_ms"), F.lit(buckets)).cast("int"))
+    return process(dealt, "bucket", LateWindow(size_ms, late_ms))
+
+
 OUTPUTS = {
     LateWindow: "id string, start_ms bigint, firing string, n bigint",
     RunningCount: "key string, n bigint",
@@ -448,6 +493,7 @@ OUTPUTS = {
 
 ON_PROCESSING_TIME = (TtlCount, ProcessingTimer, OneProcessingTimer, RisingProcessing, Gate)
 ON_EVENT_TIME = (SelfCleaningJump, TimerPerEvent, OneTimer, RisingEvent, LateWindow)
+IN_PANDAS = (LateWindow,)
 
 
 def process(rows: DataFrame, key: str | list[str], processor: StatefulProcessor, mode: str = "append") -> DataFrame:
@@ -456,5 +502,7 @@ def process(rows: DataFrame, key: str | list[str], processor: StatefulProcessor,
     time_mode = (
         "processingTime" if kind in ON_PROCESSING_TIME
         else "eventTime" if kind in ON_EVENT_TIME else "none")
-    return rows.groupBy(*([key] if isinstance(key, str) else key)).transformWithState(
+    grouped = rows.groupBy(*([key] if isinstance(key, str) else key))
+    run = grouped.transformWithStateInPandas if kind in IN_PANDAS else grouped.transformWithState
+    return run(
         statefulProcessor=processor, outputStructType=OUTPUTS[kind], outputMode=mode, timeMode=time_mode)

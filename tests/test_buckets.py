@@ -58,3 +58,21 @@ def test_sessions_make_no_frame_per_key(spark, tmp_path, monkeypatch):
     assert [tuple(r[:3]) for r in next(steps[0](iter([batch]))).itertuples(index=False)] == [
         ("a", 0, 0), ("a", 9_000_000, 9_000_000), ("b", 0, 0), (None, 0, 0)]
     assert not grouped
+def test_late_windows_by_buckets(spark, tmp_path):
+    """Two windows of many keys fire at their end; late rows fire them again; too late ones give nothing."""
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    keys = [*(f"k{i}" for i in range(50)), None]
+    batches = [[(k, 1) for k in keys] + [(k, 6) for k in keys], [("clock", 16)], [(k, 7) for k in keys] + [(k, 2) for k in keys]]
+
+    def drain(rows):
+        feed = run.event_feed(spark, f"{tmp_path}/feed/*", 100, rows.schema).withWatermark("ts", "2 seconds")
+        fired = P.late_windows(P.window_counts(feed, "5 seconds"), 5000, 6000, 4)
+        run.drain(fired, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+
+    for i, batch in enumerate(batches):
+        rows = spark.createDataFrame([(j, k, at(s), 0, at(j)) for j, (k, s) in enumerate(batch)], SCHEMA)
+        rows.write.parquet(f"{tmp_path}/feed/{i}")
+        drain(rows)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    got = spark.read.parquet(f"{tmp_path}/out").groupBy("firing", "start_ms", "n").agg(F.count("*").alias("keys")).collect()
+    assert sorted(map(tuple, got)) == [("first", 0, 1, 51), ("first", 5000, 1, 51), ("refire", 5000, 2, 51)]
