@@ -120,7 +120,7 @@ def stream_uv(spark, sf_dir):
 def stateful_count(spark, sf_dir):
     _stateful(spark)
     words = tokenize(text.stream_lines(spark, written_lines(spark, sf_dir)))
-    return _updated(spark, S.process(S.partial_counts(words, "word"), "word", S.RunningCount(), "update"), "stateful", ["key"])
+    return _updated(spark, S.bucket_counts(S.partial_counts(words, "word"), "word"), "stateful", ["key"])
 
 
 def state_lookup(spark, sf_dir):
@@ -128,9 +128,10 @@ def state_lookup(spark, sf_dir):
     _stateful(spark)
     out, checkpoint = _places(spark, "lookup")
     feed = S.partial_counts(_sensor_feed(spark, sf_dir), "id")
-    run.drain_batches(S.process(feed, "id", S.RunningCount(), "update"), run.batch_table(out), checkpoint)
-    held = state.read_state(spark, checkpoint, "count")
-    return held.select(F.col("key.id").alias("id"), F.col("value.n").alias("n"))
+    run.drain_batches(S.bucket_counts(feed, "id", 256), run.batch_table(out), checkpoint)
+    held = state.read_state(spark, checkpoint, "counts")
+    return held.select(F.explode(F.arrays_zip("value.key", "value.n")).alias("c")).select(
+        F.col("c.key").alias("id"), F.col("c.n").alias("n"))
 
 
 def _tagged_feed(spark, sf_dir) -> DataFrame:

@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -52,14 +53,33 @@ class Processor(StatefulProcessor):
         raise NotImplementedError
 
 
+#: Counts that a task holds before they travel.
+HELD_COUNTS = 200_000
+
+
 def partial_counts(rows: DataFrame, key: str) -> DataFrame:
-    """Rows as (key, n), counted per Arrow batch, so that a hot key travels as counts."""
+    """Rows as (key, n), counted per task up to a bound of held counts, so that a common key travels as a few counts."""
+    def merged(parts: list[pa.Table]) -> pa.Table:
+        counts = pa.concat_tables(parts).group_by(key).aggregate([("n", "sum")])
+        return counts.select([key, "n_sum"]).rename_columns([key, "n"])
+
     def count(batches):
-        for pdf in batches:
-            yield pdf.groupby(key, dropna=False).size().rename("n").reset_index()
+        held: list[pa.Table] = []
+        new = 0  # counts that came since the last merge
+        for batch in batches:
+            one = pa.Table.from_batches([batch]).append_column("n", pa.repeat(pa.scalar(1, pa.int64()), len(batch)))
+            held.append(merged([one]))
+            new += len(held[-1])
+            if new > HELD_COUNTS:
+                held, new = [merged(held)], 0
+                if len(held[0]) > HELD_COUNTS:
+                    yield from held[0].to_batches()
+                    held = []
+        if held:
+            yield from merged(held).to_batches()
 
     kind = rows.schema[key].dataType.simpleString()
-    return rows.select(key).mapInPandas(count, f"`{key}` {kind}, n bigint")
+    return rows.select(key).mapInArrow(count, f"`{key}` {kind}, n bigint")
 
 
 def distinct_per_batch(rows: DataFrame, *columns: str) -> DataFrame:
@@ -91,6 +111,35 @@ class RunningCount(StatefulProcessor):
         pass
 
 
+class BucketCounts(StatefulProcessor):
+    """The same for a bucket of keys at a time: with many keys, a call and state access for each would be the whole job."""
+
+    def init(self, handle):
+        self.counts = handle.getValueState("counts", "key array<string>, n array<bigint>")
+
+    def handleInputRows(self, key, rows, timerValues):
+        new = pd.concat(list(rows), ignore_index=True)[["key", "n"]]
+        held = self.counts.get()
+        if held:
+            before = pd.DataFrame({"key": pd.Series(list(held[0]), dtype=object), "n": pd.Series(list(held[1]), dtype="int64")})
+            both = pd.concat([before.assign(new=False), new.assign(new=True)], ignore_index=True)
+        else:
+            both = new.assign(new=True)
+        both = both.groupby("key", dropna=False, sort=False).agg(n=("n", "sum"), new=("new", "max")).reset_index()
+        both["key"] = both["key"].astype(object).where(both["key"].notna(), None)
+        self.counts.update((both["key"].tolist(), both["n"].tolist()))
+        yield both.loc[both["new"], ["key", "n"]]
+
+    def close(self):
+        pass
+
+
+def bucket_counts(counts: DataFrame, key: str, buckets: int = 1024) -> DataFrame:
+    """Running counts (key, n) of partial counts; ``buckets`` stays the same for the life of a checkpoint."""
+    dealt = counts.select(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket"), F.col(key).alias("key"), "n")
+    return process(dealt, "bucket", BucketCounts(), "update")
+
+
 class TtlCount(RunningCount):
     """The same, but a count not written for ``ttl_ms`` of processing time is forgotten."""
 
@@ -475,6 +524,7 @@ def late_windows(counts: DataFrame, size_ms: int, late_ms: int, buckets: int = 2
 OUTPUTS = {
     LateWindow: "id string, start_ms bigint, firing string, n bigint",
     RunningCount: "key string, n bigint",
+    BucketCounts: "key string, n bigint",
     TtlCount: "key string, n bigint",
     Reduce: "key string, event_id bigint, value bigint",
     LastValue: "event_id bigint, id string, vc int, last int",
@@ -493,7 +543,7 @@ OUTPUTS = {
 
 ON_PROCESSING_TIME = (TtlCount, ProcessingTimer, OneProcessingTimer, RisingProcessing, Gate)
 ON_EVENT_TIME = (SelfCleaningJump, TimerPerEvent, OneTimer, RisingEvent, LateWindow)
-IN_PANDAS = (LateWindow,)
+IN_PANDAS = (LateWindow, BucketCounts)
 
 
 def process(rows: DataFrame, key: str | list[str], processor: StatefulProcessor, mode: str = "append") -> DataFrame:
