@@ -34,8 +34,9 @@ class Carried:
 #: Buckets of keys; fixed for the life of a checkpoint. A micro-batch of two million rows gives each some thousands.
 BUCKETS = 256
 
-#: Whole numbers that stand for null on the way through Python, so that columns stay whole: places come last, values are unknown.
-LAST, NOTHING = 2**63 - 1, -(2**63)
+#: The whole number that stands for null on the way through Python, so that columns stay whole; null places come first, as in
+#: the bounded queries.
+NOTHING = -(2**63)
 
 
 def bucketed(rows: DataFrame, carried: Sequence[Carried], buckets: int = BUCKETS) -> DataFrame:
@@ -43,7 +44,7 @@ def bucketed(rows: DataFrame, carried: Sequence[Carried], buckets: int = BUCKETS
     places = {"arrival": F.unix_micros(F.col("arrival").cast("timestamp")), "rank": F.col("rank"), "event_id": F.col("event_id")}
     return rows.select(
         F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int").alias("bucket"), "id",
-        *[F.coalesce(places[c].cast("bigint"), F.lit(LAST)).alias(c) for c in PLACE],
+        *[F.coalesce(places[c].cast("bigint"), F.lit(NOTHING)).alias(c) for c in PLACE],
         *[F.coalesce(F.col(c.name).cast("bigint"), F.lit(0 if c.kind == "total" else NOTHING)).alias(c.name) for c in carried])
 
 
@@ -141,7 +142,7 @@ def running(rows: DataFrame, carried: Sequence[Carried], buckets: int = BUCKETS)
     def known(c: Carried, name: str) -> Column:
         return F.col(name) if c.kind == "total" else F.nullif(F.col(name), F.lit(NOTHING)).alias(name)
 
-    placed = {c: F.nullif(F.col(c), F.lit(LAST)) for c in PLACE}
+    placed = {c: F.nullif(F.col(c), F.lit(NOTHING)) for c in PLACE}
     return out.select(
         placed["event_id"].alias("event_id"), "id", placed["rank"].alias("rank"), from_micros(placed["arrival"]).alias("arrival"),
         *[known(c, f"{c.name}{x}") for c in carried for x in ("", "_now", "_before")])
