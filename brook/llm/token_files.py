@@ -15,7 +15,8 @@ A shard knows its range and the ids before it in that range; ids before a range
 
 **Encoding** goes through the tokenizers library. A text is cut before each run of white space that follows another
 character: the byte-level splitter starts a new token there in any case, so the parts' ids, joined, are the text's ids.
-Ids of short parts are kept by a worker (`KEPT` parts at most), which makes encoding cheap and bounds memory for long texts
+Ids of short parts are kept by a worker in two generations (`KEPT` parts each at most; the older one goes when the
+younger is full, and a part that is met again moves on), so frequent parts are encoded once. That makes encoding cheap and bounds memory for long texts
 with white space; a text without any is encoded in one piece.
 
 Defined cases: null and empty texts have the end id only; a null doc_id sorts first and stays null; rows of one doc_id are
@@ -233,6 +234,7 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
@@ -242,10 +244,14 @@ class Encoder:
         if not text:
             return b""
         parts, known = text_parts(text), self.known
-        new = list({p for p in parts if p not in known and len(p) <= LONG_PART})
-        if len(known) + len(new) > KEPT:
-            known.clear()
-            new = list({p for p in parts if len(p) <= LONG_PART})
+        missing = {p for p in parts if p not in known and len(p) <= LONG_PART}
+        if len(known) + len(missing) > KEPT:
+            self.older, self.known = known, {}
+            known = self.known
+            missing = {p for p in parts if len(p) <= LONG_PART}
+        older = self.older
+        known.update([(p, older[p]) for p in missing if p in older])
+        new = [p for p in missing if p not in known]
         for i in range(0, len(new), 10_000):
             known.update(zip(new[i:i + 10_000], self._encode(new[i:i + 10_000]), strict=True))
         return b"".join([known[p] if p in known else self._encode([p])[0] for p in parts])

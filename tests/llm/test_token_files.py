@@ -111,3 +111,14 @@ def test_contract_on_stored_documents(spark, sf_dir, tokenizer):
     out = tf.op11_token_files(spark, sf_dir)
     assert out.columns[:4] == ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert sorted(map(tuple, out.collect())) == plain(tokenizer, docs)
+
+
+def test_frequent_parts_are_encoded_once(monkeypatch):
+    """A full cache forgot every part before, frequent ones too."""
+    monkeypatch.setattr(tf, "KEPT", 50)
+    encoder, asked = tf.Encoder(tf.default_tokenizer()), []
+    plain = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda parts: asked.extend(parts) or plain(parts))
+    for i in range(500):
+        encoder.ids(f"common words stay known{i}")
+    assert asked.count(" words") == 1 and len(encoder.known) <= 50 and len(encoder.older) <= 50
