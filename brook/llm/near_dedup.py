@@ -22,7 +22,8 @@ pair meets only in the first of its common buckets, and only if `AGREE` componen
 similarity of 0.8 fewer are with probability 1e-6.
 
 Equal texts are one node from the start (md5 of the text), so thousands of copies cost one signature row each and no
-pair. Results are carried by text and reach documents by one join, whose hot keys the engine splits.
+pair. Results are carried by text and reach documents by one join, whose hot keys the engine splits. So are the open buckets:
+one row a text lists its buckets, so each round's join with the labels grows with the texts, not with their places in buckets.
 
 Defined cases: null texts are a class of their own each; texts without words join equal texts only; texts of fewer than
 five words are one shingle; a class is named by its smallest doc_id (null if all are null); repeated rows are copies.
@@ -271,11 +272,12 @@ def classes(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY
     keep = _Store(spark, "near-dedup")
     found = keep(buckets(docs))
     shared = found.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    members = keep(found.join(shared, "bucket"))
-    pull = members.groupBy("t").agg(F.sum("size").alias("pull"))
-    members = keep(members.join(pull, "t"))
+    # One row a text, its buckets (at most `BANDS`) as a list: what belongs to a text is joined to that row alone.
+    nodes = keep(found.join(shared, "bucket").groupBy("t").agg(
+        F.sum("size").alias("pull"), F.collect_list(F.struct("bucket", "size")).alias("held")))
+    members = keep(nodes.select("t", "pull", F.inline("held")))
     texts = keep(docs.filter("text is not null").select(_node().alias("t"), utf8().alias("text"))
-                 .groupBy("t").agg(F.first("text").alias("text")).join(pull.select("t"), "t", "left_semi"))
+                 .groupBy("t").agg(F.first("text").alias("text")).join(nodes.select("t"), "t", "left_semi"))
 
     heads = members.groupBy("bucket").agg(F.max(F.struct("pull", "t")).alias("head")).select(
         "bucket", F.col("head.t").alias("head"))
@@ -284,34 +286,39 @@ def classes(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY
     links = keep(verified(keep(pairs), texts, similarity))
     labels = components(links, keep)
 
-    def mixed(rows: DataFrame) -> DataFrame:
-        """Members of buckets that hold several classes, with their label."""
-        marked = rows.join(labels, rows["t"] == labels["node"], "left").select(
-            *[rows[c] for c in rows.columns], F.coalesce("label", "t").alias("label"))
-        several = marked.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter(
+    def mixed(texts: DataFrame) -> DataFrame:
+        """Members of buckets that hold several classes, with their label; texts: one row a text, with its buckets."""
+        rows = keep(texts.join(labels, texts["t"] == labels["node"], "left").select(
+            F.explode("buckets").alias("bucket"), *[texts[c] for c in texts.columns if c != "buckets"],
+            F.coalesce("label", "t").alias("label")))
+        several = rows.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter(
             "lo <> hi").select("bucket")
-        return marked.join(several, "bucket")
+        return rows.join(several, "bucket")
+
+    def by_text(rows: DataFrame) -> DataFrame:
+        """t, buckets: one row a text."""
+        return rows.groupBy("t").agg(F.collect_list("bucket").alias("buckets"))
 
     # Two members have met by now; of more, those that may still have a link go on.
-    going = keep(mixed(members.filter("size > 2")).drop("label", "size"))
+    crowded = nodes.select("t", F.filter("held", lambda x: x["size"] > 2)["bucket"].alias("buckets"))
+    going = keep(by_text(mixed(crowded)))
     if going.isEmpty():
         return labels.select(F.col("node").alias("t"), "label")
-    fit = keep(bounds(texts.join(going.select("t").distinct(), "t", "left_semi"), similarity))
-    going = going.join(fit, "t")
-    space = going.groupBy("bucket").agg(F.count("*").alias("size"), F.min("n").alias("least"),
-                                        F.min("flat").alias("all_flat"))
-    going = going.join(space, "bucket").filter("size > 1 and (not all_flat or reach >= least)").drop("least", "all_flat")
+    fit = keep(bounds(texts.join(going.select("t"), "t", "left_semi"), similarity).join(nodes.select("t", "pull"), "t"))
+    rows = keep(going.join(fit, "t").select(F.explode("buckets").alias("bucket"), "t", "n", "flat", "reach"))
+    space = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min("n").alias("least"),
+                                       F.min("flat").alias("all_flat"))
+    going = keep(by_text(rows.join(space, "bucket").filter("size > 1 and (not all_flat or reach >= least)")))
     place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("pull"), "t"))
-    going = keep(going)
     upto = PIVOTS
     while True:
-        going = keep(mixed(going))
-        if going.isEmpty():
+        rows = keep(mixed(going.join(fit, "t")))
+        if rows.isEmpty():
             break
-        pivots = going.withColumn("place", place).filter(F.col("place") <= upto).select(
+        pivots = rows.withColumn("place", place).filter(F.col("place") <= upto).select(
             "bucket", F.col("t").alias("p"), *[F.col(c).alias(f"p_{c}") for c in ("n", "flat", "reach", "label", "sig", "bands")])
         equal = F.aggregate(F.zip_with("sig", "p_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda k, x: k + x)
-        met = going.join(pivots, "bucket").filter(
+        met = rows.join(pivots, "bucket").filter(
             "label <> p_label and (not flat or not p_flat or (n <= p_reach and p_n <= reach))").filter(
             F.element_at(F.array_intersect("bands", "p_bands"), 1) == F.col("bucket")).filter(equal >= AGREE)
         pairs = keep(met.select(F.least("p", "t").alias("a"), F.greatest("p", "t").alias("b")).distinct())
@@ -320,7 +327,7 @@ def classes(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY
             stars = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
             labels = components(stars.unionByName(more), keep)
         # Pivots have met every other class of their bucket, so they leave it.
-        going = keep(going.withColumn("place", place).filter(F.col("place") > upto).drop("place", "label"))
+        going = keep(by_text(rows.withColumn("place", place).filter(F.col("place") > upto)))
         upto *= GROWTH
     return labels.select(F.col("node").alias("t"), "label")
 

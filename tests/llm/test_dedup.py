@@ -208,6 +208,25 @@ def test_buckets_are_finished_without_all_pairs(spark, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=str) == plain_classes(rows)
 
 
+def test_labels_are_joined_to_one_row_a_text(spark, monkeypatch):
+    """A text was joined with its label once for each of its buckets, in every round."""
+    rng = random.Random(12)
+    base = words(rng, 200)
+    rows = [(k, edited(rng, base, k % 25)) for k in range(60)]
+    seen, kind = [], type(spark.range(1))
+    plain = kind.join
+
+    def joined(self, other, *args):
+        if {"node", "label"} <= {*other.columns}:
+            seen.append((self.count(), self.select("t").distinct().count()))
+        return plain(self, other, *args)
+
+    monkeypatch.setattr(kind, "join", joined)
+    got = near_dedup.near_duplicates(spark, frame(spark, rows))
+    assert sorted(map(tuple, got.collect())) == plain_classes(rows)
+    assert seen and all(n == texts for n, texts in seen)
+
+
 def test_keep_one_of_repeated_rows(spark):
     text = "one two three four five six"
     rows = [(1, text), (1, text), (2, text), (5, None), (5, None), (None, "q r s t u v"), (None, "q r s t u v")]
