@@ -24,7 +24,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterable
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -74,15 +74,49 @@ class Vocabulary:
                 self.pieces.append((piece, i, -alpha * math.log(rank + 1.0)))
         if -1 in self.byte_ids:
             raise ValueError("the vocabulary has no byte fallback")
-
-
-def _hash(piece: str) -> int:
-    """As Sampler.matches hashes the characters of a piece."""
-    h = np.zeros(1, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for c in piece:
-            h = mix(h * _STEP + np.uint64(ord(c) + 1))
-    return int(h[0])
+        self.begins = _Beginnings(self.pieces)
+
+
+class _Beginnings:
+    """All beginnings of pieces as a double array: from beginning b, character number c leads to place base[b] + c if `owner`
+    there is b. The empty beginning stands at place 0."""
+
+    def __init__(self, pieces: list[tuple[str, int, float]]):
+        below: dict[str, list[str]] = {"": []}
+        for piece, _, _ in pieces:
+            for n in range(1, len(piece) + 1):
+                if piece[:n] not in below:
+                    below[piece[:n]] = []
+                    below[piece[:n - 1]].append(piece[n - 1])
+        letters = sorted({x for c in below.values() for x in c})
+        number = {x: k for k, x in enumerate(letters, start=1)}
+        self.number = np.zeros(0x110001, dtype=np.int32)  # 0: in no piece
+        self.number[[ord(x) for x in letters]] = np.arange(1, len(letters) + 1)
+        taken, place = bytearray(4 * len(below) + 2 * len(letters) + 2), {"": 0}
+        taken[0], free = 1, 1
+        # Beginnings with most followers first. Those of several don't look back; the holes they leave are for those of one.
+        for begin in sorted((b for b, c in below.items() if c), key=lambda b: (len(b) > 0, -len(below[b]))):
+            codes = sorted(number[x] for x in below[begin])
+            if len(codes) == 1:
+                free = 1
+            at = taken.index(0, max(free, codes[0]))
+            while any(taken[at - codes[0] + c] for c in codes):
+                at = taken.index(0, at + 1)
+            free = at
+            if at + 3 * len(letters) > len(taken):  # there is always room for all letters behind the next place
+                taken.extend(bytes(len(taken)))
+            for x in below[begin]:
+                k = at - codes[0] + number[x]
+                taken[k], place[begin + x] = 1, k
+            below[begin] = [at - codes[0], *codes]
+        room = max(place.values()) + len(letters) + 1
+        self.base, self.owner = np.zeros(room, dtype=np.int32), np.full(room, -1, dtype=np.int32)
+        self.ids, self.weights = np.full(room, -1, dtype=np.int32), np.zeros(room)
+        for begin, (base, *codes) in ((b, c) for b, c in below.items() if c):
+            self.base[place[begin]] = base
+            self.owner[[base + c for c in codes]] = place[begin]
+        for piece, i, w in pieces:
+            self.ids[place[piece]], self.weights[place[piece]] = i, w
 
 
 class _Grown:
@@ -111,108 +145,136 @@ class _Grown:
         return self.held[:self.n]
 
 
+class _Words(dict):
+    """Words in the order in which they were met first, with their numbers."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class Sampler:
     """Lattices of words, kept up to a bound, and sampling over many of them at once."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.bytes_of = vocabulary.bytes_of
         self.byte_ids = np.array(vocabulary.byte_ids, dtype=np.int32)
-        begins: dict[str, tuple[int, float]] = {}  # every beginning of a piece; -1: no piece itself
-        for piece, i, w in vocabulary.pieces:
-            for n in range(1, len(piece)):
-                begins.setdefault(piece[:n], (-1, 0.0))
-            begins[piece] = (i, w)
-        keys = np.array([_hash(x) for x in begins], dtype=np.uint64)
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        if (self.keys[1:] == self.keys[:-1]).any():
-            raise ValueError("two beginnings of pieces have one hash")
-        self.ids = np.array([i for i, _ in begins.values()], dtype=np.int32)[order]
-        self.weights = np.array([w for _, w in begins.values()])[order]
+        self.begins = vocabulary.begins
+        sizes = np.fromiter(map(len, self.bytes_of), dtype=np.int64, count=len(self.bytes_of))
+        self.size_of, self.start_of = sizes.astype(np.int32), segment_starts(sizes)[:-1]
+        self.raw = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
         self.byte_weight = min(w for *_, w in vocabulary.pieces)
         self.reset()
 
     def reset(self) -> None:
         """State 0 is the start of every word and has no edges."""
-        self.ends: dict[str, int] = {}
+        self.words = _Words()
+        self.ends = _Grown(np.int32)  # last state of each word
         self.first = _Grown(np.int64, [0, 0])  # first edge of each state, and the end
         self.before, self.piece, self.upto = _Grown(np.int32), _Grown(np.int32), _Grown(np.float32)
 
-    def matches(self, chars: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, ...]:
-        """All pieces at all places: place, length, id, weight. room: characters up to the word's end."""
-        at, h, out, n = np.arange(len(chars)), np.zeros(len(chars), dtype=np.uint64), [], 0
+    def matches(self, chars: np.ndarray, room: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+        """All pieces at all places, by length (1 first): place, id, weight. room: characters up to the word's end."""
+        b = self.begins
+        code = b.number[chars]
+        at, node, out, n = np.arange(len(chars), dtype=np.int32), np.zeros(len(chars), dtype=np.int32), [], 0
         while len(at):
-            with np.errstate(over="ignore"):
-                h = mix(h * _STEP + chars[at + n] + np.uint64(1))
+            c = code[at + n]
+            to = b.base[node] + c
+            going = np.flatnonzero((b.owner[to] == node) & (c > 0))
+            at, node = at[going], to[going]
             n += 1
-            i = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-            going = self.keys[i] == h
-            piece = going & (self.ids[i] >= 0)
-            out.append((at[piece], np.full(int(piece.sum()), n), self.ids[i[piece]], self.weights[i[piece]]))
-            going &= room[at] > n
-            at, h = at[going], h[going]
-        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+            ids = b.ids[node]
+            piece = np.flatnonzero(ids >= 0)
+            out.append((at[piece], ids[piece], b.weights[node[piece]]))
+            going = np.flatnonzero(room[at] > n)
+            at, node = at[going], node[going]
+        return out
 
     def add(self, fresh: list[str]) -> None:
-        """Forward filtering of new words, all at once, by position."""
-        chars = np.frombuffer("".join(fresh).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+        """Forward filtering of new words, all at once, by position.
+
+        Characters, and the states behind them, are numbered by depth: all words' first ones, all second ones and so on.
+        """
         lengths = np.fromiter(map(len, fresh), dtype=np.int64, count=len(fresh))
+        by_length = np.argsort(-lengths, kind="stable")
+        fresh, lengths = [fresh[k] for k in by_length.tolist()], lengths[by_length]
+        chars = np.frombuffer("".join(fresh).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         starts = segment_starts(lengths)
         begin = np.repeat(starts[:-1], lengths)
-        place, size, ids, weights = self.matches(chars, np.repeat(starts[1:], lengths) - np.arange(len(chars)))
-        # The state behind character c is base + c; a word's start is state 0.
+        depth = np.arange(len(chars)) - begin
+        cuts = segment_starts(np.bincount(depth))  # first character of each depth
+        state = (cuts[depth] + np.repeat(np.arange(len(fresh)), lengths)).astype(np.int32)
+        found = self.matches(chars, (np.repeat(starts[1:], lengths) - np.arange(len(chars))).astype(np.int32))
+        # The state behind character c is base + state[c]; a word's start is state 0.
         base = len(self.first) - 1
-        source = np.where(place == begin[place], 0, base + place - 1)
+        begins = np.append(state, 0)[np.arange(len(chars)) - 1] + 1  # the state before a character, from 1
+        begins[starts[:-1]] = 0
         # A character that is no piece: a chain of states, one for each of its bytes but the last.
         known = np.zeros(len(chars), dtype=bool)
-        known[place[size == 1]] = True
+        known[found[0][0]] = True
         chain_before, chain_piece = [], []
         extra: list[tuple[int, int, int, float]] = []
         for c in np.flatnonzero(~known).tolist():
             x = chr(int(chars[c]))
             raw = SPACE.encode() if x == LITERAL else x.encode()
-            state = 0 if c == begin[c] else base + c - 1
+            source = 0 if c == begin[c] else base + int(begins[c]) - 1
             for b in raw[:-1]:
-                chain_before.append(state)
+                chain_before.append(source)
                 chain_piece.append(self.byte_ids[b])
-                state = base + len(chars) + len(chain_before) - 1
-            extra.append((c, state, self.byte_ids[raw[-1]], self.byte_weight * len(raw)))
+                source = base + len(chars) + len(chain_before) - 1
+            extra.append((c, source, self.byte_ids[raw[-1]], self.byte_weight * len(raw)))
+        targets = [state[place + n] for n, (place, _, _) in enumerate(found)]
         if extra:
-            c, state, i, w = zip(*extra, strict=True)
-            place, size = np.append(place, c), np.append(size, np.ones(len(c), dtype=np.int64))
-            source, ids, weights = np.append(source, state), np.append(ids, i), np.append(weights, w)
-        target = place + size - 1
-        depth = target - begin[target]
-        order = np.lexsort((target, depth))
-        place, source, ids, weights, target, depth = (
-            x[order] for x in (place, source, ids, weights, target, depth))
-        total, share = np.zeros(len(chars)), np.empty(len(target))
-        root = place == begin[place]
-        cuts = np.searchsorted(depth, np.arange(int(lengths.max()) + 1))
+            c, from_state, i, w = zip(*extra, strict=True)
+            found.append((np.array(c), np.array(i, dtype=np.int32), np.array(w)))
+            targets.append(state[found[-1][0]])
+        degree = np.zeros(len(chars), dtype=np.int64)
+        for to in targets:
+            degree[to] += 1  # a state has at most one edge of each length
+        first = segment_starts(degree)
+        source, ids = np.empty(first[-1], dtype=np.int32), np.empty(first[-1], dtype=np.int32)
+        weights, share = np.empty(first[-1]), np.empty(first[-1])
+        free = first[:-1].copy()
+        for to, (place, i, w) in zip(targets, found, strict=True):
+            slot = free[to]
+            free[to] += 1
+            source[slot], ids[slot], weights[slot] = begins[place], i, w
+        total = np.zeros(len(chars) + 1)  # by state from 1; 0 is a word's start
         for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            x = weights[lo:hi] + np.where(root[lo:hi], 0.0, total[place[lo:hi] - 1])
-            to = target[lo:hi]
-            new = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
-            n = np.diff(np.append(new, len(to)))
+            a, b = int(first[lo]), int(first[hi])
+            x = weights[a:b] + total[source[a:b]]
+            new, n = first[lo:hi] - a, degree[lo:hi]
             top = np.maximum.reduceat(x, new)
             sums = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, n)), new))
-            total[to[new]] = sums
-            share[lo:hi] = np.exp(x - np.repeat(sums, n))
-        order = np.lexsort((-share, target))
-        source, ids, share, target = source[order], ids[order], share[order], target[order]
+            total[lo + 1:hi + 1] = sums
+            share[a:b] = np.exp(x - np.repeat(sums, n))
+        source = np.where(source == 0, 0, source + np.int32(base - 1))
+        if extra:
+            source[slot] = from_state
+        # A state's edges by share, the largest first; states of one degree are sorted together.
+        by_degree = np.argsort(degree, kind="stable")
+        ends = np.cumsum(np.bincount(degree))
+        for k in range(2, len(ends)):
+            at = first[by_degree[ends[k - 1]:ends[k]], None] + np.arange(k)
+            if len(at):
+                order = np.argsort(-share[at], axis=1, kind="stable") + at[:, :1]
+                source[at], ids[at], share[at] = source[order], ids[order], share[order]
         upto = np.cumsum(share)
-        degree = np.bincount(target, minlength=len(chars))
-        last = np.cumsum(degree)
+        last = first[1:]
         upto -= np.repeat(np.append(0.0, upto[last[:-1] - 1]), degree)
         upto[last - 1] = 2.0  # the last edge takes what rounding leaves
         offset = len(self.piece)
         self.first.drop_last()
-        self.first.extend(offset + last - degree)
+        self.first.extend(offset + first[:-1])
         self.first.extend(offset + len(ids) + np.arange(len(chain_piece) + 1))
-        self.before.extend(np.append(source, np.array(chain_before, dtype=np.int64)))
-        self.piece.extend(np.append(ids, np.array(chain_piece, dtype=np.int64)))
-        self.upto.extend(np.append(upto, np.full(len(chain_piece), 2.0)))
-        self.ends.update(zip(fresh, (base + starts[1:] - 1).tolist(), strict=True))
+        for held, edges, chained in ((self.before, source, chain_before), (self.piece, ids, chain_piece),
+                                     (self.upto, upto, [2.0] * len(chain_piece))):
+            held.extend(edges)
+            held.extend(np.array(chained, dtype=edges.dtype))
+        ends = np.empty(len(fresh), dtype=np.int32)
+        ends[by_length] = base + state[starts[1:] - 1]
+        self.ends.extend(ends)
 
     def encode(self, texts: list[bytes | None], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids of each text."""
@@ -226,11 +288,13 @@ class Sampler:
                     s = s.replace(SPACE, LITERAL)
                 split.append(_WORD.findall(SPACE + s.replace(" ", SPACE)))
                 sizes[k] = len(split[-1])
-        fresh = list(set().union(*split) - self.ends.keys())
+        seen = len(self.ends)
+        number = np.fromiter(map(self.words.__getitem__, chain.from_iterable(split)), dtype=np.int64,
+                             count=int(sizes.sum()))
+        fresh = list(islice(self.words, seen, None))
         for i in range(0, len(fresh), 20_000):
             self.add(fresh[i:i + 20_000])
-        state = np.fromiter(map(self.ends.__getitem__, chain.from_iterable(split)), dtype=np.int64,
-                            count=int(sizes.sum()))
+        state = self.ends.values()[number].astype(np.int64)
         first, before, piece, upto = (x.values() for x in (self.first, self.before, self.piece, self.upto))
         starts = segment_starts(sizes)
         place = np.arange(len(state)) - np.repeat(starts[:-1], sizes)
@@ -260,6 +324,14 @@ class Sampler:
             ids[ends[where] - back] = got
         return ids, np.add.reduceat(np.append(n_pieces, 0), starts[:-1]) * (sizes > 0) if len(texts) else sizes
 
+    def decode_all(self, ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
+        """The texts of many rows of ids at once; starts: first id of each row, and the end."""
+        size = self.size_of[ids]
+        ends = segment_starts(size)
+        raw = self.raw[np.repeat(self.start_of[ids] - ends[:-1], size) + np.arange(ends[-1])].tobytes()
+        at = ends[starts].tolist()
+        return [raw[a + (raw[a:a + 1] == b" " and a < b):b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
     def decode(self, ids: Iterable[int]) -> bytes:
         """The text of ids; the inverse of encode."""
         raw = b"".join(map(self.bytes_of.__getitem__, ids))
@@ -291,9 +363,7 @@ def encode(spark: SparkSession, docs: DataFrame, key: str = "doc_id", vocabulary
         at = segment_starts(sizes)
         none = np.array([t is None for t in texts])
         listed = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids), mask=pa.array(none))
-        flat = ids.tolist()
-        same = [t is None or own[0].decode(flat[a:b]) == t
-                for t, a, b in zip(texts, at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        same = [t is None or back == t for t, back in zip(texts, own[0].decode_all(ids, at), strict=True)]
         return pa.RecordBatch.from_arrays(
             [batch.column(key), listed, pa.array(sizes, mask=none),
              pa.array([None if t is None else len(t.decode()) for t in texts], pa.int64()), pa.array(same)],

@@ -146,6 +146,30 @@ def test_kept_words_are_bounded(monkeypatch):
     assert first.tolist() == again.tolist()
 
 
+def test_new_words_are_filtered_without_sorting_edges(monkeypatch):
+    """Edges were found by hash and search and sorted twice, and every id was decoded on its own."""
+    sampler = pieces.Sampler(pieces.Vocabulary())
+    monkeypatch.setattr(np, "lexsort", None)
+    texts = [t.encode() for t in TEXTS] + [None, "ὦ▁𐍈 ".encode() * 3]
+    ids, sizes = sampler.encode(texts, np.arange(len(texts), dtype=np.uint64))
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    assert sampler.decode_all(ids, starts) == [t or b"" for t in texts]
+    assert [sampler.decode(ids[a:b].tolist()) for a, b in zip(starts[:-1], starts[1:], strict=True)] == [t or b"" for t in texts]
+
+
+def test_beginnings_of_pieces_are_all_found():
+    listed = [("ab", 0, -1.0), ("a", 1, -2.0), ("b\u4e00c", 2, -3.0), ("\U0001f600", 3, -4.0), ("\u4e00", 4, -5.0), ("abcd", 5, -6.0)]
+    b, found = pieces._Beginnings(listed), {}
+    for piece, i, w in listed:
+        place = 0
+        for x in piece:
+            to = b.base[place] + b.number[ord(x)]
+            assert b.owner[to] == place
+            place = to
+        found[piece] = (piece, int(b.ids[place]), float(b.weights[place]))
+    assert [*found.values()] == listed and (b.ids >= 0).sum() == len(listed)
+
+
 # -- language ---------------------------------------------------------------------------------------------------------
 
 def phrases(text: bytes, corpus: list[bytes]) -> int:
