@@ -14,7 +14,9 @@ commit, so any store Spark can write will do and a retried task leaves no second
 A shard knows its range and the ids before it in that range; ids before a range are sums of one row a range.
 
 **Encoding** goes through the tokenizers library. A text is cut before each run of white space that follows another
-character: the byte-level splitter starts a new token there in any case, so the parts' ids, joined, are the text's ids.
+character, between a word of letters and a sign, and between a lone line end and a letter: the byte-level splitter starts a
+new token there in any case, so the parts' ids, joined, are the text's ids. New words of letters, which that splitter
+never cuts, go to the library in one call, split at line ends instead; the lengths of their tokens tell where each word ends.
 Ids of short parts are kept by a worker in two generations (`KEPT` parts each at most; the older one goes when the
 younger is full, and a part that is met again moves on), so frequent parts are encoded once. That makes encoding cheap and bounds memory for long texts
 with white space; a text without any is encoded in one piece.
@@ -26,9 +28,11 @@ in a text becomes its id, as the library does by default; an empty table makes n
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
+import sys
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -44,6 +48,8 @@ from brook.session import shared_dir
 
 END_ID = 2
 SHARD, BLOCK_BITS, KEPT, LONG_PART = 1 << 21, 1 << 16, 300_000, 64
+#: Bytes of text whose parts are looked up together.
+SLICE = 2 << 20
 _MAGIC = b"WMX1"
 _HEADER = struct.Struct("<4sIIIIQQ")  # magic, levels, range, number in the range, documents, ids, ids before in the range
 _LEVEL = struct.Struct("<QI")  # zeros, blocks
@@ -213,14 +219,27 @@ class Shard:
 _ODD = re.compile("[" + "".join(map(chr, (
     0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), *range(0x2028, 0x2030),
     *range(0x205F, 0x2065), 0x3000, 0xFEFF))) + "]")
-_PART = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
+#: Letters of Latin and Cyrillic words, by code points that all versions of Unicode agree on.
+_LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u0481\u048a-\u0523"
+#: A word of such letters before a sign, white space or the end; a lone line end before a letter; anything else up to white space.
+_PART = re.compile(rf" ?[{_LETTER}]++(?=[ \n\t\r!-&(-/:-@\[-`{{-~]|\Z)|\n(?=[{_LETTER}])|[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
+#: The same for texts with strings of special tokens, which hold letters and signs but no white space.
+_COARSE = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
+_PLAIN = re.compile(f" ?[{_LETTER}]+")
+#: The characters that stand for bytes in the vocabulary; a line end stays.
+_BYTES = np.arange(256, dtype="<u2")
+_HIDDEN = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+_BYTES[_HIDDEN] = 256 + np.arange(len(_HIDDEN))
+_BYTES[0x0A] = 0x0A
 #: For texts with odd characters: only where a letter, digit or sign of ASCII stands before.
 _CUT = re.compile(r"(?<=[!-~])(?=[ \n\t\r])")
 
 
-def text_parts(text: str) -> list[str]:
+def text_parts(text: str, special: Sequence[str] = ("<|endoftext|>",)) -> list[str]:
     """The text cut where no token can reach across."""
-    return _CUT.split(text) if _ODD.search(text) else _PART.findall(text)
+    if _ODD.search(text):
+        return _CUT.split(text)
+    return (_COARSE if any(x in text for x in special) else _PART).findall(text)
 
 
 class Encoder:
@@ -228,33 +247,80 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer, self.by_line = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for t in (self.tokenizer, self.by_line):
+            t.no_truncation()
+            t.no_padding()
+        self.by_line.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Words may be split at line ends instead if the splitter is the byte-level one and nothing else touches letters.
+        told = json.loads(self.tokenizer.to_str())
+        splitter = told["pre_tokenizer"] or {}
+        self.plain = (splitter.get("type") == "ByteLevel" and splitter.get("use_regex", True)
+                      and not splitter.get("add_prefix_space") and told["normalizer"] is None
+                      and all(re.search(rf"[^{_LETTER}\s]", x) for x in self.special))
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+        self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def _words(self, parts: list[str]) -> list[bytes] | None:
+        """Ids of words of letters, in one call; none if the tokens' lengths don't add up to theirs."""
+        data = np.frombuffer("\n".join(parts).encode(), dtype=np.uint8)
+        found = self.by_line.encode_batch_fast([_BYTES[data].tobytes().decode("utf-16-le")], add_special_tokens=False)
+        ids = np.array(found[0].ids, dtype="<u4")
+        ends = np.cumsum(self.sizes[ids])
+        want = np.append(np.flatnonzero(data == 0x0A), len(data)) - np.arange(len(parts))
+        at = np.searchsorted(ends, want)
+        if not len(ids) or ends[-1] != want[-1] or (ends[at] != want).any():
+            return None
+        raw, cuts = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
     def _encode(self, parts: list[str]) -> list[bytes]:
+        words = [p for p in parts if _PLAIN.fullmatch(p)] if self.plain else []
+        if words and (ids := self._words(words)) is not None:
+            of = dict(zip(words, ids, strict=True))
+            rest = [p for p in parts if p not in of]
+            of.update(zip(rest, self._each(rest), strict=True))
+            return [of[p] for p in parts]
+        return self._each(parts)
+
+    def _each(self, parts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        parts, known = text_parts(text), self.known
-        missing = {p for p in parts if p not in known and len(p) <= LONG_PART}
-        if len(known) + len(missing) > KEPT:
-            self.older, self.known = known, {}
-            known = self.known
-            missing = {p for p in parts if len(p) <= LONG_PART}
-        older = self.older
-        known.update([(p, older[p]) for p in missing if p in older])
-        new = [p for p in missing if p not in known]
+    def many(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text."""
+        split = [text_parts(t, self.special) if t else [] for t in texts]
+        wanted = set().union(*split)
+        long = {p for p in wanted if len(p) > LONG_PART}
+        wanted -= long
+        missing = wanted - self.known.keys()
+        if len(self.known) + len(missing) > KEPT:
+            self.older, self.known = self.known, {}
+            missing = wanted
+        known, older = self.known, self.older
+        again = missing & older.keys()
+        known.update([(p, older[p]) for p in again])
+        new = list(missing - again)
         for i in range(0, len(new), 10_000):
             known.update(zip(new[i:i + 10_000], self._encode(new[i:i + 10_000]), strict=True))
-        return b"".join([known[p] if p in known else self._encode([p])[0] for p in parts])
+        if not long:
+            return [b"".join(map(known.__getitem__, parts)) for parts in split]
+        once = {p: self._encode([p])[0] for p in long}
+        return [b"".join([known[p] if p in known else once[p] for p in parts]) for parts in split]
+
+    def ids(self, text: str | None) -> bytes:
+        return self.many([text])[0]
+
+
+def worker_encoder(path: str) -> Encoder:
+    """One per worker process and path: each task has its own copy of the path, the interned one is the same object."""
+    return kept(lambda: Encoder(path), Encoder, sys.intern(path))
 
 
 def default_tokenizer() -> str:
@@ -275,7 +341,7 @@ def write_shards(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str
     rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = kept(lambda: Encoder(tokenizer), tokenizer)
+        encoder = worker_encoder(tokenizer)
         place, number, before = TaskContext.get().partitionId(), 0, 0
         doc_ids, lengths, held, n = [], [], [], 0
 
@@ -283,9 +349,10 @@ def write_shards(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str
             packed = pack(np.frombuffer(b"".join(held), dtype="<u4"), doc_ids, lengths, place, number, before)
             return pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], names=["data"])
 
-        for part in slices(batches, "text"):
-            for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text"), strict=True):
-                ids = encoder.ids(text.as_py()) + end
+        for part in slices(batches, "text", SLICE):
+            for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.many(part.column("text").to_pylist()),
+                                   strict=True):
+                ids += end
                 doc_ids.append(doc_id)
                 lengths.append(len(ids) // 4)
                 held.append(ids)

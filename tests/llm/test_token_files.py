@@ -122,3 +122,54 @@ def test_frequent_parts_are_encoded_once(monkeypatch):
     for i in range(500):
         encoder.ids(f"common words stay known{i}")
     assert asked.count(" words") == 1 and len(encoder.known) <= 50 and len(encoder.older) <= 50
+
+
+def test_a_sign_makes_no_new_word(monkeypatch):
+    """A word was encoded again for every sign behind it, and each word by a call's own encoding."""
+    encoder, apart = tf.Encoder(tf.default_tokenizer()), []
+    plain = encoder._each
+    monkeypatch.setattr(encoder, "_each", lambda parts: apart.extend(parts) or plain(parts))
+    encoder.ids("Unword unword, unword. (unword)\nÜnwört ünwört; слово слово!")
+    assert sorted(p for p in encoder.known if "unword" in p) == [" (unword)", " unword"]
+    assert not any(p.strip().isalpha() for p in apart)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_words_in_one_call_are_the_librarys(tokenizer, seed):
+    rng = np.random.default_rng(seed)
+    made = ["a", "Zq", "é", "ß", "Жд", "'", "s", "’", "7", " ", "  ", "\n", "\n\n", "\t", ",", ".", "!?", "<|endoftext|>", "<|", "endoftext",
+            "|>", "\u0301", "日本", "\u00a0", "ª", "×", "don't", "Ġx", "\U0001f600"]
+    texts = ["".join(made[k] for k in rng.integers(0, len(made), rng.integers(0, 14))) for _ in range(800)]
+    for text, ids in zip(texts, ENCODER.many(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_tokens_that_do_not_add_up_are_not_used(tokenizer, monkeypatch):
+    encoder = tf.Encoder(tf.default_tokenizer())
+    monkeypatch.setattr(encoder, "sizes", encoder.sizes * 0 + 1)
+    text = "Some words whose tokens are longer than one"
+    assert np.frombuffer(encoder.ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_tasks_of_a_worker_share_their_words(spark, tmp_path):
+    """Each task made an encoder of its own, as its copy of the path was another object."""
+    made = tmp_path / "made"
+    made.mkdir()
+    plain = tf.Encoder.__init__
+
+    def counted(self, path):
+        import os
+        import uuid
+
+        (made / f"{os.getpid()}-{uuid.uuid4().hex}").touch()
+        plain(self, path)
+
+    def run(batches):
+        tf.Encoder.__init__ = counted
+        path = "".join(list(tf.default_tokenizer()))  # not the object of any other task
+        tf.worker_encoder(path)
+        yield from batches
+
+    spark.range(64, numPartitions=64).mapInArrow(run, "id long").count()
+    pids = [f.name.split("-")[0] for f in made.iterdir()]
+    assert pids and len(pids) == len(set(pids))
