@@ -19,7 +19,13 @@ n(x), and s(x) of it in shingles that some other open text has. The probability
 s(x) / n(x); and of x and y whose counts are all 1 it is at most s / (n(x) + n(y) - s) for s the smaller of s(x) and s(y).
 Heavily edited copies, and texts that merely share a passage, go by these bounds, which lose nothing. In the later rounds a
 pair meets only in the first of its common buckets, and only if `AGREE` components of its signatures are equal; at a
-similarity of 0.8 fewer are with probability 1e-6.
+similarity of 0.8 fewer are with probability 1e-6. Before that, a parity sketch of `BITS` bits bounds what a pair may share: a
+shingle's j-th copy flips one bit, so two sketches differ in no more bits than the texts differ in copies of shingles. With
+N = n(x) + n(y), at most (N - bits) / 2 copies are common. A shingle adds at most its larger count over (N + bits) / 2 to the
+similarity, so with e copies in both texts beyond the first of their shingle it is at most (N - bits + 2 e) / (N + bits); and it
+is at most the common copies over the smaller weight, as no coupling agrees more often. These bounds lose no link, and a large
+group of copies that are too different to be linked makes few pairs: they are nearly exact up to some hundred differing
+shingles, and let all pairs pass far beyond.
 
 Equal texts are one node from the start (md5 of the text), so thousands of copies cost one signature row each and no
 pair. Results are carried by text and reach documents by one join, whose hot keys the engine splits. So are the open buckets:
@@ -48,6 +54,8 @@ BANDS, ROWS = 24, 4
 M = BANDS * ROWS
 #: Equal components of 96 that a pair of similarity 0.8 almost surely has (its mean is 77, its deviation 3.9).
 AGREE = 58
+#: Bits of a text's parity sketch.
+BITS = 1024
 #: Pivots of a bucket in the second round, and how many times more each round after it takes: few rounds label members anew.
 PIVOTS, GROWTH = 8, 64
 KEPT_WORDS = 300_000
@@ -124,6 +132,27 @@ def bands_of(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return h.view(np.int64)
 
 
+def sketches(n_texts: int, owner: np.ndarray, h: np.ndarray, count: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Parity sketches, n_texts x bits / 64: each copy of each shingle flips one bit."""
+    odd = np.zeros(n_texts * bits, dtype=bool)
+    turn = 0
+    with np.errstate(over="ignore"):
+        while len(h):
+            turn += 1
+            at = owner * bits + (mix(h + _STEP * np.uint64(2 * turn)) % np.uint64(bits)).astype(np.int64)
+            np.logical_xor.at(odd, at, True)
+            more = count > turn
+            owner, h, count = owner[more], h[more], count[more]
+    return np.packbits(odd).view(np.int64).reshape(n_texts, bits // 64)
+
+
+def most_bits(n: Column, again: Column, p_n: Column, p_again: Column, similarity: float) -> Column:
+    """The most bits in which the sketches of two texts of that similarity can differ."""
+    both = n + p_n
+    by_copies = (both * (1 - similarity) + 2 * (again + p_again)) / (1 + similarity)
+    return F.least(by_copies, both - 2 * similarity * F.least(n, p_n)) + 1e-6
+
+
 def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Of two multisets (sorted distinct hashes, counts); plain Jaccard if all counts are equal."""
     (ha, ca), (hb, cb) = a, b
@@ -226,7 +255,8 @@ def components(edges: DataFrame, keep: _Store) -> DataFrame:
 
 
 def bounds(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """t, n, flat (all counts 1), reach (a flat text's largest partner weight), signature and bands.
+    """t, n, again (copies beyond the first of their shingle), flat (none), reach (a flat text's largest partner weight),
+    signature, bands and sketch.
 
     Only texts that may have a link: what they share with others reaches the similarity.
     """
@@ -237,9 +267,10 @@ def bounds(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         n = np.bincount(owner, weights=count, minlength=batch.num_rows).astype(np.int64)
         kinds = np.bincount(owner, minlength=batch.num_rows)
         listed = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(k))
-                  for x, k in (((sig & np.uint64(0x7FFFFFFF)).astype(np.int32), pa.int32()), (bands_of(sig), pa.int64()))]
-        return pa.RecordBatch.from_arrays([batch.column("t"), pa.array(n), pa.array(n == kinds), *listed],
-                                          names=["t", "n", "flat", "sig", "bands"])
+                  for x, k in (((sig & np.uint64(0x7FFFFFFF)).astype(np.int32), pa.int32()), (bands_of(sig), pa.int64()),
+                               (sketches(batch.num_rows, owner, h, count), pa.int64()))]
+        return pa.RecordBatch.from_arrays([batch.column("t"), pa.array(n), pa.array(n - kinds), pa.array(n == kinds), *listed],
+                                          names=["t", "n", "again", "flat", "sig", "bands", "sketch"])
 
     def single(batch: pa.RecordBatch) -> pa.RecordBatch:
         owner, h, count = shingles(batch.column("text").to_pylist())
@@ -251,7 +282,8 @@ def bounds(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             [pa.array(h[first].view(np.int64)), pa.array(times), pa.array(count[first].astype(np.int64)),
              batch.column("t").take(pa.array(owner[first]))], names=["h", "times", "w", "t"])
 
-    weights = map_batches(texts, totals, "t binary, n long, flat boolean, sig array<int>, bands array<long>", most_bytes=SLICE)
+    weights = map_batches(texts, totals, "t binary, n long, again long, flat boolean, sig array<int>, bands array<long>, "
+                          "sketch array<long>", most_bytes=SLICE)
     # A shingle of one text only is that text's own; no group is gathered, counts and minima combine before the exchange.
     own = (map_batches(texts, single, "h long, times long, w long, t binary", most_bytes=SLICE)
            .select("h", "times", "w", F.conv(F.hex(F.substring("t", 1, 7)), 16, 10).cast("long").alias("k"))
@@ -264,7 +296,7 @@ def bounds(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         "s", F.when(F.col("twins") > 1, F.col("n")).otherwise(F.col("n") - F.coalesce("own", F.lit(0))))
     reach = F.when(F.col("flat"), F.col("s") * (1 + similarity) / similarity - F.col("n") + 1e-6)
     return shared.filter(F.col("s") >= similarity * F.col("n") - 1e-6).select(
-        "t", "n", "flat", reach.alias("reach"), "sig", "bands")
+        "t", "n", "again", "flat", reach.alias("reach"), "sig", "bands", "sketch")
 
 
 def classes(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -316,10 +348,14 @@ def classes(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY
         if rows.isEmpty():
             break
         pivots = rows.withColumn("place", place).filter(F.col("place") <= upto).select(
-            "bucket", F.col("t").alias("p"), *[F.col(c).alias(f"p_{c}") for c in ("n", "flat", "reach", "label", "sig", "bands")])
+            "bucket", F.col("t").alias("p"),
+            *[F.col(c).alias(f"p_{c}") for c in ("n", "again", "flat", "reach", "label", "sig", "bands", "sketch")])
         equal = F.aggregate(F.zip_with("sig", "p_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda k, x: k + x)
+        differ = sum((F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("p_sketch", F.lit(i)))) for i in range(BITS // 64)),
+                     F.lit(0))
         met = rows.join(pivots, "bucket").filter(
             "label <> p_label and (not flat or not p_flat or (n <= p_reach and p_n <= reach))").filter(
+            differ <= most_bits(*map(F.col, ("n", "again", "p_n", "p_again")), similarity)).filter(
             F.element_at(F.array_intersect("bands", "p_bands"), 1) == F.col("bucket")).filter(equal >= AGREE)
         pairs = keep(met.select(F.least("p", "t").alias("a"), F.greatest("p", "t").alias("b")).distinct())
         more = keep(verified(pairs, texts, similarity))

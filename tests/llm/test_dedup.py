@@ -227,6 +227,46 @@ def test_labels_are_joined_to_one_row_a_text(spark, monkeypatch):
     assert seen and all(n == texts for n, texts in seen)
 
 
+def test_copies_too_different_to_be_linked_make_few_pairs(spark, monkeypatch):
+    """Copies of one text, each with other words, all met each other: their signatures are alike, their links are few."""
+    rng = random.Random(21)
+    base = words(rng, 300)
+    rows = [(k, edited(rng, base, 5)) for k in range(80)]
+    pairs, plain = [], near_dedup.verified
+
+    def counted(found, *args):
+        pairs.append(found.count())
+        return plain(found, *args)
+
+    monkeypatch.setattr(near_dedup, "verified", counted)
+    got = near_dedup.near_duplicates(spark, frame(spark, rows))
+    assert sorted(map(tuple, got.collect()), key=str) == plain_classes(rows)
+    assert sum(pairs) < 1000, pairs
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8, 0.95])
+def test_sketches_never_rule_out_a_link(spark, similarity):
+    """Two texts of the similarity differ in no more bits than `most_bits`, counts over 1 and unequal lengths included."""
+    rng = random.Random(5)
+    texts = []
+    for _ in range(60):
+        base = words(rng, rng.randrange(10, 400)).split()
+        part = base[:rng.randrange(5, 40)]
+        for n in (0, 1, 3, 8):
+            some = edited(rng, " ".join(base), n).split()
+            texts.append(" ".join(some + part * rng.choice((0, 0, 1, 4)) + base * rng.choice((0, 0, 0, 2))).encode())
+    owner, h, count = near_dedup.shingles(texts)
+    bits = near_dedup.sketches(len(texts), owner, h, count)
+    of = [(h[owner == i], count[owner == i]) for i in range(len(texts))]
+    rows = [(int(of[i][1].sum()), int((of[i][1] - 1).sum()), int(of[j][1].sum()), int((of[j][1] - 1).sum()),
+             int(np.bitwise_count(bits[i] ^ bits[j]).sum()))
+            for at in range(0, len(texts), 4) for i in range(at, at + 4) for j in range(i + 1, at + 4)
+            if near_dedup.probability_jaccard(of[i], of[j]) >= similarity]
+    kinds = spark.createDataFrame(rows, "n long, again long, p_n long, p_again long, differ int")
+    most = near_dedup.most_bits(*map(F.col, ("n", "again", "p_n", "p_again")), similarity)
+    assert len(rows) > 20 and kinds.filter(F.col("differ") > most).isEmpty()
+
+
 def test_keep_one_of_repeated_rows(spark):
     text = "one two three four five six"
     rows = [(1, text), (1, text), (2, text), (5, None), (5, None), (None, "q r s t u v"), (None, "q r s t u v")]
