@@ -259,7 +259,7 @@ def test_sketches_never_rule_out_a_link(spark, similarity):
     bits = near_dedup.sketches(len(texts), owner, h, count)
     of = [(h[owner == i], count[owner == i]) for i in range(len(texts))]
     rows = [(int(of[i][1].sum()), int((of[i][1] - 1).sum()), int(of[j][1].sum()), int((of[j][1] - 1).sum()),
-             int(np.bitwise_count(bits[i] ^ bits[j]).sum()))
+             int(np.bitwise_count((bits[i] ^ bits[j]).view(np.uint64)).sum()))
             for at in range(0, len(texts), 4) for i in range(at, at + 4) for j in range(i + 1, at + 4)
             if near_dedup.probability_jaccard(of[i], of[j]) >= similarity]
     kinds = spark.createDataFrame(rows, "n long, again long, p_n long, p_again long, differ int")
